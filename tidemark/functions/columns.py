@@ -1,0 +1,47 @@
+"""Small builders for column references and row comparison."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def named(name: str) -> Column:
+    """A column whose name may hold dots, blanks or backticks."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def qualified(side: str, name: str) -> Column:
+    """The column ``name`` of the frame aliased ``side``."""
+    return F.col(side + ".`" + name.replace("`", "``") + "`")
+
+
+def any_of(conditions: Sequence[Column]) -> Column:
+    """OR over all conditions, built as a balanced tree.
+
+    A chain of a few hundred ORs is as deep as it is long and can exhaust the
+    optimizer's stack on wide tables; the tree is only log2(n) deep and still
+    stops at the first true branch.
+    """
+    level = list(conditions)
+    if not level:
+        return F.lit(False)
+    while len(level) > 1:
+        pairs = [level[i : i + 2] for i in range(0, len(level), 2)]
+        level = [p[0] | p[1] if len(p) == 2 else p[0] for p in pairs]
+    return level[0]
+
+
+def differs(left: str, right: str, columns: Sequence[str]) -> Column:
+    """True when any column differs between two aliased frames.
+
+    Null equals null, and null differs from every value.
+    """
+    return any_of([~qualified(left, c).eqNullSafe(qualified(right, c)) for c in columns])
+
+
+def coalesce_side(left: str, right: str, name: str) -> Column:
+    """The join key of an outer join: whichever side has the row."""
+    return F.coalesce(qualified(left, name), qualified(right, name)).alias(name)

@@ -1,19 +1,18 @@
-"""Column expressions shared by the operators."""
+"""SQL expressions shared by the operators."""
 
-from .columns import any_of, coalesce_side, differs, named, qualified
 from .hashing import row_hash, row_hash_named
 from .rules import Rule, failing_rule, key_rules, passes
+from .text import any_of, differs, ident, idents
 
 __all__ = [
     "Rule",
     "any_of",
-    "coalesce_side",
     "differs",
     "failing_rule",
+    "ident",
+    "idents",
     "key_rules",
-    "named",
     "passes",
-    "qualified",
     "row_hash",
     "row_hash_named",
 ]

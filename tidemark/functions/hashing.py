@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .columns import named
+from .text import idents
 
 # Fixed value: separator of the joined form of the fingerprint.
 SEPARATOR = "||"
@@ -23,9 +23,10 @@ def row_hash(columns: Sequence[str]) -> Column:
     ``(null, 'a', 'b')`` get one fingerprint. Use ``row_hash_named`` to tell
     them apart.
     """
-    return F.sha2(F.concat_ws(SEPARATOR, *[named(c).cast("string") for c in columns]), 256)
+    values = ", ".join(f"CAST({c} AS STRING)" for c in idents(columns))
+    return F.expr(f"sha2(concat_ws('{SEPARATOR}', {values}), 256)")
 
 
 def row_hash_named(columns: Sequence[str]) -> Column:
     """SHA-256 of the row as JSON, in which every value carries its name."""
-    return F.sha2(F.to_json(F.struct(*[named(c) for c in columns])), 256)
+    return F.expr(f"sha2(to_json(struct({', '.join(idents(columns))})), 256)")

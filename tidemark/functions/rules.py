@@ -5,11 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .columns import named
+from .text import ident
 
 # A key of 50 characters or more, or one holding this mark,
 # comes from a row whose columns have shifted.
@@ -18,33 +16,36 @@ SHIFTED_KEY_MARK = "@"
 
 
 class Rule(NamedTuple):
-    """``ok`` is true for the rows to keep."""
+    """``ok`` is a SQL condition, true for the rows to keep."""
 
     name: str
-    ok: Column
+    ok: str
 
 
 def key_rules(schema: T.StructType, keys: Sequence[str]) -> list[Rule]:
     """Every key is present; a text key has no ``@`` and is under 50 characters."""
     rules = []
     for key in keys:
-        column = named(key)
-        rules.append(Rule(f"{key}_missing", column.isNotNull()))
+        column = ident(key)
+        rules.append(Rule(f"{key}_missing", f"{column} IS NOT NULL"))
         if isinstance(schema[key].dataType, T.StringType):
-            rules.append(Rule(f"{key}_shifted", ~column.contains(SHIFTED_KEY_MARK)))
-            rules.append(Rule(f"{key}_too_long", F.length(column) < MAX_KEY_LENGTH))
+            rules.append(Rule(f"{key}_shifted", f"NOT contains({column}, '{SHIFTED_KEY_MARK}')"))
+            rules.append(Rule(f"{key}_too_long", f"length({column}) < {MAX_KEY_LENGTH}"))
     return rules
 
 
-def passes(rules: Sequence[Rule]) -> Column:
+def passes(rules: Sequence[Rule]) -> str:
     """True when every rule holds."""
-    condition = F.lit(True)
-    for rule in rules:
-        condition = condition & rule.ok
-    return condition
+    return " AND ".join(f"({rule.ok})" for rule in rules) or "true"
 
 
-def failing_rule(rules: Sequence[Rule]) -> Column:
+def failing_rule(rules: Sequence[Rule]) -> str:
     """Name of the first rule a row breaks, null when it breaks none."""
-    broken = [F.when(~F.coalesce(rule.ok, F.lit(False)), F.lit(rule.name)) for rule in rules]
-    return F.coalesce(*broken) if broken else F.lit(None).cast("string")
+    broken = " ".join(
+        f"WHEN NOT coalesce({rule.ok}, false) THEN '{_text(rule.name)}'" for rule in rules
+    )
+    return f"CASE {broken} END" if rules else "CAST(NULL AS STRING)"
+
+
+def _text(value: str) -> str:
+    return value.replace("\\", "\\\\").replace("'", "\\'")

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import coalesce_side, differs, named, qualified
+from ..functions.text import differs, ident, idents
 from ..sources.schema import ACTION, DAY
 
 ADDED, REMOVED, MODIFIED = "added", "removed", "modified"
@@ -35,93 +35,92 @@ def compare(
     null-safe. Null keys equal nothing, so such rows are always added or
     removed.
 
-    Each side is shuffled once on the keys, or not at all when both are
-    bucketed alike. Rows with a null key stay out of the join, as they would
-    all land in one task.
+    ``unique_keys=True`` promises that each side holds a key at most once and
+    no null keys, as every snapshot of a store does. Each side is then
+    shuffled once on the keys, or not at all when both are bucketed alike.
 
-    ``unique_keys=True`` is for sides that hold a key at most once, as every
-    snapshot of a store does. Otherwise keys that repeat on either side are
-    set apart first: with several old and several new rows there is no telling
-    which became which, and pairing them all is quadratic. Their rows are
-    compared whole, as multisets, and come out as removed or added.
+    Without the promise, two kinds of rows stay out of the join. Null keys
+    would all land in one task. And a key that repeats on either side has no
+    telling which old row became which new one, and pairing them all is
+    quadratic: such rows are compared whole, as multisets, and come out as
+    removed or added.
     """
     columns = [c for c in before.columns if c in after.columns and c not in {*keys, *ignore}]
     clash = {f"{p}_{c}" for c in columns for p in ("old", "new")} & {*keys, "change"}
     if clash:
         raise ValueError(f"key names that clash with result columns: {sorted(clash)}")
-    a = before.select(*[named(c) for c in [*keys, *columns]])
-    b = after.select(*[named(c) for c in [*keys, *columns]])
-
-    parts = []
-    for side, change in ((a, REMOVED), (b, ADDED)):
-        nullable = [k for k in keys if side.schema[k].nullable]
-        if nullable:
-            null_key = reduce(lambda x, y: x | y, [named(k).isNull() for k in nullable])
-            parts.append(_one_sided(side.filter(null_key), keys, columns, change))
-    a = a.dropna(subset=list(keys))
-    b = b.dropna(subset=list(keys))
-
-    if not unique_keys:
-        repeated = (
-            _repeated_keys(a, keys).unionByName(_repeated_keys(b, keys)).distinct()
-        )
-        many_a = a.join(repeated, list(keys), "left_semi")
-        many_b = b.join(repeated, list(keys), "left_semi")
-        parts.append(_one_sided(many_a.exceptAll(many_b), keys, columns, REMOVED))
-        parts.append(_one_sided(many_b.exceptAll(many_a), keys, columns, ADDED))
-        a = a.join(repeated, list(keys), "left_anti")
-        b = b.join(repeated, list(keys), "left_anti")
-
-    return reduce(DataFrame.unionByName, [_classify(a, b, keys, columns), *parts])
+    a = before.select(*idents([*keys, *columns]))
+    b = after.select(*idents([*keys, *columns]))
+    if unique_keys:
+        return _classify(a, b, keys, columns)
+
+    some_null = " OR ".join(f"{k} IS NULL" for k in idents(keys))
+    null_a, null_b = a.filter(some_null), b.filter(some_null)
+    a, b = a.filter(f"NOT ({some_null})"), b.filter(f"NOT ({some_null})")
+
+    # Usually none or few; the joins with it then turn into broadcasts.
+    repeated = _repeated_keys(a, keys).unionByName(_repeated_keys(b, keys)).distinct()
+    many_a = a.join(repeated, list(keys), "left_semi")
+    many_b = b.join(repeated, list(keys), "left_semi")
+    a = a.join(repeated, list(keys), "left_anti")
+    b = b.join(repeated, list(keys), "left_anti")
+    parts = [
+        _classify(a, b, keys, columns),
+        _one_sided(null_a, keys, columns, REMOVED),
+        _one_sided(null_b, keys, columns, ADDED),
+        _one_sided(many_a.exceptAll(many_b), keys, columns, REMOVED),
+        _one_sided(many_b.exceptAll(many_a), keys, columns, ADDED),
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _classify(
     before: DataFrame, after: DataFrame, keys: Sequence[str], columns: Sequence[str]
 ) -> DataFrame:
-    a = before.withColumn("__here", F.lit(True)).alias("a")
-    b = after.withColumn("__here", F.lit(True)).alias("b")
-    on = reduce(lambda x, y: x & y, [qualified("a", k) == qualified("b", k) for k in keys])
+    a = before.selectExpr("*", "true AS __here").alias("a")
+    b = after.selectExpr("*", "true AS __here").alias("b")
+    on = " AND ".join(f"{ident(k, 'a')} = {ident(k, 'b')}" for k in keys)
     change = (
-        F.when(qualified("a", "__here").isNull(), ADDED)
-        .when(qualified("b", "__here").isNull(), REMOVED)
-        .when(differs("a", "b", columns), MODIFIED)
-    )
-    return (
-        a.join(b, on, "full_outer")
-        .select(
-            *[coalesce_side("a", "b", k) for k in keys],
-            change.alias("change"),
-            *[qualified("a", c).alias(f"old_{c}") for c in columns],
-            *[qualified("b", c).alias(f"new_{c}") for c in columns],
-        )
-        .filter(F.col("change").isNotNull())
+        f"CASE WHEN a.__here IS NULL THEN '{ADDED}' WHEN b.__here IS NULL THEN '{REMOVED}'"
+        f" WHEN {differs(columns, 'a', 'b')} THEN '{MODIFIED}' END"
     )
+    joined = a.join(b, F.expr(on), "full_outer")
+    return joined.selectExpr(
+        *[f"coalesce({ident(k, 'a')}, {ident(k, 'b')}) AS {ident(k)}" for k in keys],
+        f"{change} AS change",
+        *[
+            f"{ident(c, side)} AS {ident(f'{prefix}_{c}')}"
+            for prefix, side in (("old", "a"), ("new", "b"))
+            for c in columns
+        ],
+    ).filter("change IS NOT NULL")
 
 
 def _one_sided(
     rows: DataFrame, keys: Sequence[str], columns: Sequence[str], change: str
 ) -> DataFrame:
-    types = {f.name: f.dataType for f in rows.schema.fields}
+    present = "old" if change == REMOVED else "new"
+    types = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
 
-    def image(prefix: str, present: bool):
-        return [
-            (named(c) if present else F.lit(None).cast(types[c])).alias(f"{prefix}_{c}")
-            for c in columns
-        ]
+    def value(prefix: str, c: str) -> str:
+        return ident(c) if prefix == present else f"CAST(NULL AS {types[c]})"
 
-    return rows.select(
-        *[named(k) for k in keys],
-        F.lit(change).alias("change"),
-        *image("old", change == REMOVED),
-        *image("new", change == ADDED),
+    return rows.selectExpr(
+        *idents(keys),
+        f"'{change}' AS change",
+        *[
+            f"{value(prefix, c)} AS {ident(f'{prefix}_{c}')}"
+            for prefix in ("old", "new")
+            for c in columns
+        ],
     )
 
 
 def _repeated_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return (
-        rows.groupBy(*[named(k) for k in keys])
+        rows.groupBy(*idents(keys))
         .agg(F.count("*").alias("__copies"))
-        .filter(F.col("__copies") > 1)
+        .filter("__copies > 1")
         .drop("__copies")
     )
 
@@ -140,12 +139,14 @@ def added_rows(
     return _image(changes, keys, columns, ADDED, "new")
 
 
-def _image(changes, keys, columns, change, prefix):
+def _image(
+    changes: DataFrame, keys: Sequence[str], columns: Sequence[str] | None, change: str, prefix: str
+) -> DataFrame:
     if columns is None:
         columns = [c[4:] for c in changes.columns if c.startswith(f"{prefix}_") and c not in keys]
-    return changes.filter(F.col("change") == change).select(
-        *[named(k) for k in keys],
-        *[named(f"{prefix}_{c}").alias(c) for c in columns],
+    return changes.filter(f"change = '{change}'").selectExpr(
+        *idents(keys),
+        *[f"{ident(f'{prefix}_{c}')} AS {ident(c)}" for c in columns],
     )
 
 
@@ -158,10 +159,10 @@ def modified_rows(
     gives ``old_commune`` and ``new_commune``. A list keeps the names.
     """
     short = columns if isinstance(columns, Mapping) else {c: c for c in columns}
-    return changes.filter(F.col("change") == MODIFIED).select(
-        *[named(k) for k in keys],
+    return changes.filter(f"change = '{MODIFIED}'").selectExpr(
+        *idents(keys),
         *[
-            named(f"{side}_{column}").alias(f"{side}_{name}")
+            f"{ident(f'{side}_{column}')} AS {ident(f'{side}_{name}')}"
             for name, column in short.items()
             for side in ("old", "new")
         ],
@@ -176,7 +177,7 @@ def change_summary(changes: DataFrame) -> DataFrame:
 def change_sample(rows: DataFrame, keys: Sequence[str], n: int = 10) -> DataFrame:
     """The first ``n`` rows by key, then by all other columns."""
     rest = [c for c in rows.columns if c not in keys]
-    return rows.orderBy(*[named(c) for c in [*keys, *rest]]).limit(n)
+    return rows.orderBy(*idents([*keys, *rest])).limit(n)
 
 
 def column_differences(before: DataFrame, after: DataFrame) -> DataFrame:
@@ -199,16 +200,16 @@ def reverse_delta(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> D
     UPDATE with the old one.
     """
     changes = compare(before, after, keys, ignore=(), unique_keys=True)
-    is_new = F.col("change") == ADDED
-    action = F.create_map(*[F.lit(x) for pair in UNDO.items() for x in pair])[F.col("change")]
-    return changes.select(
+    is_new = f"change = '{ADDED}'"
+    undo = " ".join(f"WHEN '{change}' THEN '{action}'" for change, action in UNDO.items())
+    return changes.selectExpr(
         *[
-            named(c)
+            ident(c)
             if c in keys
-            else F.when(is_new, named(f"new_{c}")).otherwise(named(f"old_{c}")).alias(c)
+            else f"if({is_new}, {ident(f'new_{c}')}, {ident(f'old_{c}')}) AS {ident(c)}"
             for c in after.columns
         ],
-        action.alias(ACTION),
+        f"CASE change {undo} END AS {ACTION}",
     )
 
 
@@ -218,11 +219,11 @@ def log_summary(log: DataFrame, per_day: bool = True) -> DataFrame:
     return _counts(log, ACTION, actions, [DAY] if per_day else [])
 
 
-def _counts(rows: DataFrame, column: str, values: Sequence[str], by: Sequence[str] = ()):
-    inserts, updates, deletes = (F.count_if(F.col(column) == v) for v in values)
+def _counts(
+    rows: DataFrame, column: str, values: Sequence[str], by: Sequence[str] = ()
+) -> DataFrame:
+    names = ("inserts", "updates", "deletes")
     return rows.groupBy(*by).agg(
-        inserts.alias("inserts"),
-        updates.alias("updates"),
-        deletes.alias("deletes"),
+        *[F.expr(f"count_if({column} = '{v}') AS {n}") for n, v in zip(names, values)],
         F.count("*").alias("total"),
     )

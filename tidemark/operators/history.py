@@ -12,10 +12,10 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import any_of, named
+from ..functions.text import differs, ident, idents
 from ..sources.schema import ACTION, DAY, as_day
 
 FAR_FUTURE = dt.date(9999, 12, 31)
@@ -28,21 +28,15 @@ def calendar(dumps: DataFrame, days: Sequence[dt.date | str] | None = None) -> D
     distinct days of ``dumps``, gathered with partial aggregation. Either way
     there is one row per calendar date at most, whatever the data's size.
     """
-    spark = dumps.sparkSession
     if days is None:
-        listed = dumps.select(DAY).groupBy().agg(F.sort_array(F.collect_set(DAY)).alias("days"))
+        listed = dumps.groupBy().agg(F.expr(f"sort_array(collect_set({DAY})) AS days"))
     else:
         known = sorted({as_day(d) for d in days})
-        listed = spark.createDataFrame([(known,)], "days array<date>")
-    neighbours = F.transform(
-        "days",
-        lambda d, i: F.struct(
-            d.alias(DAY),
-            F.when(i > 0, F.get("days", i - 1)).alias("previous"),
-            F.get("days", i + 1).alias("next"),
-        ),
+        listed = dumps.sparkSession.createDataFrame([(known,)], "days array<date>")
+    return listed.selectExpr(
+        f"inline(transform(days, (d, i) -> named_struct('{DAY}', d,"
+        " 'previous', if(i > 0, get(days, i - 1), NULL), 'next', get(days, i + 1))))"
     )
-    return listed.select(F.inline(neighbours))
 
 
 def reverse_log(
@@ -59,39 +53,33 @@ def reverse_log(
     neighbours. The calendar joins by broadcast: it has one row per date.
     """
     columns = [c for c in dumps.columns if c not in {DAY, *keys}]
-    history = Window.partitionBy(*[named(k) for k in keys]).orderBy(DAY)
-    row = F.struct(*[named(c) for c in columns]) if columns else F.struct(F.lit(1).alias("__one"))
+    row = f"struct({', '.join(idents(columns) or ['1 AS __none'])})"
     seen = (
         dumps.join(F.broadcast(calendar(dumps, days)), DAY)
-        .select(*[named(k) for k in keys], DAY, "previous", "next", row.alias("row"))
-        .withColumn("seen_before", F.lag(DAY).over(history))
-        .withColumn("row_before", F.lag("row").over(history))
-        .withColumn("seen_next", F.lead(DAY).over(history))
-    )
-    stayed = F.col("previous").eqNullSafe(F.col("seen_before")) & F.col("previous").isNotNull()
-    changed = any_of(
-        [
-            ~F.col("row").getField(c).eqNullSafe(F.col("row_before").getField(c))
-            for c in columns
-        ]
-    )
-    arrival = F.struct(
-        F.when(~stayed, "DELETE").when(changed, "UPDATE").alias(ACTION),
-        F.col(DAY).alias(DAY),
-        F.when(stayed, F.col("row_before")).otherwise(F.col("row")).alias("row"),
+        .selectExpr(*idents(keys), DAY, "previous", "next", f"{row} AS row")
+        .selectExpr(
+            "*",
+            f"lag({DAY}) OVER ({_history(keys)}) AS seen_before",
+            f"lag(row) OVER ({_history(keys)}) AS row_before",
+            f"lead({DAY}) OVER ({_history(keys)}) AS seen_next",
+        )
     )
-    vanished = F.col("next").isNotNull() & ~F.col("next").eqNullSafe(F.col("seen_next"))
-    departure = F.struct(
-        F.when(vanished, "INSERT").alias(ACTION),
-        F.col("next").alias(DAY),
-        F.col("row").alias("row"),
+    stayed = "coalesce(previous = seen_before, false)"
+    vanished = "next IS NOT NULL AND NOT (next <=> seen_next)"
+    arrival = (
+        f"CASE WHEN NOT {stayed} THEN 'DELETE'"
+        f" WHEN {differs(columns, 'row', 'row_before')} THEN 'UPDATE' END AS {ACTION},"
+        f" {DAY}, if({stayed}, row_before, row) AS row"
     )
+    departure = f"if({vanished}, 'INSERT', NULL) AS {ACTION}, next AS {DAY}, row"
     return (
-        seen.select(*[named(k) for k in keys], F.inline(F.array(arrival, departure)))
-        .filter(F.col(ACTION).isNotNull())
-        .select(
+        seen.selectExpr(
+            *idents(keys), f"inline(array(struct({arrival}), struct({departure})))"
+        )
+        .filter(f"{ACTION} IS NOT NULL")
+        .selectExpr(
             *[
-                named(c) if c in keys else F.col("row").getField(c).alias(c)
+                ident(c) if c in keys else f"{ident(c, 'row')} AS {ident(c)}"
                 for c in dumps.columns
                 if c != DAY
             ],
@@ -112,17 +100,15 @@ def as_of(
     into a broadcast when they are few; a bucketed snapshot is not shuffled
     even when they are many.
     """
+    columns = idents(snapshot.columns)
     undo = log.filter(F.col(DAY) > F.lit(as_day(day)))
-    earliest = Window.partitionBy(*[named(k) for k in keys]).orderBy(DAY)
     restored = (
-        undo.withColumn("__rank", F.row_number().over(earliest))
-        .filter((F.col("__rank") == 1) & (F.col(ACTION) != "DELETE"))
-        .select(*[named(c) for c in snapshot.columns])
+        undo.selectExpr("*", f"row_number() OVER ({_history(keys)}) AS __rank")
+        .filter(f"__rank = 1 AND {ACTION} <> 'DELETE'")
+        .select(*columns)
     )
-    untouched = snapshot.join(
-        undo.select(*[named(k) for k in keys]), list(keys), "left_anti"
-    ).select(*[named(c) for c in snapshot.columns])
-    return untouched.unionByName(restored)
+    untouched = snapshot.join(undo.select(*idents(keys)), list(keys), "left_anti")
+    return untouched.select(*columns).unionByName(restored)
 
 
 def as_of_many(
@@ -139,24 +125,22 @@ def as_of_many(
     wanted = sorted({as_day(d) for d in days})
     if not wanted:
         raise ValueError("no days to rebuild")
-    columns = snapshot.columns
+    columns = idents(snapshot.columns)
     # A row undone on or before the first wanted day matters to none of them.
     undo = log.filter(F.col(DAY) > F.lit(wanted[0]))
-    history = Window.partitionBy(*[named(k) for k in keys]).orderBy(DAY)
     past = (
-        undo.withColumn("__from", F.lag(DAY).over(history))
-        .filter(F.col(ACTION) != "DELETE")
-        .select(*[named(c) for c in columns], "__from", F.col(DAY).alias("__to"))
+        undo.selectExpr("*", f"lag({DAY}) OVER ({_history(keys)}) AS __from")
+        .filter(f"{ACTION} <> 'DELETE'")
+        .selectExpr(*columns, "__from", f"{DAY} AS __to")
     )
-    last_undone = undo.groupBy(*[named(k) for k in keys]).agg(F.max(DAY).alias("__from"))
-    current = snapshot.join(last_undone, list(keys), "left").select(
-        *[named(c) for c in columns], "__from", F.lit(FAR_FUTURE).alias("__to")
+    last_undone = undo.groupBy(*idents(keys)).agg(F.max(DAY).alias("__from"))
+    current = snapshot.join(last_undone, list(keys), "left").selectExpr(
+        *columns, "__from", f"DATE'{FAR_FUTURE}' AS __to"
     )
+    listed = ", ".join(f"DATE'{d}'" for d in wanted)
+    inside = f"filter(array({listed}), d -> d >= coalesce(__from, d) AND d < __to)"
+    return current.unionByName(past).selectExpr(f"explode({inside}) AS as_of", *columns)
 
-    all_days = F.array(*[F.lit(d) for d in wanted])
-    start = F.coalesce(F.col("__from"), F.lit(wanted[0]))
-    inside = F.filter(all_days, lambda d: (d >= start) & (d < F.col("__to")))
-    return current.unionByName(past).select(
-        F.explode(inside).alias("as_of"), *[named(c) for c in columns]
-    )
 
+def _history(keys: Sequence[str]) -> str:
+    return f"PARTITION BY {', '.join(idents(keys))} ORDER BY {DAY}"

@@ -4,17 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import named
+from ..functions.text import ident, idents
 
 METRICS = ["addresses", "communes", "streets", "departments"]
 
 
-def department(code: str) -> Column:
-    """The first two characters of a code."""
-    return F.substring(named(code).cast("string"), 1, 2)
+# The value whose distinct count each metric is.
+_VALUES = {"communes": "commune", "streets": "street", "departments": "department"}
 
 
 def snapshot_report(
@@ -26,12 +25,11 @@ def snapshot_report(
     the shuffle and which skew cannot hurt; only the groups, not the rows, then
     go through the three distinct counts.
     """
-    groups = _groups(df, commune, street)
-    return groups.agg(
-        F.coalesce(F.sum("__rows"), F.lit(0)).alias("addresses"),
+    return _groups(df, commune, street, "count(*)").agg(
+        F.expr("coalesce(sum(n), 0) AS addresses"),
         *[
-            (F.count_distinct(c) + _has_null(c)).alias(name)
-            for name, c in zip(METRICS[1:], ["__commune", "__street", "__department"])
+            F.expr(f"count(DISTINCT {v}) + coalesce(max(int({v} IS NULL)), 0) AS {name}")
+            for name, v in _VALUES.items()
         ],
     )
 
@@ -48,22 +46,16 @@ def snapshot_metrics(
     With ``unique_keys=True`` distinct keys are just rows, and the keys need
     no shuffle.
     """
-    names = zip(METRICS[1:], ["__commune", "__street", "__department"])
     if unique_keys:
-        present = F.count(F.when(_all_present(keys), 1))
-        groups = _groups(df, commune, street, present)
-        return groups.agg(
-            F.coalesce(F.sum("__rows"), F.lit(0)).alias("addresses"),
-            *[F.count_distinct(c).alias(name) for name, c in names],
-        )
-    return df.select(
-        *[named(k) for k in keys],
-        named(commune).alias("__commune"),
-        named(street).alias("__street"),
-        department(commune).alias("__department"),
-    ).agg(
-        F.count_distinct(*[named(k) for k in keys]).alias("addresses"),
-        *[F.count_distinct(c).alias(name) for name, c in names],
+        rows = f"count({', '.join(idents(keys))})"
+        groups = _groups(df, commune, street, rows)
+        addresses = "coalesce(sum(n), 0)"
+    else:
+        groups = df.selectExpr(*idents(keys), *_values(commune, street))
+        addresses = f"count(DISTINCT {', '.join(idents(keys))})"
+    return groups.agg(
+        F.expr(f"{addresses} AS addresses"),
+        *[F.expr(f"count(DISTINCT {v}) AS {name}") for name, v in _VALUES.items()],
     )
 
 
@@ -79,24 +71,22 @@ def compare_metrics(
     sides = [
         snapshot_metrics(df, keys, commune, street, unique_keys)
         .unpivot([], METRICS, "metric", "value")
-        .select("metric", F.lit(side).alias("side"), "value")
+        .selectExpr("metric", f"'{side}' AS side", "value")
         for side, df in (("before", before), ("after", after))
     ]
     return (
         sides[0]
         .unionByName(sides[1])
         .groupBy("metric")
-        .agg(
-            F.max(F.when(F.col("side") == "before", F.col("value"))).alias("before"),
-            F.max(F.when(F.col("side") == "after", F.col("value"))).alias("after"),
-        )
+        .agg(*[F.expr(f"max(value) FILTER (WHERE side = '{s}') AS {s}") for s in ("before", "after")])
     )
 
 
 def rows_per_prefix(df: DataFrame, code: str = "commune_insee", length: int = 2) -> DataFrame:
     """Rows per leading characters of a code, in their order."""
     return (
-        df.groupBy(F.substring(named(code).cast("string"), 1, length).alias("prefix"))
+        df.selectExpr(f"{_prefix(code, length)} AS prefix")
+        .groupBy("prefix")
         .agg(F.count("*").alias("n_rows"))
         .orderBy("prefix")
     )
@@ -110,30 +100,28 @@ def approximate_metrics(
     rsd: float = 0.02,
 ) -> DataFrame:
     """``snapshot_metrics`` estimated in one pass, without shuffling values."""
-    key = F.struct(*[named(k) for k in keys]) if len(keys) > 1 else named(keys[0])
-    key = F.when(_all_present(keys), F.xxhash64(key))
-    return df.agg(
-        F.approx_count_distinct(key, rsd).alias("addresses"),
-        F.approx_count_distinct(named(commune), rsd).alias("communes"),
-        F.approx_count_distinct(named(street), rsd).alias("streets"),
-        F.approx_count_distinct(department(commune), rsd).alias("departments"),
+    key = ", ".join(idents(keys))
+    present = " AND ".join(f"{k} IS NOT NULL" for k in idents(keys))
+    return df.selectExpr(
+        f"if({present}, xxhash64({key}), NULL) AS address", *_values(commune, street)
+    ).agg(
+        F.approx_count_distinct("address", rsd).alias("addresses"),
+        *[F.approx_count_distinct(v, rsd).alias(name) for name, v in _VALUES.items()],
     )
 
 
-def _groups(df: DataFrame, commune: str, street: str, rows: Column | None = None) -> DataFrame:
-    return (
-        df.groupBy(named(commune).alias("__commune"), named(street).alias("__street"))
-        .agg((F.count("*") if rows is None else rows).alias("__rows"))
-        .withColumn("__department", F.substring(F.col("__commune").cast("string"), 1, 2))
-    )
+def _prefix(code: str, length: int = 2) -> str:
+    return f"substring(CAST({ident(code)} AS STRING), 1, {length})"
 
 
-def _has_null(column: str) -> Column:
-    return F.coalesce(F.max(F.col(column).isNull().cast("int")), F.lit(0))
+def _values(commune: str, street: str) -> list[str]:
+    return [
+        f"{ident(commune)} AS commune",
+        f"{ident(street)} AS street",
+        f"{_prefix(commune)} AS department",
+    ]
 
 
-def _all_present(keys: Sequence[str]) -> Column:
-    present = F.lit(True)
-    for key in keys:
-        present = present & named(key).isNotNull()
-    return present
+def _groups(df: DataFrame, commune: str, street: str, rows: str) -> DataFrame:
+    grouped = df.groupBy(ident(commune), ident(street)).agg(F.expr(f"{rows} AS n"))
+    return grouped.selectExpr("n", *_values(commune, street))

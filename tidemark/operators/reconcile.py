@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from ..functions.columns import named
+from ..functions.text import idents
 from .metrics import compare_metrics
 
 
@@ -21,17 +20,14 @@ def reconcile_metrics(
 ) -> DataFrame:
     """One row per metric: its value on both sides, and whether they agree."""
     sides = compare_metrics(rebuilt, truth, keys, commune, street, unique_keys)
-    return sides.select(
-        "metric",
-        F.col("before").alias("rebuilt"),
-        F.col("after").alias("truth"),
-        (F.col("before") == F.col("after")).alias("agrees"),
+    return sides.selectExpr(
+        "metric", "before AS rebuilt", "after AS truth", "before = after AS agrees"
     )
 
 
 def extra_keys(rebuilt: DataFrame, truth: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Distinct keys of ``rebuilt`` that ``truth`` lacks."""
-    columns = [named(k) for k in keys]
+    columns = idents(keys)
     return rebuilt.select(*columns).subtract(truth.select(*columns))
 
 

@@ -16,12 +16,12 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import named
 from ..functions.rules import Rule, key_rules
+from ..functions.text import idents
 from ..operators import changes, history
 from ..operators.clean import clean
 from ..operators.metrics import snapshot_report
@@ -68,7 +68,7 @@ class HistoryStore:
         schema: T.StructType = ADDRESS_SCHEMA,
         keys: Sequence[str] = tuple(ADDRESS_KEYS),
         rules: Sequence[Rule] | None = None,
-        prefer: Sequence[Column] = (),
+        prefer: Sequence[str] = (),
         buckets: int | None = None,
         keep: int = 2,
     ) -> None:
@@ -284,7 +284,7 @@ class HistoryStore:
             # Without this each task would hold a piece of every bucket. Equal
             # settings save the shuffle: deduplication already left whole
             # buckets together.
-            rows = rows.repartition(buckets, *[named(k) for k in self.keys])
+            rows = rows.repartition(buckets, *idents(self.keys))
         write_bucketed(rows, self._path("snapshot", day), self.keys, buckets)
 
     def _commit(self, day: dt.date) -> None:

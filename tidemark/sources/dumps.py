@@ -6,12 +6,10 @@ import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import named
 from .files import exists
-from .schema import ADDRESS_SCHEMA, as_day
+from .schema import ADDRESS_SCHEMA, as_day, declared_columns
 
 
 def read_dump(
@@ -46,12 +44,7 @@ def read_dump(
         .schema(in_file_order)
         .csv(paths)
     )
-    return rows.select(
-        *[
-            named(f.name) if f.name in found else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in schema.fields
-        ]
-    )
+    return rows.selectExpr(*declared_columns(schema, found))
 
 
 def dump_path(spark: SparkSession, folder: str, day: dt.date | str) -> str:

@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import named
+from ..functions.text import ident
 
 # The columns of a daily address dump, in file order. Codes are
 # text, so that `01001` keeps its zero and `2A001` fits the same column.
@@ -85,9 +84,14 @@ def conform(
     undeclared = [c for c in have if c not in schema.fieldNames()]
     if undeclared and extra != "drop":
         raise ValueError(f"undeclared columns: {undeclared}")
-    return df.select(
-        *[
-            named(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in schema.fields
-        ]
-    )
+    return df.selectExpr(*declared_columns(schema, have))
+
+
+def declared_columns(schema: T.StructType, have: Collection[str]) -> list[str]:
+    """The declared columns in order, null where ``have`` lacks one."""
+    return [
+        ident(f.name)
+        if f.name in have
+        else f"CAST(NULL AS {f.dataType.simpleString()}) AS {ident(f.name)}"
+        for f in schema.fields
+    ]

@@ -97,7 +97,7 @@ class HistoryStore:
         if not exists(self.spark, folder):
             return self.spark.createDataFrame([], SUMMARY_SCHEMA)
         reader = self.spark.read.schema(SUMMARY_SCHEMA).option("recursiveFileLookup", True)
-        return reader.parquet(folder).dropDuplicates([DAY])
+        return reader.parquet(folder)
 
     def _committed(self) -> dict[dt.date, int]:
         """Ingested days and their bucket counts: one small row per day."""
@@ -110,7 +110,9 @@ class HistoryStore:
 
     def summaries(self) -> DataFrame:
         """Inserts, updates, deletes and total of every ingested day."""
-        return self._summary_rows().select(DAY, "inserts", "updates", "deletes", "total")
+        # An interrupted re-run may have left a day's row in two files.
+        rows = self._summary_rows().dropDuplicates([DAY])
+        return rows.select(DAY, "inserts", "updates", "deletes", "total")
 
     def _read_snapshot(self, day: dt.date, buckets: int) -> DataFrame:
         path = self._path("snapshot", day)
@@ -225,7 +227,7 @@ class HistoryStore:
             delta = changes.reverse_delta(before, today, self.keys).hint("rebalance")
         delta.write.mode("overwrite").parquet(self._path("diff", day))
         self._commit(day)
-        self._prune()
+        self._prune({**committed, day: self.buckets})
         return self.summaries().filter(F.col(DAY) == F.lit(day))
 
     def backfill(
@@ -320,9 +322,9 @@ class HistoryStore:
             rows.coalesce(1).write.mode("overwrite").parquet(self._path("summary", last))
         remove(self.spark, folder)
 
-    def _prune(self) -> None:
+    def _prune(self, committed: Mapping[dt.date, int]) -> None:
         """Drop all but the newest snapshots; the log covers what they held."""
-        for day in self._stored_snapshots(self._committed())[: -self.keep]:
+        for day in self._stored_snapshots(committed)[: -self.keep]:
             folder = self._path("snapshot", day)
             # The mark goes first, so that no half-deleted snapshot is read.
             remove(self.spark, f"{folder}/_SUCCESS")

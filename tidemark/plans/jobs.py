@@ -7,11 +7,10 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators import changes, metrics, reconcile
 from ..sources.dumps import dump_path, read_dump
-from ..sources.schema import ADDRESS_KEYS, as_day
+from ..sources.schema import ADDRESS_KEYS
 from .scratch import scratch_folder
 from .store import HistoryStore
 
@@ -25,9 +24,11 @@ def integrate(store: HistoryStore, day: dt.date | str, csv: str) -> DataFrame:
     return store.ingest(day, read_dump(store.spark, csv, store.schema))
 
 
-def report(store: HistoryStore) -> DataFrame:
+def report(
+    store: HistoryStore, commune: str = "commune_insee", street: str = "voie_nom"
+) -> DataFrame:
     """Metrics of the newest snapshot."""
-    return store.report()
+    return store.report(commune, street)
 
 
 @dataclass(frozen=True)
@@ -46,6 +47,8 @@ def rebuild(
     day: dt.date | str,
     out: str,
     truth_folder: str | None = None,
+    commune: str = "commune_insee",
+    street: str = "voie_nom",
 ) -> RebuildReport | None:
     """Write the table as of ``day`` to ``out``.
 
@@ -62,7 +65,9 @@ def rebuild(
     truth = store.clean(read_dump(spark, path, store.schema))
     return RebuildReport(
         rebuilt=rebuilt,
-        metrics=reconcile.reconcile_metrics(rebuilt, truth, store.keys, unique_keys=True),
+        metrics=reconcile.reconcile_metrics(
+            rebuilt, truth, store.keys, commune, street, unique_keys=True
+        ),
         extra=reconcile.extra_keys(rebuilt, truth, store.keys),
         missing=reconcile.missing_keys(rebuilt, truth, store.keys),
         changes=changes.compare(truth, rebuilt, store.keys, ignore=(), unique_keys=True),
@@ -92,6 +97,8 @@ def diff(
     keys: Sequence[str] = tuple(ADDRESS_KEYS),
     row_columns: Sequence[str] = tuple(ROW_COLUMNS),
     modified_columns: Mapping[str, str] = MODIFIED_COLUMNS,
+    commune: str = "commune_insee",
+    street: str = "voie_nom",
     out: str | None = None,
     unique_keys: bool = False,
 ) -> DiffReport:
@@ -108,7 +115,7 @@ def diff(
     found = spark.read.schema(schema).parquet(out)
     keys = list(keys)
     return DiffReport(
-        metrics=metrics.compare_metrics(a, b, keys),
+        metrics=metrics.compare_metrics(a, b, keys, commune, street, unique_keys),
         columns=changes.column_differences(a, b),
         summary=changes.change_summary(found),
         removed=changes.removed_rows(found, keys, row_columns),

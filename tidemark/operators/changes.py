@@ -7,12 +7,12 @@ here project, count or invert its result.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import differs, ident, idents
+from ..functions.unions import union_all
 from ..sources.schema import ACTION, DAY
 
 ADDED, REMOVED, MODIFIED = "added", "removed", "modified"
@@ -59,7 +59,7 @@ def compare(
     a, b = a.filter(f"NOT ({some_null})"), b.filter(f"NOT ({some_null})")
 
     # Usually none or few; the joins with it then turn into broadcasts.
-    repeated = _repeated_keys(a, keys).unionByName(_repeated_keys(b, keys)).distinct()
+    repeated = union_all([_repeated_keys(a, keys), _repeated_keys(b, keys)]).distinct()
     many_a = a.join(repeated, list(keys), "left_semi")
     many_b = b.join(repeated, list(keys), "left_semi")
     a = a.join(repeated, list(keys), "left_anti")
@@ -71,7 +71,7 @@ def compare(
         _one_sided(many_a.exceptAll(many_b), keys, columns, REMOVED),
         _one_sided(many_b.exceptAll(many_a), keys, columns, ADDED),
     ]
-    return reduce(DataFrame.unionByName, parts)
+    return union_all(parts)
 
 
 def _classify(

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import differs, ident, idents
+from ..functions.unions import union_all
 from ..sources.schema import ACTION, DAY, as_day
 
 FAR_FUTURE = dt.date(9999, 12, 31)
@@ -108,7 +109,7 @@ def as_of(
         .select(*columns)
     )
     untouched = snapshot.join(undo.select(*idents(keys)), list(keys), "left_anti")
-    return untouched.select(*columns).unionByName(restored)
+    return union_all([untouched.select(*columns), restored])
 
 
 def as_of_many(
@@ -139,7 +140,7 @@ def as_of_many(
     )
     listed = ", ".join(f"DATE'{d}'" for d in wanted)
     inside = f"filter(array({listed}), d -> d >= coalesce(__from, d) AND d < __to)"
-    return current.unionByName(past).selectExpr(f"explode({inside}) AS as_of", *columns)
+    return union_all([current, past]).selectExpr(f"explode({inside}) AS as_of", *columns)
 
 
 def _history(keys: Sequence[str]) -> str:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import ident, idents
+from ..functions.unions import union_all
 
 METRICS = ["addresses", "communes", "streets", "departments"]
 
@@ -75,8 +76,7 @@ def compare_metrics(
         for side, df in (("before", before), ("after", after))
     ]
     return (
-        sides[0]
-        .unionByName(sides[1])
+        union_all(sides)
         .groupBy("metric")
         .agg(*[F.expr(f"max(value) FILTER (WHERE side = '{s}') AS {s}") for s in ("before", "after")])
     )

@@ -81,6 +81,12 @@ def test_compare_repeated_keys_whole_rows(spark):
         ("d", "added", None, "z"): 1,
         ("u", "modified", "x", "y"): 1,
     }
+    # One old row of the key is left and one new one: it was modified.
+    before = before.filter("a <> 'x' OR k = 'u'").union(frame(spark, [("d", "x", "1", 1)]))
+    assert kinds(tm.compare(before, after, ["k"]), "old_a", "new_a") == {
+        ("d", "modified", "y", "z"): 1,
+        ("u", "modified", "x", "y"): 1,
+    }
 
 
 def test_compare_hot_key_does_not_pair(spark):
@@ -91,10 +97,17 @@ def test_compare_hot_key_does_not_pair(spark):
     )
     changed = rows.withColumn("a", F.expr("if(a = '3', 'other', a)"))
     changes = tm.compare(rows, changed, ["k"])
-    assert kinds(changes, "old_a", "new_a") == {
-        ("hot", "removed", "3", None): 1,
-        ("hot", "added", None, "other"): 1,
-    }
+    assert kinds(changes, "old_a", "new_a") == {("hot", "modified", "3", "other"): 1}
+    # All of its rows change: they come out one by one.
+    changed = rows.withColumn("b", F.expr("if(k = 'hot', 'c', b)"))
+    assert tuple(tm.change_summary(tm.compare(rows, changed, ["k"])).first()) == (10000, 0, 10000, 20000)
+
+
+def test_compare_keeps_the_number_of_copies(spark):
+    before = spark.range(25_000).selectExpr("'k' AS k", "1 AS v")
+    after = spark.range(3).selectExpr("'k' AS k", "1 AS v")
+    assert tuple(tm.change_summary(tm.compare(before, after, ["k"])).first()) == (0, 0, 24_997, 24_997)
+    assert tuple(tm.change_summary(tm.compare(after, before, ["k"])).first()) == (24_997, 0, 0, 24_997)
 
 
 def test_compare_ignores_and_reports_columns(spark):
@@ -339,3 +352,17 @@ def test_approximate_metrics(spark):
     exact = tm.snapshot_metrics(df, ["k"], "c", "s").first()
     close = tm.approximate_metrics(df, ["k"], "c", "s").first()
     assert all(abs(x - y) <= 0.1 * x for x, y in zip(exact, close))
+
+
+def test_column_names_the_operators_use_themselves(spark):
+    rows = spark.createDataFrame([(day(n), 1, n, "a", "b", "c") for n in (1, 2)], "day date, next int, row int, previous string, commune string, street string")
+    log = tm.reverse_log(rows, ["next"])
+    assert log.columns == ["next", "row", "previous", "commune", "street", "action", "day"]
+    assert sorted(r["action"] for r in log.collect()) == ["DELETE", "UPDATE"]
+    last = rows.filter("row = 2").drop("day")
+    assert tm.as_of(last, log, day(1), ["next"]).first()["row"] == 1
+    assert tm.as_of_many(last, log, [day(1), day(2)], ["next"]).count() == 2
+    assert tm.compare(rows, last, ["next"]).count() == 1
+    for unique in (True, False):
+        got = tm.snapshot_metrics(last, ["commune"], "previous", "street", unique_keys=unique)
+        assert tuple(got.first()) == (1, 1, 1, 1)

@@ -39,11 +39,11 @@ def compare(
     no null keys, as every snapshot of a store does. Each side is then
     shuffled once on the keys, or not at all when both are bucketed alike.
 
-    Without the promise, two kinds of rows stay out of the join. Null keys
-    would all land in one task. And a key that repeats on either side has no
-    telling which old row became which new one, and pairing them all is
-    quadratic: such rows are compared whole, as multisets, and come out as
-    removed or added.
+    Without the promise the sides are compared as multisets of rows. What is
+    equal cancels out first, in one aggregation over whole rows that no hot
+    key can skew. A key left with one old and one new row was modified; for
+    any other number of them there is no telling which became which, and
+    pairing all would be quadratic, so its rows come out as removed and added.
     """
     columns = [c for c in before.columns if c in after.columns and c not in {*keys, *ignore}]
     clash = {f"{p}_{c}" for c in columns for p in ("old", "new")} & {*keys, "change"}
@@ -55,21 +55,12 @@ def compare(
         return _classify(a, b, keys, columns)
 
     some_null = " OR ".join(f"{k} IS NULL" for k in idents(keys))
-    null_a, null_b = a.filter(some_null), b.filter(some_null)
-    a, b = a.filter(f"NOT ({some_null})"), b.filter(f"NOT ({some_null})")
-
-    # Usually none or few; the joins with it then turn into broadcasts.
-    repeated = union_all([_repeated_keys(a, keys), _repeated_keys(b, keys)]).distinct()
-    many_a = a.join(repeated, list(keys), "left_semi")
-    many_b = b.join(repeated, list(keys), "left_semi")
-    a = a.join(repeated, list(keys), "left_anti")
-    b = b.join(repeated, list(keys), "left_anti")
     parts = [
-        _classify(a, b, keys, columns),
-        _one_sided(null_a, keys, columns, REMOVED),
-        _one_sided(null_b, keys, columns, ADDED),
-        _one_sided(many_a.exceptAll(many_b), keys, columns, REMOVED),
-        _one_sided(many_b.exceptAll(many_a), keys, columns, ADDED),
+        _one_sided(a.filter(some_null), keys, columns, REMOVED),
+        _one_sided(b.filter(some_null), keys, columns, ADDED),
+        *_multiset_changes(
+            a.filter(f"NOT ({some_null})"), b.filter(f"NOT ({some_null})"), keys, columns
+        ),
     ]
     return union_all(parts)
 
@@ -77,22 +68,18 @@ def compare(
 def _classify(
     before: DataFrame, after: DataFrame, keys: Sequence[str], columns: Sequence[str]
 ) -> DataFrame:
-    a = before.selectExpr("*", "true AS __here").alias("a")
-    b = after.selectExpr("*", "true AS __here").alias("b")
-    on = " AND ".join(f"{ident(k, 'a')} = {ident(k, 'b')}" for k in keys)
+    a = before.selectExpr("*", "true AS __here").alias("__a")
+    b = after.selectExpr("*", "true AS __here").alias("__b")
+    on = " AND ".join(f"{ident(k, '__a')} = {ident(k, '__b')}" for k in keys)
     change = (
-        f"CASE WHEN a.__here IS NULL THEN '{ADDED}' WHEN b.__here IS NULL THEN '{REMOVED}'"
-        f" WHEN {differs(columns, 'a', 'b')} THEN '{MODIFIED}' END"
+        f"CASE WHEN __a.__here IS NULL THEN '{ADDED}' WHEN __b.__here IS NULL THEN '{REMOVED}'"
+        f" WHEN {differs(columns, '__a', '__b')} THEN '{MODIFIED}' END"
     )
     joined = a.join(b, F.expr(on), "full_outer")
     return joined.selectExpr(
-        *[f"coalesce({ident(k, 'a')}, {ident(k, 'b')}) AS {ident(k)}" for k in keys],
+        *[f"coalesce({ident(k, '__a')}, {ident(k, '__b')}) AS {ident(k)}" for k in keys],
         f"{change} AS change",
-        *[
-            f"{ident(c, side)} AS {ident(f'{prefix}_{c}')}"
-            for prefix, side in (("old", "a"), ("new", "b"))
-            for c in columns
-        ],
+        *_images(columns),
     ).filter("change IS NOT NULL")
 
 
@@ -116,13 +103,54 @@ def _one_sided(
     )
 
 
-def _repeated_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return (
-        rows.groupBy(*idents(keys))
-        .agg(F.count("*").alias("__copies"))
-        .filter("__copies > 1")
-        .drop("__copies")
+def _multiset_changes(
+    before: DataFrame, after: DataFrame, keys: Sequence[str], columns: Sequence[str]
+) -> list[DataFrame]:
+    signed = union_all([before.selectExpr("*", "1 AS __n"), after.selectExpr("*", "-1 AS __n")])
+    # Copies more on the old side, or fewer.
+    surplus = (
+        signed.groupBy(*idents([*keys, *columns]))
+        .agg(F.sum("__n").alias("__n"))
+        .filter("__n <> 0")
+    )
+    row = f"struct({', '.join(idents(columns) or ['1 AS __none'])})"
+    per_key = surplus.groupBy(*idents(keys)).agg(
+        F.expr("sum(greatest(__n, 0)) AS __old"),
+        F.expr("sum(greatest(-__n, 0)) AS __new"),
+        F.expr(f"any_value({row}) FILTER (WHERE __n > 0) AS __a"),
+        F.expr(f"any_value({row}) FILTER (WHERE __n < 0) AS __b"),
+    )
+    change = (
+        f"CASE WHEN __old = 0 THEN '{ADDED}' WHEN __new = 0 THEN '{REMOVED}' ELSE '{MODIFIED}' END"
     )
+    one_each = per_key.filter("__old <= 1 AND __new <= 1").selectExpr(
+        *idents(keys), f"{change} AS change", *_images(columns)
+    )
+    # The join ends the plan, so Spark can split the rows of a hot key.
+    several = per_key.filter("__old > 1 OR __new > 1").select(*idents(keys))
+    rest = _repeat(surplus.join(several, list(keys), "left_semi"), keys)
+    return [
+        one_each,
+        _one_sided(rest.filter("__n > 0"), keys, columns, REMOVED),
+        _one_sided(rest.filter("__n < 0"), keys, columns, ADDED),
+    ]
+
+
+def _repeat(rows: DataFrame, keys: Sequence[str], chunk: int = 10_000) -> DataFrame:
+    """Each row as often as ``__n`` says, the copies of one row spread over tasks."""
+    chunked = rows.selectExpr(
+        "*", f"explode(sequence(0L, (abs(__n) - 1) DIV {chunk})) AS __chunk"
+    ).repartition(*idents(keys), "__chunk")
+    copies = f"least({chunk}L, abs(__n) - __chunk * {chunk})"
+    return chunked.selectExpr("*", f"explode(sequence(1L, {copies})) AS __copy")
+
+
+def _images(columns: Sequence[str]) -> list[str]:
+    return [
+        f"{ident(c, side)} AS {ident(f'{prefix}_{c}')}"
+        for prefix, side in (("old", "__a"), ("new", "__b"))
+        for c in columns
+    ]
 
 
 def removed_rows(

@@ -56,23 +56,23 @@ def reverse_log(
     columns = [c for c in dumps.columns if c not in {DAY, *keys}]
     row = f"struct({', '.join(idents(columns) or ['1 AS __none'])})"
     seen = (
-        dumps.join(F.broadcast(calendar(dumps, days)), DAY)
-        .selectExpr(*idents(keys), DAY, "previous", "next", f"{row} AS row")
+        dumps.join(F.broadcast(calendar(dumps, days).toDF(DAY, "__previous", "__next")), DAY)
+        .selectExpr(*idents(keys), DAY, "__previous", "__next", f"{row} AS __row")
         .selectExpr(
             "*",
-            f"lag({DAY}) OVER ({_history(keys)}) AS seen_before",
-            f"lag(row) OVER ({_history(keys)}) AS row_before",
-            f"lead({DAY}) OVER ({_history(keys)}) AS seen_next",
+            f"lag({DAY}) OVER ({_history(keys)}) AS __seen_before",
+            f"lag(__row) OVER ({_history(keys)}) AS __row_before",
+            f"lead({DAY}) OVER ({_history(keys)}) AS __seen_next",
         )
     )
-    stayed = "coalesce(previous = seen_before, false)"
-    vanished = "next IS NOT NULL AND NOT (next <=> seen_next)"
+    stayed = "coalesce(__previous = __seen_before, false)"
+    vanished = "__next IS NOT NULL AND NOT (__next <=> __seen_next)"
     arrival = (
         f"CASE WHEN NOT {stayed} THEN 'DELETE'"
-        f" WHEN {differs(columns, 'row', 'row_before')} THEN 'UPDATE' END AS {ACTION},"
-        f" {DAY}, if({stayed}, row_before, row) AS row"
+        f" WHEN {differs(columns, '__row', '__row_before')} THEN 'UPDATE' END AS {ACTION},"
+        f" {DAY}, if({stayed}, __row_before, __row) AS __row"
     )
-    departure = f"if({vanished}, 'INSERT', NULL) AS {ACTION}, next AS {DAY}, row"
+    departure = f"if({vanished}, 'INSERT', NULL) AS {ACTION}, __next AS {DAY}, __row"
     return (
         seen.selectExpr(
             *idents(keys), f"inline(array(struct({arrival}), struct({departure})))"
@@ -80,7 +80,7 @@ def reverse_log(
         .filter(f"{ACTION} IS NOT NULL")
         .selectExpr(
             *[
-                ident(c) if c in keys else f"{ident(c, 'row')} AS {ident(c)}"
+                ident(c) if c in keys else f"{ident(c, '__row')} AS {ident(c)}"
                 for c in dumps.columns
                 if c != DAY
             ],

@@ -14,7 +14,7 @@ METRICS = ["addresses", "communes", "streets", "departments"]
 
 
 # The value whose distinct count each metric is.
-_VALUES = {"communes": "commune", "streets": "street", "departments": "department"}
+_VALUES = {"communes": "__commune", "streets": "__street", "departments": "__department"}
 
 
 def snapshot_report(
@@ -27,7 +27,7 @@ def snapshot_report(
     go through the three distinct counts.
     """
     return _groups(df, commune, street, "count(*)").agg(
-        F.expr("coalesce(sum(n), 0) AS addresses"),
+        F.expr("coalesce(sum(__n), 0) AS addresses"),
         *[
             F.expr(f"count(DISTINCT {v}) + coalesce(max(int({v} IS NULL)), 0) AS {name}")
             for name, v in _VALUES.items()
@@ -50,7 +50,7 @@ def snapshot_metrics(
     if unique_keys:
         rows = f"count({', '.join(idents(keys))})"
         groups = _groups(df, commune, street, rows)
-        addresses = "coalesce(sum(n), 0)"
+        addresses = "coalesce(sum(__n), 0)"
     else:
         groups = df.selectExpr(*idents(keys), *_values(commune, street))
         addresses = f"count(DISTINCT {', '.join(idents(keys))})"
@@ -103,9 +103,9 @@ def approximate_metrics(
     key = ", ".join(idents(keys))
     present = " AND ".join(f"{k} IS NOT NULL" for k in idents(keys))
     return df.selectExpr(
-        f"if({present}, xxhash64({key}), NULL) AS address", *_values(commune, street)
+        f"if({present}, xxhash64({key}), NULL) AS __address", *_values(commune, street)
     ).agg(
-        F.approx_count_distinct("address", rsd).alias("addresses"),
+        F.approx_count_distinct("__address", rsd).alias("addresses"),
         *[F.approx_count_distinct(v, rsd).alias(name) for name, v in _VALUES.items()],
     )
 
@@ -116,12 +116,12 @@ def _prefix(code: str, length: int = 2) -> str:
 
 def _values(commune: str, street: str) -> list[str]:
     return [
-        f"{ident(commune)} AS commune",
-        f"{ident(street)} AS street",
-        f"{_prefix(commune)} AS department",
+        f"{ident(commune)} AS __commune",
+        f"{ident(street)} AS __street",
+        f"{_prefix(commune)} AS __department",
     ]
 
 
 def _groups(df: DataFrame, commune: str, street: str, rows: str) -> DataFrame:
-    grouped = df.groupBy(ident(commune), ident(street)).agg(F.expr(f"{rows} AS n"))
-    return grouped.selectExpr("n", *_values(commune, street))
+    grouped = df.groupBy(ident(commune), ident(street)).agg(F.expr(f"{rows} AS __n"))
+    return grouped.selectExpr("__n", *_values(commune, street))

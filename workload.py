@@ -474,30 +474,29 @@ ORACLE = {
               WHERE l_returnflag = 'R'),
         b AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem
               WHERE l_returnflag <> 'R'),
-        ca AS (SELECT l_orderkey, l_linenumber, count(*) AS n FROM a GROUP BY ALL),
-        cb AS (SELECT l_orderkey, l_linenumber, count(*) AS n FROM b GROUP BY ALL),
-        many AS (SELECT l_orderkey, l_linenumber FROM ca WHERE n > 1
-                 UNION SELECT l_orderkey, l_linenumber FROM cb WHERE n > 1),
-        ma AS (SELECT * FROM a SEMI JOIN many USING (l_orderkey, l_linenumber)),
-        mb AS (SELECT * FROM b SEMI JOIN many USING (l_orderkey, l_linenumber)),
-        ua AS (SELECT * FROM a ANTI JOIN many USING (l_orderkey, l_linenumber)),
-        ub AS (SELECT * FROM b ANTI JOIN many USING (l_orderkey, l_linenumber))
-        SELECT l_orderkey, l_linenumber, 'removed' AS change, l_partkey AS old_l_partkey,
-               l_suppkey AS old_l_suppkey, NULL::BIGINT AS new_l_partkey,
-               NULL::BIGINT AS new_l_suppkey FROM (SELECT * FROM ma EXCEPT ALL SELECT * FROM mb)
+        surplus AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, sum(s) AS n
+                    FROM (SELECT *, 1 AS s FROM a UNION ALL SELECT *, -1 FROM b)
+                    GROUP BY ALL HAVING sum(s) <> 0),
+        ups AS (SELECT * FROM surplus WHERE n > 0), downs AS (SELECT * FROM surplus WHERE n < 0),
+        per_key AS (SELECT l_orderkey, l_linenumber,
+                           sum(CASE WHEN n > 0 THEN n ELSE 0 END) AS o,
+                           sum(CASE WHEN n < 0 THEN -n ELSE 0 END) AS w
+                    FROM surplus GROUP BY ALL),
+        one_each AS (SELECT l_orderkey, l_linenumber, o, w FROM per_key WHERE o <= 1 AND w <= 1),
+        several AS (SELECT l_orderkey, l_linenumber FROM per_key WHERE o > 1 OR w > 1)
+        SELECT k.l_orderkey, k.l_linenumber,
+               CASE WHEN o = 0 THEN 'added' WHEN w = 0 THEN 'removed' ELSE 'modified' END AS change,
+               u.l_partkey AS old_l_partkey, u.l_suppkey AS old_l_suppkey,
+               d.l_partkey AS new_l_partkey, d.l_suppkey AS new_l_suppkey
+        FROM one_each k
+        LEFT JOIN ups u ON k.l_orderkey = u.l_orderkey AND k.l_linenumber = u.l_linenumber
+        LEFT JOIN downs d ON k.l_orderkey = d.l_orderkey AND k.l_linenumber = d.l_linenumber
         UNION ALL
-        SELECT l_orderkey, l_linenumber, 'added', NULL, NULL, l_partkey, l_suppkey
-        FROM (SELECT * FROM mb EXCEPT ALL SELECT * FROM ma)
+        SELECT l_orderkey, l_linenumber, 'removed', l_partkey, l_suppkey, NULL, NULL
+        FROM (SELECT *, unnest(range(n::BIGINT)) FROM ups SEMI JOIN several USING (l_orderkey, l_linenumber))
         UNION ALL
-        SELECT coalesce(ua.l_orderkey, ub.l_orderkey), coalesce(ua.l_linenumber, ub.l_linenumber),
-               CASE WHEN ua.l_orderkey IS NULL THEN 'added' WHEN ub.l_orderkey IS NULL THEN 'removed'
-                    ELSE 'modified' END,
-               ua.l_partkey, ua.l_suppkey, ub.l_partkey, ub.l_suppkey
-        FROM ua FULL OUTER JOIN ub
-          ON ua.l_orderkey = ub.l_orderkey AND ua.l_linenumber = ub.l_linenumber
-        WHERE ua.l_orderkey IS NULL OR ub.l_orderkey IS NULL
-           OR ua.l_partkey IS DISTINCT FROM ub.l_partkey
-           OR ua.l_suppkey IS DISTINCT FROM ub.l_suppkey""",
+        SELECT l_orderkey, l_linenumber, 'added', NULL, NULL, l_partkey, l_suppkey
+        FROM (SELECT *, unnest(range(-n::BIGINT)) FROM downs SEMI JOIN several USING (l_orderkey, l_linenumber))""",
     "reverse_log": f"WITH {DAILY_LOG} {LOG_ROWS}",
     "reverse_log_counts": f"WITH {DAILY_LOG} {SUMMARIES}",
     "reverse_log_yearly": f"WITH {YEARLY_LOG} {LOG_ROWS}",

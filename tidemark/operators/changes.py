@@ -58,7 +58,7 @@ def compare(
     parts = [
         _one_sided(a.filter(some_null), keys, columns, REMOVED),
         _one_sided(b.filter(some_null), keys, columns, ADDED),
-        *_multiset_changes(
+        _multiset_changes(
             a.filter(f"NOT ({some_null})"), b.filter(f"NOT ({some_null})"), keys, columns
         ),
     ]
@@ -105,7 +105,7 @@ def _one_sided(
 
 def _multiset_changes(
     before: DataFrame, after: DataFrame, keys: Sequence[str], columns: Sequence[str]
-) -> list[DataFrame]:
+) -> DataFrame:
     signed = union_all([before.selectExpr("*", "1 AS __n"), after.selectExpr("*", "-1 AS __n")])
     # Copies more on the old side, or fewer.
     surplus = (
@@ -115,32 +115,32 @@ def _multiset_changes(
     )
     row = f"struct({', '.join(idents(columns) or ['1 AS __none'])})"
     per_key = surplus.groupBy(*idents(keys)).agg(
-        F.expr("sum(greatest(__n, 0)) AS __old"),
-        F.expr("sum(greatest(-__n, 0)) AS __new"),
-        F.expr(f"any_value({row}) FILTER (WHERE __n > 0) AS __a"),
+        F.expr("sum(greatest(__n, 0)) = 1 AND sum(least(__n, 0)) = -1 AS __pair"),
         F.expr(f"any_value({row}) FILTER (WHERE __n < 0) AS __b"),
     )
+    # A pair is told by its old row. No later step relies on this join's
+    # partitioning, so Spark can split the rows of a hot key.
+    told = surplus.join(per_key, list(keys)).filter("NOT (__pair AND __n < 0)")
     change = (
-        f"CASE WHEN __old = 0 THEN '{ADDED}' WHEN __new = 0 THEN '{REMOVED}' ELSE '{MODIFIED}' END"
+        f"CASE WHEN __pair THEN '{MODIFIED}' WHEN __n > 0 THEN '{REMOVED}' ELSE '{ADDED}' END"
     )
-    one_each = per_key.filter("__old <= 1 AND __new <= 1").selectExpr(
-        *idents(keys), f"{change} AS change", *_images(columns)
+    return _repeat(told, [*keys, *columns]).selectExpr(
+        *idents(keys),
+        f"{change} AS change",
+        *[f"if(__n > 0, {ident(c)}, NULL) AS {ident(f'old_{c}')}" for c in columns],
+        *[
+            f"CASE WHEN __pair THEN {ident(c, '__b')} WHEN __n < 0 THEN {ident(c)} END"
+            f" AS {ident(f'new_{c}')}"
+            for c in columns
+        ],
     )
-    # The join ends the plan, so Spark can split the rows of a hot key.
-    several = per_key.filter("__old > 1 OR __new > 1").select(*idents(keys))
-    rest = _repeat(surplus.join(several, list(keys), "left_semi"), keys)
-    return [
-        one_each,
-        _one_sided(rest.filter("__n > 0"), keys, columns, REMOVED),
-        _one_sided(rest.filter("__n < 0"), keys, columns, ADDED),
-    ]
 
 
-def _repeat(rows: DataFrame, keys: Sequence[str], chunk: int = 10_000) -> DataFrame:
+def _repeat(rows: DataFrame, columns: Sequence[str], chunk: int = 10_000) -> DataFrame:
     """Each row as often as ``__n`` says, the copies of one row spread over tasks."""
     chunked = rows.selectExpr(
         "*", f"explode(sequence(0L, (abs(__n) - 1) DIV {chunk})) AS __chunk"
-    ).repartition(*idents(keys), "__chunk")
+    ).repartition(*idents(columns), "__chunk")
     copies = f"least({chunk}L, abs(__n) - __chunk * {chunk})"
     return chunked.selectExpr("*", f"explode(sequence(1L, {copies})) AS __copy")
 

@@ -230,14 +230,45 @@ def test_bucket_count_may_change(spark, root):
     assert same(store.as_of(day(2)), frame(spark, rows[5:]))
 
 
+def test_bucket_count_follows_the_size(spark, root):
+    store = HistoryStore(spark, root)
+
+    class Rows:
+        """A frame of a claimed size."""
+
+        def __init__(self, size):
+            self._jdf = self
+            self.size = size
+
+        def __getattr__(self, name):
+            return lambda: self
+
+        def __str__(self):
+            return str(self.size)
+
+    gb = 1 << 30
+    spark.conf.set("spark.sql.shuffle.partitions", "1000")
+    try:
+        assert store._bucket_count(Rows(100), None) == 8
+        assert store._bucket_count(Rows(100 * gb), None) == 200
+        assert store._bucket_count(Rows(100 * gb), 150) == 150
+        assert store._bucket_count(Rows(100 * gb), 50) == 200
+        assert store._bucket_count(Rows(100_000 * gb), None) == 1000
+        assert HistoryStore(spark, root, buckets=5)._bucket_count(Rows(gb), 9) == 5
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
 def test_ingest_joins_without_a_shuffle(spark, root):
     from tidemark.operators.changes import reverse_delta
 
     store = HistoryStore(spark, root, buckets=4)
     for n in (1, 2):
         store.ingest(day(n), frame(spark, [address(i) for i in range(n, 20)]))
-    files = [f for f in os.listdir(f"{root}/snapshot/day={day(2)}") if f.endswith(".parquet")]
-    assert len(files) <= 4
+    for n in (1, 2):
+        names = os.listdir(f"{root}/snapshot/day={day(n)}")
+        assert len([f for f in names if f.endswith(".parquet")]) <= 4
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
     delta = reverse_delta(store.snapshot(day(1)), store.snapshot(day(2)), store.keys)
     plan = delta._jdf.queryExecution().executedPlan().toString()
     joins = [line for line in plan.splitlines() if "SortMergeJoin" in line]

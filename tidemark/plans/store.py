@@ -48,17 +48,19 @@ SUMMARY_SCHEMA = T.StructType(
     ]
 )
 
+# A bucket is read, sorted and joined by one task.
+BUCKET_BYTES = 512 << 20
+
 
 class HistoryStore:
     """The history of one table that arrives as a full dump per day.
 
     Snapshots are bucketed by key, so comparing a day with the day before
     shuffles neither: the only full shuffle of an ingest is the one that
-    deduplicates the dump. ``buckets`` defaults to the session's
-    ``spark.sql.shuffle.partitions``; choose it so that a bucket fits a task
-    (a snapshot of 100 TB in 100,000 buckets has 1 GB in each). Each day
-    remembers its own bucket count, so it can change over time. One writer at a
-    time; readers may run alongside.
+    deduplicates the dump. The number of buckets follows the dump's size, up to
+    the session's ``spark.sql.shuffle.partitions``, and stays put while the
+    size stays within a factor of two; ``buckets`` fixes it. Each day remembers
+    its own. One writer at a time; readers may run alongside.
     """
 
     def __init__(
@@ -83,7 +85,7 @@ class HistoryStore:
         self.keys = list(keys)
         self.rules = list(rules) if rules is not None else key_rules(self.schema, self.keys)
         self.prefer = list(prefer)
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.buckets = buckets
         self.keep = keep
 
     # Reading
@@ -212,12 +214,15 @@ class HistoryStore:
         previous = max((d for d in committed if d < day), default=None)
         if previous is not None and previous not in self._stored_snapshots(committed):
             # Happens when the newest day is redone right after a backfill.
-            self._write_snapshot(previous, self.as_of(previous), committed[previous])
+            rows = self.as_of(previous).repartition(committed[previous], *idents(self.keys))
+            self._write_snapshot(previous, rows, committed[previous])
         if day in committed:
             self._withdraw(day)
 
-        self._write_snapshot(day, self.clean(dump, extra), self.buckets)
-        today = self._read_snapshot(day, self.buckets)
+        rows = self.clean(dump, extra)
+        buckets = self._bucket_count(rows, committed.get(previous))
+        self._write_snapshot(day, rows, buckets)
+        today = self._read_snapshot(day, buckets)
         if previous is None:
             delta = today.withColumn(ACTION, F.lit("DELETE"))
         else:
@@ -226,8 +231,8 @@ class HistoryStore:
             # a good size rather than one per bucket.
             delta = changes.reverse_delta(before, today, self.keys).hint("rebalance")
         delta.write.mode("overwrite").parquet(self._path("diff", day))
-        self._commit(day)
-        self._prune({**committed, day: self.buckets})
+        self._commit(day, buckets)
+        self._prune({**committed, day: buckets})
         return self.summaries().filter(F.col(DAY) == F.lit(day))
 
     def backfill(
@@ -273,36 +278,55 @@ class HistoryStore:
         writer.partitionBy(DAY).parquet(f"{self.root}/diff")
         newest = dated.filter(F.col(DAY) == F.lit(known[-1])).drop(DAY)
         newest = clean(newest, self.keys, self.rules, self.prefer)
-        self._write_snapshot(known[-1], newest, self.buckets)
-        self._commit_all(known)
+        buckets = self._bucket_count(newest, None, share=len(known))
+        self._write_snapshot(known[-1], newest, buckets)
+        self._commit_all(known, buckets)
         return self.summaries()
 
+    def _bucket_count(self, rows: DataFrame, before: int | None, share: int = 1) -> int:
+        """Buckets for a snapshot: as many as its estimated size asks for."""
+        if self.buckets:
+            return self.buckets
+        most = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        least = min(most, self.spark.sparkContext.defaultParallelism)
+        size = rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        wanted = min(most, max(least, int(str(size)) // share // BUCKET_BYTES))
+        # Equal counts are what spares the next comparison its shuffle.
+        return before if before and before <= 2 * wanted and wanted <= 2 * before else wanted
+
     def _write_snapshot(self, day: dt.date, rows: DataFrame, buckets: int) -> None:
-        partitions = self.spark.conf.get("spark.sql.shuffle.partitions")
-        initial = self.spark.conf.get(
-            "spark.sql.adaptive.coalescePartitions.initialPartitionNum", None
-        )
-        if int(initial or partitions) != buckets:
-            # Without this each task would hold a piece of every bucket. Equal
-            # settings save the shuffle: deduplication already left whole
-            # buckets together.
-            rows = rows.repartition(buckets, *idents(self.keys))
-        write_bucketed(rows, self._path("snapshot", day), self.keys, buckets)
-
-    def _commit(self, day: dt.date) -> None:
+        """Deduplicated rows go straight from their shuffle into their buckets."""
+        settings = {
+            "spark.sql.shuffle.partitions": str(buckets),
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(buckets),
+        }
+        conf = self.spark.conf
+        saved = {name: conf.get(name, None) for name in settings}
+        try:
+            for name, value in settings.items():
+                conf.set(name, value)
+            write_bucketed(rows, self._path("snapshot", day), self.keys, buckets)
+        finally:
+            for name, value in saved.items():
+                if value is None:
+                    conf.unset(name)
+                else:
+                    conf.set(name, value)
+
+    def _commit(self, day: dt.date, buckets: int) -> None:
         """Count the day's log as it lies on disk, and write the row that commits it."""
         reader = self.spark.read.schema(log_schema(self.schema))
         counts = changes.log_summary(reader.parquet(self._path("diff", day)), per_day=False)
-        self._write_summary(day, counts.withColumn(DAY, F.lit(day)))
+        self._write_summary(day, counts.withColumn(DAY, F.lit(day)), buckets)
 
-    def _commit_all(self, days: Sequence[dt.date]) -> None:
+    def _commit_all(self, days: Sequence[dt.date], buckets: int) -> None:
         listed = self.spark.createDataFrame([(d,) for d in days], f"{DAY} date")
-        counts = changes.log_summary(self._read_log({d: self.buckets for d in days}))
-        self._write_summary(days[-1], listed.join(counts, DAY, "left").na.fill(0))
+        counts = changes.log_summary(self._read_log(days))
+        self._write_summary(days[-1], listed.join(counts, DAY, "left").na.fill(0), buckets)
 
-    def _write_summary(self, run: dt.date, counts: DataFrame) -> None:
+    def _write_summary(self, run: dt.date, counts: DataFrame, buckets: int) -> None:
         (
-            counts.withColumn("buckets", F.lit(self.buckets))
+            counts.withColumn("buckets", F.lit(buckets))
             .select(*SUMMARY_SCHEMA.fieldNames())
             # One file, so that the commit is one rename.
             .coalesce(1)

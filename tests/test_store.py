@@ -348,3 +348,20 @@ def test_rebuilt_days_can_be_compared(spark, root):
             ("01001_s1_00002", "removed"),
             ("01001_s1_00003", "added"),
         ]
+
+
+def test_rebuild_does_not_shuffle_the_snapshot(spark, root):
+    store = HistoryStore(spark, root, buckets=4)
+    for n in (1, 2, 3):
+        store.ingest(day(n), frame(spark, [address(i, numero=n) for i in range(20)]))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        state = store.as_of(day(2))
+        plan = state._jdf.queryExecution().executedPlan().toString()
+        lines = plan.splitlines()
+        scan = next(i for i, line in enumerate(lines) if "Bucketed: true" in line)
+        join = max(i for i in range(scan) if "SortMergeJoin" in lines[i])
+        assert not any("Exchange" in line for line in lines[join:scan])
+        assert same(state, frame(spark, [address(i, numero=2) for i in range(20)]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -341,9 +341,7 @@ def test_compare_and_reconcile_metrics(spark):
     assert got == {"addresses": (6, 5), "communes": (5, 4), "streets": (3, 2), "departments": (3, 2)}
     agrees = {r["metric"]: r["agrees"] for r in tm.reconcile_metrics(a, a, ["cle_interop"]).collect()}
     assert set(agrees.values()) == {True}
-    assert tm.extra_keys(a, b, ["cle_interop"]).collect() == [("4",), (None,)] or bag(
-        tm.extra_keys(a, b, ["cle_interop"])
-    ) == {("'4'",): 1, ("None",): 1}
+    assert bag(tm.extra_keys(a.union(a), b, ["cle_interop"])) == {("'4'",): 1, ("None",): 1}
     assert tm.missing_keys(a, b, ["cle_interop"]).isEmpty()
 
 

@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..functions.text import idents
+from ..functions.unions import union_all
 from .metrics import compare_metrics
 
 
@@ -26,9 +28,18 @@ def reconcile_metrics(
 
 
 def extra_keys(rebuilt: DataFrame, truth: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Distinct keys of ``rebuilt`` that ``truth`` lacks."""
+    """Distinct keys of ``rebuilt`` that ``truth`` lacks; null equals null here.
+
+    One grouping over both sides, which map tasks start ahead of the shuffle,
+    so that copies of a key do not pile up in one task as in an anti join.
+    """
     columns = idents(keys)
-    return rebuilt.select(*columns).subtract(truth.select(*columns))
+    sides = [
+        rebuilt.selectExpr(*columns, "true AS __here"),
+        truth.selectExpr(*columns, "false AS __here"),
+    ]
+    grouped = union_all(sides).groupBy(*columns).agg(F.expr("bool_and(__here) AS __only"))
+    return grouped.filter("__only").select(*columns)
 
 
 def missing_keys(rebuilt: DataFrame, truth: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -7,7 +7,9 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..functions.text import idents
 from ..operators import changes, metrics, reconcile
 from ..sources.dumps import dump_path, read_dump
 from ..sources.schema import ADDRESS_KEYS
@@ -111,7 +113,8 @@ def diff(
     found = changes.compare(a, b, keys, unique_keys=unique_keys)
     out = out or scratch_folder(spark)
     schema = found.schema
-    found.hint("rebalance").write.mode("overwrite").partitionBy("change").parquet(out)
+    by_key = [F.col(k) for k in idents(keys)]
+    found.hint("rebalance", *by_key).write.mode("overwrite").partitionBy("change").parquet(out)
     found = spark.read.schema(schema).parquet(out)
     keys = list(keys)
     return DiffReport(

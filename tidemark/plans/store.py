@@ -229,7 +229,8 @@ class HistoryStore:
             before = self._read_snapshot(previous, committed[previous])
             # Changes are few against the snapshot: regroup them into files of
             # a good size rather than one per bucket.
-            delta = changes.reverse_delta(before, today, self.keys).hint("rebalance")
+            by_key = [F.col(k) for k in idents(self.keys)]
+            delta = changes.reverse_delta(before, today, self.keys).hint("rebalance", *by_key)
         delta.write.mode("overwrite").parquet(self._path("diff", day))
         self._commit(day, buckets)
         self._prune({**committed, day: buckets})

@@ -221,6 +221,7 @@ def test_calendar(spark):
     expected = {(day(1), None, day(2)), (day(2), day(1), day(4)), (day(4), day(2), None)}
     assert {tuple(r) for r in calendar(df).collect()} == expected
     assert {tuple(r) for r in calendar(df, [day(4), "2025-01-01", day(2)]).collect()} == expected
+    assert {tuple(r) for r in calendar(df.limit(0), df.select("day")).collect()} == expected
 
 
 def test_reverse_log_rules(spark):

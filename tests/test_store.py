@@ -365,3 +365,12 @@ def test_rebuild_does_not_shuffle_the_snapshot(spark, root):
         assert same(state, frame(spark, [address(i, numero=2) for i in range(20)]))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_first_day_may_be_redone(spark, root):
+    store = HistoryStore(spark, root)
+    store.ingest(day(1), frame(spark, [address(1), address(2)]))
+    store.ingest(day(1), frame(spark, [address(3)]))
+    assert same(store.as_of(day(1)), frame(spark, [address(3)]))
+    assert [r["action"] for r in store.log().collect()] == ["DELETE"]
+    assert tuple(store.summaries().first())[1:] == (1, 0, 0, 1)

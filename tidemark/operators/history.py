@@ -22,15 +22,20 @@ from ..sources.schema import ACTION, DAY, as_day
 FAR_FUTURE = dt.date(9999, 12, 31)
 
 
-def calendar(dumps: DataFrame, days: Sequence[dt.date | str] | None = None) -> DataFrame:
+Days = DataFrame | Sequence[dt.date | str] | None
+
+
+def calendar(dumps: DataFrame, days: Days = None) -> DataFrame:
     """The days that have a dump, each with the dump day before and after it.
 
     Columns: ``day``, ``previous``, ``next``. Without ``days`` they are the
-    distinct days of ``dumps``, gathered with partial aggregation. Either way
-    there is one row per calendar date at most, whatever the data's size.
+    distinct days of ``dumps``; given a frame, those of its ``day`` column.
+    They are gathered with partial aggregation, and there is one row per
+    calendar date at most, whatever the data's size.
     """
-    if days is None:
-        listed = dumps.groupBy().agg(F.expr(f"sort_array(collect_set({DAY})) AS days"))
+    if days is None or isinstance(days, DataFrame):
+        source = dumps if days is None else days
+        listed = source.groupBy().agg(F.expr(f"sort_array(collect_set({DAY})) AS days"))
     else:
         known = sorted({as_day(d) for d in days})
         listed = dumps.sparkSession.createDataFrame([(known,)], "days array<date>")
@@ -40,14 +45,13 @@ def calendar(dumps: DataFrame, days: Sequence[dt.date | str] | None = None) -> D
     )
 
 
-def reverse_log(
-    dumps: DataFrame, keys: Sequence[str], days: Sequence[dt.date | str] | None = None
-) -> DataFrame:
+def reverse_log(dumps: DataFrame, keys: Sequence[str], days: Days = None) -> DataFrame:
     """The reverse log of many dumps in one job.
 
     ``dumps`` holds ``day``, the keys and the row, a key at most once a day
-    (``dedupe(dumps, ["day", *keys])``). Pass ``days`` when some dump is empty
-    or the days are known anyway.
+    (``dedupe(dumps, ["day", *keys])``). Pass ``days``, as a list or as a frame
+    with a ``day`` column, when some dump is empty or when they come cheaper
+    than from ``dumps``, which else is computed once more to list them.
 
     One shuffle on the keys brings each key's history together, a row per day
     at most; both what appeared and what vanished is then read off a row's

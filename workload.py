@@ -3,8 +3,8 @@
 The tables hold no daily dumps, so three stand-ins are derived from whole
 tables:
 
-* daily dumps from `events`: each user's last event of a calendar day; a user
-  whose last event is an error is absent that day;
+* daily dumps from `events`, one for each day with events: each user's last
+  event of the day; a user whose last event is an error is absent;
 * yearly dumps from `orders`: each customer's last order of a year;
 * a pair of snapshots from `lineitem`: the last returned and the last kept
   line of each part and supplier.
@@ -48,7 +48,8 @@ def last_dump(spark, sf) -> DataFrame:
 
 
 def daily_log(spark, sf) -> DataFrame:
-    return tm.reverse_log(daily(spark, sf), USER)
+    days = table(spark, sf, "events").selectExpr("CAST(ts AS DATE) AS day")
+    return tm.reverse_log(daily(spark, sf), USER, days)
 
 
 def yearly(orders: DataFrame) -> DataFrame:
@@ -190,7 +191,9 @@ def reverse_log_counts(spark, sf):
 
 
 def reverse_log_yearly(spark, sf):
-    return tm.reverse_log(yearly(table(spark, sf, "orders")), ["o_custkey"])
+    orders = table(spark, sf, "orders")
+    days = orders.selectExpr("make_date(year(o_orderdate), 12, 31) AS day")
+    return tm.reverse_log(yearly(orders), ["o_custkey"], days)
 
 
 def as_of_mid(spark, sf):

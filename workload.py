@@ -47,9 +47,12 @@ def last_dump(spark, sf) -> DataFrame:
     return daily(spark, sf).join(F.broadcast(last_day), "day", "left_semi").drop("day")
 
 
+def daily_days(spark, sf) -> DataFrame:
+    return table(spark, sf, "events").selectExpr("CAST(ts AS DATE) AS day")
+
+
 def daily_log(spark, sf) -> DataFrame:
-    days = table(spark, sf, "events").selectExpr("CAST(ts AS DATE) AS day")
-    return tm.reverse_log(daily(spark, sf), USER, days)
+    return tm.reverse_log(daily(spark, sf), USER, daily_days(spark, sf))
 
 
 def yearly(orders: DataFrame) -> DataFrame:
@@ -102,7 +105,7 @@ def daily_store(spark, sf) -> tm.HistoryStore:
     """All days in one job."""
     dumps = daily(spark, sf)
     store = tm.HistoryStore(spark, scratch_folder(spark), dumps.drop("day").schema, USER)
-    store.backfill_long(dumps)
+    store.backfill_long(dumps, [r[0] for r in daily_days(spark, sf).distinct().collect()])
     return store
 
 
@@ -375,12 +378,15 @@ changes AS (
     FROM a FULL OUTER JOIN b ON a.l_partkey = b.l_partkey AND a.l_suppkey = b.l_suppkey)"""
 
 
-def _log_sql(dumps: str, key: str, columns: list[str]) -> str:
-    """The reverse log of a long table by joining each dump with the one before."""
+def _log_sql(dumps: str, source: str, key: str, columns: list[str]) -> str:
+    """The reverse log of a long table by joining each dump with the one before.
+
+    The days are those of ``source``, as a dump may be empty.
+    """
     images = ", ".join(f"CASE WHEN p.{key} IS NULL THEN t.{c} ELSE p.{c} END AS {c}" for c in columns)
     differ = " OR ".join(f"t.{c} IS DISTINCT FROM p.{c}" for c in columns)
     return f"""
-days AS (SELECT day, lag(day) OVER (ORDER BY day) AS before FROM (SELECT DISTINCT day FROM {dumps})),
+days AS (SELECT day, lag(day) OVER (ORDER BY day) AS before FROM (SELECT DISTINCT day FROM {source})),
 earlier AS (SELECT d.day AS at, x.* FROM {dumps} x JOIN days d ON x.day = d.before),
 log AS (
     SELECT coalesce(t.{key}, p.{key}) AS {key}, {images},
@@ -390,11 +396,11 @@ log AS (
     FROM {dumps} t FULL OUTER JOIN earlier p ON t.{key} = p.{key} AND t.day = p.at)"""
 
 
-DAILY_LOG = DAILY + "," + _log_sql("daily", "user_id", ["event_type", "value"])
+DAILY_LOG = DAILY + "," + _log_sql("daily", "last_event", "user_id", ["event_type", "value"])
 YEARLY_LOG = (
     YEARLY
     + ","
-    + _log_sql("yearly", "o_custkey", ["o_orderstatus", "o_totalprice", "o_orderpriority"])
+    + _log_sql("yearly", "last_order", "o_custkey", ["o_orderstatus", "o_totalprice", "o_orderpriority"])
 )
 LOG_ROWS = "SELECT * FROM log WHERE action IS NOT NULL"
 SUMMARIES = """SELECT day, count(*) FILTER (action = 'DELETE') AS inserts,
@@ -403,7 +409,7 @@ SUMMARIES = """SELECT day, count(*) FILTER (action = 'DELETE') AS inserts,
        count(action) AS total FROM log GROUP BY day"""
 MANY_DAYS = f"""SELECT CAST(w.as_of AS DATE) AS as_of, user_id, event_type, value
 FROM (SELECT unnest(generate_series(DATE '{BEFORE}', DATE '{BEFORE}' + 39, INTERVAL 1 DAY)) AS as_of) w
-JOIN daily ON day = (SELECT max(d.day) FROM daily d WHERE d.day <= w.as_of)"""
+JOIN daily ON day = (SELECT max(d.day) FROM last_event d WHERE d.day <= w.as_of)"""
 REPORT = """SELECT count(*) AS addresses,
        count(DISTINCT {c}) + coalesce(max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END), 0) AS communes,
        count(DISTINCT {s}) + coalesce(max(CASE WHEN {s} IS NULL THEN 1 ELSE 0 END), 0) AS streets,
@@ -505,7 +511,7 @@ ORACLE = {
     "reverse_log_yearly": f"WITH {YEARLY_LOG} {LOG_ROWS}",
     "as_of_mid": f"WITH {DAILY} SELECT * EXCLUDE (day) FROM daily WHERE day = DATE '{MID}'",
     "as_of_latest": f"""WITH {DAILY} SELECT * EXCLUDE (day) FROM daily
-        WHERE day = (SELECT max(day) FROM daily WHERE day <= DATE '{LATEST}')""",
+        WHERE day = (SELECT max(day) FROM last_event WHERE day <= DATE '{LATEST}')""",
     "as_of_before_first": f"""WITH {DAILY} SELECT * EXCLUDE (day) FROM daily
         WHERE day <= DATE '{BEFORE}'""",
     "as_of_many": f"WITH {DAILY} {MANY_DAYS}",

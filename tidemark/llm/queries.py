@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import mixing
+from . import language, mixing, sketches
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -17,5 +18,19 @@ def op1_mix_sources(spark, sf):
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources,)}
+def op8_bottom_k_sketches(spark, sf):
+    return sketches.compare_with_edits(_table(spark, sf, "documents"))
+
+
+def op9_identify_languages(spark, sf):
+    docs = _table(spark, sf, "documents")
+    model = language.fit(docs.filter(~language.held_out(F.col("doc_id"))))
+    held = language.held_out(F.col("doc_id")).alias("held_out")
+    named = language.identify(docs.select("doc_id", "text"), model)
+    return named.select(
+        "doc_id", held, F.col("predicted.language").alias("lang_pred"), F.col("predicted.score").alias("score")
+    )
+
+
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op8_bottom_k_sketches, op9_identify_languages)}
 ORACLE: dict[str, str] = {}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, mixing, sketches
+from . import decontaminate, language, mixing, neardup, sketches
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -18,6 +18,19 @@ def op1_mix_sources(spark, sf):
     )
 
 
+def op4_decontaminate(spark, sf):
+    found = decontaminate.contamination(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items",
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+def op7_minhash_near_duplicates(spark, sf):
+    return neardup.near_duplicates(_table(spark, sf, "documents"), shingle=2)
+
+
 def op8_bottom_k_sketches(spark, sf):
     return sketches.compare_with_edits(_table(spark, sf, "documents"))
 
@@ -32,5 +45,11 @@ def op9_identify_languages(spark, sf):
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op8_bottom_k_sketches, op9_identify_languages)}
+QUERIES = {f.__name__: f for f in (
+    op1_mix_sources,
+    op4_decontaminate,
+    op7_minhash_near_duplicates,
+    op8_bottom_k_sketches,
+    op9_identify_languages,
+)}
 ORACLE: dict[str, str] = {}

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, mixing, neardup, sketches
+from . import decontaminate, language, licenses, mixing, neardup, secrets, sketches
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -18,6 +18,29 @@ def op1_mix_sources(spark, sf):
     )
 
 
+def _spans(findings: str, wanted: str = "true") -> Column:
+    """``kind:start:end`` of an array of findings, comma-joined in its order."""
+    return F.expr(
+        f"array_join(transform(filter({findings}, f -> {wanted}),"
+        " f -> concat_ws(':', f.kind, f.start, f.end)), ',')"
+    )
+
+
+def _count(findings: str, kind: str) -> Column:
+    return F.expr(f"CAST(size(filter({findings}, f -> f.base AND f.kind = '{kind}')) AS LONG)").alias(f"n_{kind}")
+
+
+def op2_secrets(spark, sf):
+    found = secrets.find_secrets(_table(spark, sf, "documents"))
+    return found.select(
+        "doc_id",
+        *[_count("findings", kind) for kind in secrets.KINDS],
+        F.sha2(_spans("findings", "f.base"), 256).alias("base_sha256"),
+        _spans("findings").alias("spans"),
+        F.expr("CAST(size(filter(findings, f -> f.live)) AS LONG)").alias("n_live"),
+    )
+
+
 def op4_decontaminate(spark, sf):
     found = decontaminate.contamination(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
     return found.select(
@@ -27,6 +50,22 @@ def op4_decontaminate(spark, sf):
     )
 
 
+def op6_licenses(spark, sf):
+    found = licenses.scan_licenses(_table(spark, sf, "documents"))
+    base = F.array_join(F.array_sort(F.array_distinct(F.col("places.label"))), ",")
+    containment = F.coalesce(F.array_max(F.col("blocks.containment")), F.lit(0.0))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("long").alias("n_base"),
+        F.array_min(F.col("places.start")).cast("long").alias("first_word"),
+        F.array_max(F.col("places.start")).cast("long").alias("last_word"),
+        base.alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        F.when(F.size("places") > 0, F.lit(1.0)).otherwise(containment).alias("score"),
+    )
+
+
 def op7_minhash_near_duplicates(spark, sf):
     return neardup.near_duplicates(_table(spark, sf, "documents"), shingle=2)
 
@@ -47,7 +86,9 @@ def op9_identify_languages(spark, sf):
 
 QUERIES = {f.__name__: f for f in (
     op1_mix_sources,
+    op2_secrets,
     op4_decontaminate,
+    op6_licenses,
     op7_minhash_near_duplicates,
     op8_bottom_k_sketches,
     op9_identify_languages,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, licenses, mixing, neardup, secrets, sketches
+from . import decontaminate, language, licenses, mixing, neardup, pii, repeats, secrets, sketches
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -41,6 +41,20 @@ def op2_secrets(spark, sf):
     )
 
 
+def op3_personal_data(spark, sf):
+    found = pii.find_personal_data(_table(spark, sf, "documents"))
+    counts = [
+        F.expr(f"CAST(size(filter(findings, f -> f.kind = '{kind}')) AS LONG)").alias(f"n_{kind}")
+        for kind in pii.KINDS
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(_spans("findings", f"f.kind <> '{pii.TERM}'"), 256).alias("base_sha256"),
+        _spans("findings").alias("spans"),
+    )
+
+
 def op4_decontaminate(spark, sf):
     found = decontaminate.contamination(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
     return found.select(
@@ -50,6 +64,10 @@ def op4_decontaminate(spark, sf):
     )
 
 
+def op5_remove_repeats(spark, sf):
+    return repeats.remove_repeats(_table(spark, sf, "documents")).drop("kept")
+
+
 def op6_licenses(spark, sf):
     found = licenses.scan_licenses(_table(spark, sf, "documents"))
     base = F.array_join(F.array_sort(F.array_distinct(F.col("places.label"))), ",")
@@ -87,7 +105,9 @@ def op9_identify_languages(spark, sf):
 QUERIES = {f.__name__: f for f in (
     op1_mix_sources,
     op2_secrets,
+    op3_personal_data,
     op4_decontaminate,
+    op5_remove_repeats,
     op6_licenses,
     op7_minhash_near_duplicates,
     op8_bottom_k_sketches,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, licenses, mixing, neardup, pii, repeats, secrets, sketches
+from . import decontaminate, language, licenses, mixing, neardup, pages, pii, repeats, secrets, sketches
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -102,6 +102,10 @@ def op9_identify_languages(spark, sf):
     )
 
 
+def op10_extract_pages(spark, sf):
+    return pages.extract(_table(spark, sf, "pages"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_mix_sources,
     op2_secrets,
@@ -112,5 +116,6 @@ QUERIES = {f.__name__: f for f in (
     op7_minhash_near_duplicates,
     op8_bottom_k_sketches,
     op9_identify_languages,
+    op10_extract_pages,
 )}
 ORACLE: dict[str, str] = {}

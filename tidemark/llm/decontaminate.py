@@ -211,7 +211,8 @@ def contamination(
 
     Returns ``id_column``, ``n_words``, ``n_hit``, ``n_items``, ``items``
     (sorted as strings), ``contaminated`` (some words are hit, and at least
-    ``percent`` of all), a row per input row.
+    ``percent`` of all) and ``text_hash`` (``xxhash64`` of the text), a row per
+    input row.
 
     A null or empty text has no words and is clean. Null ids equal each other;
     rows that repeat an id with another text are judged apart. An empty
@@ -250,4 +251,5 @@ def contamination(
         F.size(listed).cast("long").alias("n_items"),
         listed.alias("items"),
         ((n_hit > 0) & (n_hit * 100 >= F.col("n_words") * percent)).alias("contaminated"),
+        F.col("hash").alias("text_hash"),
     )

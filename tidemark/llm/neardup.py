@@ -201,8 +201,9 @@ def near_duplicates(
     estimate is ``slack`` (seven standard deviations) below the bound.
 
     Returns ``id_column``, ``n_shingles``, ``component_id`` (the smallest id in
-    the component) and ``kept`` (whether that is the row's own id), a row per
-    input row. A null text or one without words has no shingles and no links.
+    the component), ``kept`` (whether that is the row's own id), ``component``
+    (its number; null without shingles) and ``text_hash`` (``xxhash64`` of the
+    text), a row per input row. A null text or one without words has no shingles and no links.
     A null id counts as larger than any other. Rows with equal ids are separate
     documents; those with equal texts share a component. An empty table gives
     an empty result. Other columns are not looked at.
@@ -290,17 +291,38 @@ def near_duplicates(
         *same, "low", F.coalesce("component", "id").alias("component")
     )
     lowest = placed.groupBy("component").agg(F.min("low").alias("lowest"))
-    placed = placed.join(lowest, "component").select(*same, "lowest")
-    joined = sets.select("doc", *same).join(placed, same, "left")
+    placed = placed.join(lowest, "component").select(*same, "lowest", "component")
+    joined = sets.select("doc", "t1", *same).join(placed, same, "left")
     component = F.when(F.col("n_shingles") > 0, F.col("lowest")).otherwise(F.col("doc"))
     return joined.select(
         F.col("doc").alias(id_column),
         "n_shingles",
         component.alias("component_id"),
         F.col("doc").eqNullSafe(component).alias("kept"),
+        "component",
+        F.col("t1").alias("text_hash"),
     )
 
 
+def rejected_copies(found: DataFrame, id_column: str = "doc_id") -> tuple[DataFrame, DataFrame]:
+    """What must go so that one document of each component stays.
+
+    From the result of ``near_duplicates``: the ``id, text_hash`` of all
+    documents but one of each component, and of those that stay the ones that
+    several equal rows hold, so that all but one of these can go.
+    """
+    rows = stored(
+        found.groupBy(F.col(id_column).alias("id"), "text_hash", "component")
+        .agg(F.count("*").alias("n"), F.max("kept").alias("kept"))
+        .filter("component IS NOT NULL")
+    )
+    chosen = rows.filter("kept").groupBy("component").agg(F.min("text_hash").alias("chosen"))
+    judged = rows.join(chosen, "component").withColumn("stays", F.expr("kept AND text_hash = chosen"))
+    gone = stored(judged.filter("NOT stays").select("id", "text_hash"))
+    several = stored(judged.filter("stays AND n > 1").select("id", "text_hash"))
+    return gone, several
+
+
 def _estimated(pairs: DataFrame, classes: DataFrame, floor: float) -> DataFrame:
     """Pairs whose bit planes agree well enough, counted in the engine."""
     bits = classes.select("id", "bits")

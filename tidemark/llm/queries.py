@@ -85,7 +85,8 @@ def op6_licenses(spark, sf):
 
 
 def op7_minhash_near_duplicates(spark, sf):
-    return neardup.near_duplicates(_table(spark, sf, "documents"), shingle=2)
+    found = neardup.near_duplicates(_table(spark, sf, "documents"), shingle=2)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op8_bottom_k_sketches(spark, sf):

@@ -15,6 +15,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -79,13 +80,14 @@ CANDIDATE = "struct<kind:string,start:bigint,end:bigint,value_hash:binary,base:b
 def scan(
     docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", owner_column: str = "source"
 ) -> DataFrame:
-    """``doc``, ``owner`` and the candidates of each whole text; values only as hashes."""
+    """``doc``, ``text_hash``, ``owner`` and the candidates of each whole text; values only as hashes."""
     rows = docs.select(
         F.col(id_column).cast("long").alias("doc"),
+        F.xxhash64(text_column).alias("text_hash"),
         F.col(owner_column).cast("string").alias("owner"),
         F.col(text_column).alias("text"),
     )
-    schema = pa.schema([("doc", pa.int64()), ("owner", pa.string()), ("candidates", pa.list_(_CANDIDATE))])
+    schema = pa.schema([("doc", pa.int64()), ("text_hash", pa.int64()), ("owner", pa.string()), ("candidates", pa.list_(_CANDIDATE))])
 
     def digest(value: str) -> bytes:
         return hashlib.sha256(value.encode("utf-8", "replace")).digest()[:16]
@@ -103,10 +105,10 @@ def scan(
                 for s, e, v in generic_matches(text, base):
                     found.append({"kind": "generic", "start": s, "end": e, "value_hash": digest(v), "base": False})
                 out.append(found)
-            columns = [part.column("doc"), part.column("owner"), pa.array(out, pa.list_(_CANDIDATE))]
+            columns = [*(part.column(c) for c in ("doc", "text_hash", "owner")), pa.array(out, pa.list_(_CANDIDATE))]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
-    return rows.mapInArrow(search, f"doc long, owner string, candidates array<{CANDIDATE}>")
+    return rows.mapInArrow(search, f"doc long, text_hash long, owner string, candidates array<{CANDIDATE}>")
 
 
 def ownership(candidates: DataFrame) -> DataFrame:
@@ -141,9 +143,9 @@ def find_secrets(
     ``example_repositories`` repositories hold is an example, any other one
     looks live.
 
-    Returns ``id_column`` and ``findings``, an array of ``kind, start, end,
-    base, live, owners, repositories`` by start, then by kind as listed, for
-    each input row. Base findings are always there; a generic one only when it
+    Returns ``id_column``, ``text_hash`` (``xxhash64`` of the text) and
+    ``findings``, an array of ``kind, start, end, base, live, owners,
+    repositories`` by start, then by kind as listed, for each input row. Base findings are always there; a generic one only when it
     is live. Positions are code points, ends exclusive.
 
     A null text counts as empty. A null owner is an owner of its own. Null and
@@ -155,7 +157,7 @@ def find_secrets(
     # Rows alike in everything are told by their number and put back below.
     marked = (
         scanned.filter(F.size("candidates") > 0)
-        .groupBy("doc", "owner", "candidates")
+        .groupBy("doc", "text_hash", "owner", "candidates")
         .agg(F.count("*").alias("copies"))
     )
     marked = stored(marked.select(F.monotonically_increasing_id().alias("row"), "*"))
@@ -181,10 +183,11 @@ def find_secrets(
     )
     shape = ["kind", "start", "end", "base", "live", "owners", "repositories"]
     with_findings = (
-        marked.select("row", "doc", "copies")
+        marked.select("row", "doc", "text_hash", "copies")
         .join(findings, "row", "left")
         .select(
             "doc",
+            "text_hash",
             F.transform(
                 F.coalesce("findings", F.array().cast(findings.schema["findings"].dataType)),
                 lambda f: F.struct(*[f[c].alias(c) for c in shape]),
@@ -195,6 +198,49 @@ def find_secrets(
     )
     empty = with_findings.schema["findings"].dataType
     without = scanned.filter(F.size("candidates") == 0).select(
-        "doc", F.array().cast(empty).alias("findings")
+        "doc", "text_hash", F.array().cast(empty).alias("findings")
     )
     return with_findings.union(without).withColumnRenamed("doc", id_column)
+
+
+MASK = "[secret]"
+
+
+def mask(
+    docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", owner_column: str = "source", **limits
+) -> DataFrame:
+    """``docs`` with every live-looking secret replaced by ``[secret]``.
+
+    Findings that overlap are replaced together. Examples stay, and so do all
+    rows and all other columns. Texts without a live finding, null texts among
+    them, are untouched.
+    """
+    found = find_secrets(docs, id_column=id_column, text_column=text_column, owner_column=owner_column, **limits)
+    spans = F.transform(F.filter("findings", lambda f: f["live"]), lambda f: F.struct(f["start"], f["end"]))
+    live = stored(
+        found.select(F.col(id_column).alias("__id"), F.col("text_hash").alias("__hash"), spans.alias("__spans"))
+        .filter(F.size("__spans") > 0)
+        .dropDuplicates(["__id", "__hash"])
+    )
+
+    @F.pandas_udf("string")
+    def replaced(texts: pd.Series, spans: pd.Series) -> pd.Series:
+        return pd.Series([_replace(t, s) for t, s in zip(texts, spans)])
+
+    same = F.col(id_column).cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(text_column) == F.col("__hash"))
+    joined = docs.join(live, same, "left")
+    text = F.when(F.isnull("__spans"), F.col(text_column)).otherwise(
+        replaced(F.when(F.isnotnull("__spans"), F.col(text_column)), "__spans")
+    )
+    return joined.withColumn(text_column, text).drop("__id", "__hash", "__spans")
+
+
+def _replace(text: str | None, spans) -> str | None:
+    if text is None or spans is None:
+        return text
+    out, at = [], 0
+    for start, end in sorted((s["start"], s["end"]) for s in spans):
+        if start >= at:
+            out += [text[at:start], MASK]
+        at = max(at, end)
+    return "".join(out) + text[at:]

@@ -1,0 +1,80 @@
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm import mixing
+
+from .data import frame, odd_texts, prose, tokens
+
+
+def fill(sizes, weights, most=3):
+    """Targets by rounds of resharing, as the rule is written."""
+    total, capped = sum(sizes.values()), {}
+    while True:
+        rest = total - sum(capped.values())
+        free = {s: w for s, w in weights.items() if s not in capped}
+        target = {s: rest * w / sum(free.values()) for s, w in free.items()}
+        over = {s: most * sizes[s] for s in free if target[s] > most * sizes[s]}
+        if not over:
+            return target | capped
+        capped |= over
+
+
+def sources_of(rows):
+    found = defaultdict(list)
+    for r in rows:
+        found[r["source"]].append(r)
+    return found
+
+
+def test_targets_quotas_and_repeats(spark):
+    texts = prose(400) + ["tiny"] * 3
+    docs = frame(spark, texts, sources=("b", "a", "ä", None, "a", "a", "Z"))
+    small = docs.filter("doc_id < 3").withColumn("source", F.lit("zz")).withColumn("doc_id", F.col("doc_id") + 1000)
+    docs = docs.unionByName(small)
+    rows = mixing.mix(docs, docs_per_shard=40, block_tokens=8).collect()
+    text_of = {r["doc_id"]: r["text"] for r in docs.collect()}
+    assert len(rows) == docs.count()
+    assert all(r["size"] == len(tokens(text_of[r["doc_id"]])) for r in rows)
+    found = sources_of(rows)
+    names = sorted((s for s in found if s is not None), key=lambda s: s.encode()) + [None]
+    sizes = {s: sum(r["size"] for r in found[s]) for s in names}
+    expected = fill(sizes, {s: i % 3 + 1 for i, s in enumerate(names)})
+    for s in names:
+        assert {r["source_size"] for r in found[s]} == {sizes[s]}
+        assert found[s][0]["target"] == pytest.approx(expected[s])
+        shards = len(found[s]) // 40 + 1
+        assert abs(sum(r["taken"] for r in found[s]) - expected[s]) <= 8 * 4 * (shards + 1)
+    assert all(0 <= r["taken"] <= 3 * r["size"] for r in rows)
+    again = mixing.mix(docs.repartition(7), docs_per_shard=40, block_tokens=8).collect()
+    key = lambda r: (r["doc_id"], r["size"], r["taken"])
+    assert sorted(map(key, rows)) == sorted(map(key, again))
+
+
+def test_own_weights(spark):
+    docs = frame(spark, prose(60), sources=("a", "b", "c"))
+    weights = spark.createDataFrame([("a", 1.0), ("b", 1.0)], "source string, weight double")
+    found = sources_of(mixing.mix(docs, weights, block_tokens=1).collect())
+    assert sum(r["taken"] for r in found["c"]) == 0
+    assert found["a"][0]["target"] == pytest.approx(found["b"][0]["target"])
+
+
+def test_sainte_lague_is_highest_quotients(spark):
+    votes = {"a": 53.0, "b": 24.0, "c": 23.0, "d": 0.0, "e": 1.5}
+    for seats in (0, 1, 4, 7, 100):
+        claims = spark.createDataFrame([("g", n, v, seats, 10_000) for n, v in votes.items()],
+                                       "g string, n string, v double, seats long, most long")
+        got = {r["n"]: r["quota"] for r in mixing.sainte_lague(claims, ["g"], "seats", "v", "most", ["n"]).collect()}
+        best = sorted((-v / (2 * k + 1), n, k) for n, v in votes.items() for k in range(seats))[:seats]
+        assert got == {n: sum(b[1] == n for b in best) for n in votes}
+
+
+def test_odd_documents(spark):
+    docs = frame(spark, odd_texts())
+    rows = mixing.mix(docs).collect()
+    assert len(rows) == docs.count()
+    assert sum(r["size"] for r in rows) == sum(len(tokens(r["text"])) for r in docs.collect())
+    assert all(0 <= r["taken"] <= 3 * r["size"] for r in rows)
+    assert mixing.mix(docs.limit(0)).collect() == []
+    assert all(r["taken"] == 0 and r["target"] == 0 for r in mixing.mix(frame(spark, [None, ""])).collect())

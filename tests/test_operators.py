@@ -365,3 +365,41 @@ def test_column_names_the_operators_use_themselves(spark):
     for unique in (True, False):
         got = tm.snapshot_metrics(last, ["commune"], "previous", "street", unique_keys=unique)
         assert tuple(got.first()) == (1, 1, 1, 1)
+
+
+def test_reverse_log_refuses_days_that_are_not_listed(spark):
+    rows = spark.createDataFrame([(dt.date(2025, 1, 1), "a", 1), (dt.date(2025, 1, 2), "b", 2)], "day date, k string, v int")
+    with pytest.raises(Exception, match="no dump is listed for day 2025-01-02"):
+        tm.reverse_log(rows, ["k"], ["2025-01-01"]).collect()
+    missing = rows.withColumn("day", F.lit(None).cast("date"))
+    with pytest.raises(Exception, match="day null"):
+        tm.reverse_log(missing.unionByName(rows), ["k"]).collect()
+
+
+def test_compare_splits_a_hot_key(spark):
+    """The rows of a hot key meet it over a salt, and single copies are not shuffled again."""
+    a, b = (spark.range(400).selectExpr("1 AS k", f"id * {s} AS v") for s in (2, 2_000))
+    changes = tm.compare(a, b, ["k"])
+    got = changes.groupBy("change").count().collect()
+    both = {2 * i for i in range(400)} & {2000 * i for i in range(400)}
+    assert {r["change"]: r["count"] for r in got} == {"removed": 400 - len(both), "added": 400 - len(both)}
+    plan = changes._jdf.queryExecution().executedPlan().toString()
+    assert "__salt" in plan and "__copy" in plan
+
+
+def test_as_of_many_spans(spark):
+    """Every bound before, inside and behind the wanted days, with gaps between these."""
+    start = dt.date(2025, 1, 1)
+    every = [start + dt.timedelta(n) for n in range(12)]
+    for wanted in (every[3:4], every[2:9:3], every[4:6] + every[9:10]):
+        log = spark.createDataFrame(
+            [("a", 1, "UPDATE", every[3]), ("a", 2, "UPDATE", every[5]), ("b", 1, "DELETE", every[4]), ("c", 1, "INSERT", every[8])],
+            "k string, v int, action string, day date",
+        )
+        snapshot = spark.createDataFrame([("a", 3), ("b", 9)], "k string, v int")
+        got = bag(tm.as_of_many(snapshot, log, wanted, ["k"]))
+        expected = Counter()
+        for d in wanted:
+            one = tm.as_of(snapshot, log, d, ["k"]).withColumn("as_of", F.lit(d))
+            expected += bag(one)
+        assert got == expected

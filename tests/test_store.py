@@ -1,6 +1,7 @@
 """The store end to end: golden days, re-runs, crashes, retention, evolution."""
 
 import datetime as dt
+import glob
 import os
 import shutil
 
@@ -10,6 +11,8 @@ from pyspark.sql import types as T
 
 from tidemark import ADDRESS_SCHEMA, HistoryStore, compare, diff, integrate, rebuild, report
 
+from tidemark.plans.store import Commit, _estimated_bytes
+
 from .helpers import (
     address,
     bag,
@@ -199,7 +202,7 @@ def test_interrupted_day_is_invisible_and_redone(spark, root):
     store.ingest(day(1), first)
     store.ingest(day(2), frame(spark, [address(2)]))
     # The run died before its commit: snapshot and log are there, counts are not.
-    shutil.rmtree(f"{root}/summary/run={day(2)}")
+    shutil.rmtree(f"{root}/summary/c=0000000002")
     assert store.days() == [day(1)]
     assert same(store.as_of(day(2)), first)
     assert same(store.snapshot(), first)
@@ -214,6 +217,8 @@ def test_snapshots_are_pruned_and_history_stays(spark, root):
     store = HistoryStore(spark, root, keep=2)
     for n in range(1, 6):
         store.ingest(day(n), frame(spark, [address(n), address(9, numero=n)]))
+    assert len(os.listdir(f"{root}/snapshot")) == 5
+    store.vacuum()
     assert sorted(os.listdir(f"{root}/snapshot")) == [f"day={day(4)}", f"day={day(5)}"]
     for n in range(1, 6):
         assert same(store.as_of(day(n)), frame(spark, [address(n), address(9, numero=n)]))
@@ -232,31 +237,37 @@ def test_bucket_count_may_change(spark, root):
 
 def test_bucket_count_follows_the_size(spark, root):
     store = HistoryStore(spark, root)
-
-    class Rows:
-        """A frame of a claimed size."""
-
-        def __init__(self, size):
-            self._jdf = self
-            self.size = size
-
-        def __getattr__(self, name):
-            return lambda: self
-
-        def __str__(self):
-            return str(self.size)
-
     gb = 1 << 30
-    spark.conf.set("spark.sql.shuffle.partitions", "1000")
+
+    def had(buckets):
+        return Commit(1, "v", buckets)
+
+    assert store._bucket_count(100, None) == 1
+    assert store._bucket_count(100 * gb, None) == 200
+    assert store._bucket_count(100 * gb, had(150)) == 150
+    assert store._bucket_count(100 * gb, had(50)) == 200
+    assert store._bucket_count(40_000 * gb, None) == 80_000
+    with pytest.raises(ValueError, match="maxBuckets"):
+        store._bucket_count(100_000 * gb, None)
+    spark.conf.set("spark.sql.sources.bucketing.maxBuckets", "250000")
     try:
-        assert store._bucket_count(Rows(100), None) == 8
-        assert store._bucket_count(Rows(100 * gb), None) == 200
-        assert store._bucket_count(Rows(100 * gb), 150) == 150
-        assert store._bucket_count(Rows(100 * gb), 50) == 200
-        assert store._bucket_count(Rows(100_000 * gb), None) == 1000
-        assert HistoryStore(spark, root, buckets=5)._bucket_count(Rows(gb), 9) == 5
+        assert store._bucket_count(100_000 * gb, None) == 200_000
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.unset("spark.sql.sources.bucketing.maxBuckets")
+    assert HistoryStore(spark, root, buckets=5)._bucket_count(gb, had(9)) == 5
+
+
+def test_estimates_are_file_sizes(spark, root, tmp_path):
+    rows = spark.range(200_000).selectExpr("CAST(id AS STRING) AS k", "id % 7 AS v")
+    rows.write.parquet(str(tmp_path / "dump"))
+    on_disk = sum(os.path.getsize(f) for f in glob.glob(f"{tmp_path}/dump/*.parquet"))
+    assert 0.5 * on_disk <= _estimated_bytes(spark.read.parquet(str(tmp_path / "dump"))) <= 2 * on_disk
+    days = rows.selectExpr("*", "date_add(DATE'2025-01-01', CAST(v AS INT)) AS day")
+    daily = HistoryStore(spark, f"{root}/daily", rows.schema, ["k"])
+    once = HistoryStore(spark, f"{root}/once", rows.schema, ["k"])
+    once.backfill_long(days)
+    daily.ingest(day(7), rows.filter("v = 6"))
+    assert {c.buckets for c in once._committed().values()} == {c.buckets for c in daily._committed().values()} == {1}
 
 
 def test_ingest_joins_without_a_shuffle(spark, root):
@@ -266,8 +277,8 @@ def test_ingest_joins_without_a_shuffle(spark, root):
     for n in (1, 2):
         store.ingest(day(n), frame(spark, [address(i) for i in range(n, 20)]))
     for n in (1, 2):
-        names = os.listdir(f"{root}/snapshot/day={day(n)}")
-        assert len([f for f in names if f.endswith(".parquet")]) <= 4
+        files = glob.glob(f"{root}/snapshot/day={day(n)}/__attempt=*/*.parquet")
+        assert 0 < len(files) <= 4
     assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
     delta = reverse_delta(store.snapshot(day(1)), store.snapshot(day(2)), store.keys)
     plan = delta._jdf.queryExecution().executedPlan().toString()
@@ -374,3 +385,98 @@ def test_first_day_may_be_redone(spark, root):
     assert same(store.as_of(day(1)), frame(spark, [address(3)]))
     assert [r["action"] for r in store.log().collect()] == ["DELETE"]
     assert tuple(store.summaries().first())[1:] == (1, 0, 0, 1)
+
+
+def test_a_refused_redo_leaves_the_day(spark, root):
+    store = HistoryStore(spark, root)
+    for n in (1, 2):
+        store.ingest(day(n), frame(spark, [address(n)]))
+    before = bag(store.log()), bag(store.snapshot())
+    with pytest.raises(ValueError):
+        store.ingest(day(2), frame(spark, [address(3)]).withColumn("more", F.lit(1)))
+    assert store.days() == [day(1), day(2)]
+    assert (bag(store.log()), bag(store.snapshot())) == before
+
+
+def test_a_day_may_be_corrected_from_the_store_itself(spark, root):
+    store = HistoryStore(spark, root)
+    store.ingest(day(1), frame(spark, [address(1), address(2)]))
+    store.ingest(day(2), frame(spark, [address(1), address(2), address(3)]))
+    store.ingest(day(2), store.snapshot().filter("numero <> 2"))
+    assert same(store.snapshot(), frame(spark, [address(1), address(3)]))
+    assert same(store.as_of(day(1)), frame(spark, [address(1), address(2)]))
+    assert same(store.log(day(1)).select("numero", "action"), spark.createDataFrame([(2, "INSERT"), (3, "DELETE")], "numero int, action string"))
+
+
+def test_readers_keep_their_frames(spark, root):
+    store = HistoryStore(spark, root)
+    for n in (1, 2, 3):
+        store.ingest(day(n), frame(spark, [address(n)]))
+    opened = [store.snapshot(), store.snapshot(day(2)), store.as_of(day(1)), store.log()]
+    expected = [bag(f) for f in opened]
+    store.ingest(day(3), frame(spark, [address(7)]))
+    store.ingest(day(4), frame(spark, [address(8)]))
+    store.ingest(day(5), frame(spark, [address(9)]))
+    assert [bag(f) for f in opened] == expected
+    store.vacuum()
+    assert same(store.as_of(day(3)), frame(spark, [address(7)]))
+    assert len(os.listdir(f"{root}/diff/day={day(3)}")) == 1
+    with pytest.raises(ValueError):
+        store.vacuum(keep=1)
+
+
+@pytest.mark.parametrize("step", ["_write_snapshot", "_read_snapshot", "_refused", "_write_summary"])
+def test_a_crash_at_any_step_changes_nothing(spark, root, monkeypatch, step):
+    store = HistoryStore(spark, root)
+    store.ingest(day(1), frame(spark, [address(1)]))
+    store.ingest(day(2), frame(spark, [address(2)]))
+    before = bag(store.log()), bag(store.snapshot()), bag(store.summaries())
+
+    def crash(*_, **__):
+        raise RuntimeError("gone")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(HistoryStore, step, crash)
+        with pytest.raises(RuntimeError):
+            store.ingest(day(2), frame(spark, [address(5)]))
+    assert (bag(store.log()), bag(store.snapshot()), bag(store.summaries())) == before
+    store.ingest(day(2), frame(spark, [address(5)]))
+    store.vacuum()
+    assert same(store.snapshot(), frame(spark, [address(5)]))
+    assert same(store.as_of(day(1)), frame(spark, [address(1)]))
+
+
+def test_refusals_are_counted(spark, root, tmp_path):
+    good = address(1)
+    dirty = [
+        good,
+        address(2, cle_interop=None),
+        address(3, cle_interop="01001@3"),
+        address(4, cle_interop="k" * 50),
+        address(6, cle_interop=good["cle_interop"], voie_nom="Zone"),
+        ";".join(["x"] * 3),
+    ]
+    store = HistoryStore(spark, root)
+    integrate(store, day(1), write_csv(tmp_path / "d.csv", dirty))
+    got = {(r["day"], r["rule"]): r["refused"] for r in store.refusals().collect()}
+    rules = ("cle_interop_missing", "cle_interop_shifted", "cle_interop_too_long", "duplicate", "malformed")
+    assert got == {(day(1), rule): 1 for rule in rules}
+    assert store.snapshot().count() == 1
+
+
+def test_backfill_long_counts_refusals_per_day(spark, root):
+    rows = [address(1), address(1, voie_nom="Zone"), address(2, cle_interop=None)]
+    long = frame(spark, rows).withColumn("day", F.lit(day(1))).unionByName(
+        frame(spark, rows[:1]).withColumn("day", F.lit(day(3))))
+    store = HistoryStore(spark, root)
+    store.backfill_long(long, days=[day(1), day(2), day(3)])
+    got = {(r["day"], r["rule"]): r["refused"] for r in store.refusals().collect()}
+    assert got == {(day(1), "duplicate"): 1, (day(1), "cle_interop_missing"): 1}
+    assert store.as_of(day(2)).isEmpty()
+
+
+def test_backfill_long_refuses_rows_without_a_day(spark, root):
+    long = frame(spark, [address(1)]).withColumn("day", F.lit(None).cast("date"))
+    with pytest.raises(Exception, match="has no day"):
+        HistoryStore(spark, root).backfill_long(long)
+    assert HistoryStore(spark, root).days() == []

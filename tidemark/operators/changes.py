@@ -104,7 +104,11 @@ def _one_sided(
 
 
 def _multiset_changes(
-    before: DataFrame, after: DataFrame, keys: Sequence[str], columns: Sequence[str]
+    before: DataFrame,
+    after: DataFrame,
+    keys: Sequence[str],
+    columns: Sequence[str],
+    salts: int = 32,
 ) -> DataFrame:
     signed = union_all([before.selectExpr("*", "1 AS __n"), after.selectExpr("*", "-1 AS __n")])
     # Copies more on the old side, or fewer.
@@ -115,34 +119,63 @@ def _multiset_changes(
     )
     row = f"struct({', '.join(idents(columns) or ['1 AS __none'])})"
     per_key = surplus.groupBy(*idents(keys)).agg(
-        F.expr("sum(greatest(__n, 0)) = 1 AND sum(least(__n, 0)) = -1 AS __pair"),
+        F.expr("count_if(__n > 0) <= 1 AND count_if(__n < 0) <= 1 AS __few"),
+        F.expr("sum(greatest(__n, 0)) AS __ups"),
+        F.expr("sum(greatest(-__n, 0)) AS __downs"),
+        F.expr(f"any_value({row}) FILTER (WHERE __n > 0) AS __a"),
         F.expr(f"any_value({row}) FILTER (WHERE __n < 0) AS __b"),
     )
-    # A pair is told by its old row. No later step relies on this join's
-    # partitioning, so Spark can split the rows of a hot key.
-    told = surplus.join(per_key, list(keys)).filter("NOT (__pair AND __n < 0)")
-    change = (
-        f"CASE WHEN __pair THEN '{MODIFIED}' WHEN __n > 0 THEN '{REMOVED}' ELSE '{ADDED}' END"
+    # A key with one row a side at most has its rows at hand.
+    pair = "__ups = 1 AND __downs = 1"
+    modified = per_key.filter(f"__few AND {pair}").selectExpr(
+        *idents(keys),
+        f"'{MODIFIED}' AS change",
+        *[f"{ident(c, side)} AS {ident(f'{prefix}_{c}')}" for prefix, side in (("old", "__a"), ("new", "__b")) for c in columns],
+    )
+    sides = "inline(array(struct(__ups AS __n, __a AS __row), struct(-__downs AS __n, __b AS __row)))"
+    unpaired = (
+        per_key.filter(f"__few AND NOT ({pair})")
+        .selectExpr(*idents(keys), sides)
+        .filter("__n <> 0")
+        .selectExpr(*idents(keys), *[f"{ident(c, '__row')} AS {ident(c)}" for c in columns], "__n")
     )
-    return _repeat(told, [*keys, *columns]).selectExpr(
+    # The rows of any other key meet the key in `salts` places, so that a key
+    # with very many of them is no task's alone.
+    several = per_key.filter("NOT __few").selectExpr(
+        *idents(keys), f"explode(sequence(0, {salts - 1})) AS __salt"
+    )
+    salt = f"CAST(pmod(xxhash64({', '.join(idents([*keys, *columns]))}), {salts}) AS INT) AS __salt"
+    crowded = (
+        surplus.selectExpr("*", salt)
+        .join(several, [*keys, "__salt"], "left_semi")
+        .selectExpr(*idents([*keys, *columns]), "__n")
+    )
+    change = f"if(__n > 0, '{REMOVED}', '{ADDED}')"
+    single = _repeat(union_all([unpaired, crowded]), [*keys, *columns]).selectExpr(
         *idents(keys),
         f"{change} AS change",
         *[f"if(__n > 0, {ident(c)}, NULL) AS {ident(f'old_{c}')}" for c in columns],
-        *[
-            f"CASE WHEN __pair THEN {ident(c, '__b')} WHEN __n < 0 THEN {ident(c)} END"
-            f" AS {ident(f'new_{c}')}"
-            for c in columns
-        ],
+        *[f"if(__n < 0, {ident(c)}, NULL) AS {ident(f'new_{c}')}" for c in columns],
     )
+    return union_all([modified, single])
 
 
 def _repeat(rows: DataFrame, columns: Sequence[str], chunk: int = 10_000) -> DataFrame:
-    """Each row as often as ``__n`` says, the copies of one row spread over tasks."""
-    chunked = rows.selectExpr(
-        "*", f"explode(sequence(0L, (abs(__n) - 1) DIV {chunk})) AS __chunk"
-    ).repartition(*idents(columns), "__chunk")
-    copies = f"least({chunk}L, abs(__n) - __chunk * {chunk})"
-    return chunked.selectExpr("*", f"explode(sequence(1L, {copies})) AS __copy")
+    """Each row as often as ``__n`` says.
+
+    The copies of a row that has more than ``chunk`` are spread over tasks;
+    all others are repeated where they are.
+    """
+    copies = "explode(sequence(1L, abs(__n))) AS __copy"
+    few = rows.filter(f"abs(__n) <= {chunk}").selectExpr("*", copies)
+    chunked = (
+        rows.filter(f"abs(__n) > {chunk}")
+        .selectExpr("*", f"explode(sequence(0L, (abs(__n) - 1) DIV {chunk})) AS __chunk")
+        .repartition(*idents(columns), "__chunk")
+    )
+    left = f"least({chunk}L, abs(__n) - __chunk * {chunk})"
+    many = chunked.selectExpr("*", f"explode(sequence(1L, {left})) AS __copy").drop("__chunk")
+    return union_all([few, many])
 
 
 def _images(columns: Sequence[str]) -> list[str]:

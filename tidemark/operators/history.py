@@ -19,6 +19,7 @@ from ..functions.text import differs, ident, idents
 from ..functions.unions import union_all
 from ..sources.schema import ACTION, DAY, as_day
 
+# Fixed value: the end of what still holds.
 FAR_FUTURE = dt.date(9999, 12, 31)
 
 
@@ -51,7 +52,8 @@ def reverse_log(dumps: DataFrame, keys: Sequence[str], days: Days = None) -> Dat
     ``dumps`` holds ``day``, the keys and the row, a key at most once a day
     (``dedupe(dumps, ["day", *keys])``). Pass ``days``, as a list or as a frame
     with a ``day`` column, when some dump is empty or when they come cheaper
-    than from ``dumps``, which else is computed once more to list them.
+    than from ``dumps``, which else is computed once more to list them. A row
+    whose day is null or not among them fails the query.
 
     One shuffle on the keys brings each key's history together, a row per day
     at most; both what appeared and what vanished is then read off a row's
@@ -59,9 +61,17 @@ def reverse_log(dumps: DataFrame, keys: Sequence[str], days: Days = None) -> Dat
     """
     columns = [c for c in dumps.columns if c not in {DAY, *keys}]
     row = f"struct({', '.join(idents(columns) or ['1 AS __none'])})"
+    listed = calendar(dumps, days).toDF("__listed", "__previous", "__next")
+    refuse = f"raise_error(concat('no dump is listed for day ', coalesce(string({DAY}), 'null')))"
     seen = (
-        dumps.join(F.broadcast(calendar(dumps, days).toDF(DAY, "__previous", "__next")), DAY)
-        .selectExpr(*idents(keys), DAY, "__previous", "__next", f"{row} AS __row")
+        dumps.join(F.broadcast(listed), F.col(DAY) == F.col("__listed"), "left")
+        .selectExpr(
+            *idents(keys),
+            f"if(__listed IS NULL, {refuse}, {DAY}) AS {DAY}",
+            "__previous",
+            "__next",
+            f"{row} AS __row",
+        )
         .selectExpr(
             "*",
             f"lag({DAY}) OVER ({_history(keys)}) AS __seen_before",
@@ -125,7 +135,8 @@ def as_of_many(
     """The table on each of ``days`` in one job, with an ``as_of`` column first.
 
     Every log row and every snapshot row gets the span of days on which it was
-    current, and is repeated for the wanted days inside it.
+    current. Both ends are looked up in a table of the wanted days, so a row
+    costs what it gives, however many days are wanted.
     """
     wanted = sorted({as_day(d) for d in days})
     if not wanted:
@@ -142,9 +153,27 @@ def as_of_many(
     current = snapshot.join(last_undone, list(keys), "left").selectExpr(
         *columns, "__from", f"DATE'{FAR_FUTURE}' AS __to"
     )
+    # Entry i: how many wanted days come before the i-th day from the first on.
+    first, span = wanted[0], (wanted[-1] - wanted[0]).days + 1
+    earlier, at = [], 0
+    for n in range(span + 1):
+        while at < len(wanted) and (wanted[at] - first).days < n:
+            at += 1
+        earlier.append(at)
+
+    def index(day: str) -> str:
+        return f"get(__earlier, least({span}, greatest(0, datediff({day}, DATE'{first}'))))"
+
+    numbers = ", ".join(map(str, earlier))
     listed = ", ".join(f"DATE'{d}'" for d in wanted)
-    inside = f"filter(array({listed}), d -> d >= coalesce(__from, d) AND d < __to)"
-    return union_all([current, past]).selectExpr(f"explode({inside}) AS as_of", *columns)
+    spans = union_all([current, past]).selectExpr(*columns, "__from", "__to", f"array({numbers}) AS __earlier")
+    return (
+        spans.selectExpr(
+            *columns, f"coalesce({index('__from')}, 0) AS __low", f"{index('__to')} AS __high"
+        )
+        .filter("__low < __high")
+        .selectExpr(f"explode(slice(array({listed}), __low + 1, __high - __low)) AS as_of", *columns)
+    )
 
 
 def _history(keys: Sequence[str]) -> str:

@@ -22,8 +22,11 @@ MODIFIED_COLUMNS = {"commune": "commune_nom", "voie": "voie_nom"}
 
 
 def integrate(store: HistoryStore, day: dt.date | str, csv: str) -> DataFrame:
-    """Ingest a day's CSV dump; returns its change summary."""
-    return store.ingest(day, read_dump(store.spark, csv, store.schema))
+    """Ingest a day's CSV dump; returns its change summary.
+
+    Malformed lines do not enter; ``store.refusals()`` counts them.
+    """
+    return store.ingest(day, read_dump(store.spark, csv, store.schema, mark=True))
 
 
 def report(
@@ -64,7 +67,7 @@ def rebuild(
     spark = store.spark
     rebuilt = spark.read.schema(store.schema).parquet(out)
     path = dump_path(spark, truth_folder, day)
-    truth = store.clean(read_dump(spark, path, store.schema))
+    truth = store.clean(read_dump(spark, path, store.schema, mark=True))
     return RebuildReport(
         rebuilt=rebuilt,
         metrics=reconcile.reconcile_metrics(

@@ -2,21 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """A new folder name under ``spark.checkpoint.dir``.
-
-    All executors must reach it, so a machine-local folder serves only where
-    the setting is absent and the session runs in one process.
+    """A new folder name under ``spark.checkpoint.dir``, or under the warehouse
+    where that is unset: folders that the driver and all executors share.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.gettempdir()
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     return f"{base.rstrip('/')}/tidemark-{uuid.uuid4().hex}"

@@ -1,41 +1,46 @@
 """A table's history on plain Parquet.
 
-Layout, one folder per day::
+Layout, one folder per day and attempt::
 
-    diff/day=D/      reverse delta: the rows that undo day D
-    snapshot/day=D/  the whole table after day D; the newest few are kept
-    summary/run=D/   the counts of the day, written last: they commit it
+    diff/day=D/__attempt=V/      reverse delta: the rows that undo day D
+    snapshot/day=D/__attempt=V/  the whole table after day D
+    summary/c=N/                 the counts of one or more days, and their attempt V
 
-A day counts as ingested only when its summary row exists. Whatever an
-interrupted run left behind is invisible to readers and is replaced when the
-day is ingested again.
+An attempt never touches what an earlier one wrote. It counts from the moment
+its summary is there, which is one rename; of several summaries of a day the
+one with the highest number holds. Readers keep what they have opened until
+``vacuum`` removes what no longer counts.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.rules import Rule, key_rules
+from ..functions.rules import Rule, failing_rule, key_rules, passes
 from ..functions.text import idents
 from ..operators import changes, history
-from ..operators.clean import clean
+from ..operators.clean import dedupe
 from ..operators.metrics import snapshot_report
 from ..sources.bucketed import read_bucketed, write_bucketed
-from ..sources.files import exists, folders, remove
+from ..sources.files import exists, folder_bytes, folders, remove
 from ..sources.schema import (
     ACTION,
     ADDRESS_KEYS,
     ADDRESS_SCHEMA,
     DAY,
+    MALFORMED,
     as_day,
     conform,
     log_schema,
 )
+from .scratch import scratch_folder
 
 SUMMARY_SCHEMA = T.StructType(
     [
@@ -43,13 +48,30 @@ SUMMARY_SCHEMA = T.StructType(
         T.StructField("updates", T.LongType()),
         T.StructField("deletes", T.LongType()),
         T.StructField("total", T.LongType()),
+        # Rows of the dump that did not enter, by rule; `duplicate` for repeated keys.
+        T.StructField("refused", T.MapType(T.StringType(), T.LongType())),
         T.StructField("buckets", T.IntegerType()),
+        T.StructField("version", T.StringType()),
+        T.StructField("commit", T.LongType()),
         T.StructField(DAY, T.DateType()),
     ]
 )
 
 # A bucket is read, sorted and joined by one task.
 BUCKET_BYTES = 512 << 20
+MAX_BUCKETS = "spark.sql.sources.bucketing.maxBuckets"
+DUPLICATE = "duplicate"
+
+
+class Commit(NamedTuple):
+    """What a day's newest summary says."""
+
+    number: int
+    version: str
+    buckets: int
+
+
+Commits = dict[dt.date, Commit]
 
 
 class HistoryStore:
@@ -57,10 +79,11 @@ class HistoryStore:
 
     Snapshots are bucketed by key, so comparing a day with the day before
     shuffles neither: the only full shuffle of an ingest is the one that
-    deduplicates the dump. The number of buckets follows the dump's size, up to
-    the session's ``spark.sql.shuffle.partitions``, and stays put while the
-    size stays within a factor of two; ``buckets`` fixes it. Each day remembers
-    its own. One writer at a time; readers may run alongside.
+    deduplicates the dump. The number of buckets follows the dump's size, half
+    a GB each, and stays put while the size stays within a factor of two;
+    ``buckets`` fixes it. Each day remembers its own. One writer at a time;
+    readers may run alongside, and keep their frames through later ingests,
+    redone days and failures, until a ``vacuum``.
     """
 
     def __init__(
@@ -90,21 +113,22 @@ class HistoryStore:
 
     # Reading
 
-    def _path(self, part: str, day: dt.date) -> str:
-        label = "run" if part == "summary" else DAY
-        return f"{self.root}/{part}/{label}={day.isoformat()}"
+    def _path(self, part: str, day: dt.date, version: str) -> str:
+        return f"{self.root}/{part}/{DAY}={day.isoformat()}/__attempt={version}"
 
     def _summary_rows(self) -> DataFrame:
+        """The newest summary of every day."""
         folder = f"{self.root}/summary"
         if not exists(self.spark, folder):
             return self.spark.createDataFrame([], SUMMARY_SCHEMA)
         reader = self.spark.read.schema(SUMMARY_SCHEMA).option("recursiveFileLookup", True)
-        return reader.parquet(folder)
+        newest = f"row_number() OVER (PARTITION BY {DAY} ORDER BY commit DESC) AS __n"
+        return reader.parquet(folder).selectExpr("*", newest).filter("__n = 1").drop("__n")
 
-    def _committed(self) -> dict[dt.date, int]:
-        """Ingested days and their bucket counts: one small row per day."""
-        rows = self._summary_rows().select(DAY, "buckets").collect()
-        return dict(sorted((r[DAY], r["buckets"]) for r in rows))
+    def _committed(self) -> Commits:
+        """Ingested days and what counts of them: one small row per day."""
+        rows = self._summary_rows().select(DAY, "commit", "version", "buckets").collect()
+        return dict(sorted((r[DAY], Commit(r["commit"], r["version"], r["buckets"])) for r in rows))
 
     def days(self) -> list[dt.date]:
         """The ingested days, oldest first."""
@@ -112,13 +136,20 @@ class HistoryStore:
 
     def summaries(self) -> DataFrame:
         """Inserts, updates, deletes and total of every ingested day."""
-        # An interrupted re-run may have left a day's row in two files.
-        rows = self._summary_rows().dropDuplicates([DAY])
-        return rows.select(DAY, "inserts", "updates", "deletes", "total")
+        return self._summary_rows().select(DAY, "inserts", "updates", "deletes", "total")
+
+    def refusals(self) -> DataFrame:
+        """``day, rule, refused``: rows of each dump that did not enter, and why.
 
-    def _read_snapshot(self, day: dt.date, buckets: int) -> DataFrame:
-        path = self._path("snapshot", day)
-        return read_bucketed(self.spark, path, self.schema, self.keys, buckets)
+        A row counts under the first rule it breaks; ``duplicate`` counts rows
+        that gave way to another one of their key. Rules without rows are absent.
+        """
+        rows = self._summary_rows().select(DAY, F.explode("refused").alias("rule", "refused"))
+        return rows.filter("refused > 0")
+
+    def _read_snapshot(self, day: dt.date, commit: Commit) -> DataFrame:
+        path = self._path("snapshot", day, commit.version)
+        return read_bucketed(self.spark, path, self.schema, self.keys, commit.buckets)
 
     def snapshot(self, day: dt.date | str | None = None) -> DataFrame:
         """A stored snapshot, by default the newest."""
@@ -130,13 +161,15 @@ class HistoryStore:
             raise LookupError(f"no snapshot of {wanted} is stored; use as_of")
         return self._read_snapshot(wanted, committed[wanted])
 
-    def _stored_snapshots(self, committed: Mapping[dt.date, int]) -> list[dt.date]:
+    def _stored_snapshots(self, committed: Commits) -> list[dt.date]:
+        """Days whose snapshot is there, oldest first."""
         names = folders(self.spark, f"{self.root}/snapshot")
         found = [as_day(n.removeprefix("day=")) for n in names if n.startswith("day=")]
         return [
             d
             for d in found
-            if d in committed and exists(self.spark, self._path("snapshot", d) + "/_SUCCESS")
+            if d in committed
+            and exists(self.spark, self._path("snapshot", d, committed[d].version) + "/_SUCCESS")
         ]
 
     def log(
@@ -148,17 +181,19 @@ class HistoryStore:
         """
         return self._read_log(self._committed(), after, upto)
 
-    def _read_log(self, committed, after=None, upto=None) -> DataFrame:
+    def _read_log(self, committed: Commits, after=None, upto=None) -> DataFrame:
         low = as_day(after) if after is not None else dt.date.min
         high = as_day(upto) if upto is not None else dt.date.max
-        wanted = {f"day={d.isoformat()}" for d in committed if low < d <= high}
+        wanted = [(d, c) for d, c in committed.items() if low < d <= high]
         # A day without changes may have no folder.
-        present = [n for n in folders(self.spark, f"{self.root}/diff") if n in wanted]
-        paths = [f"{self.root}/diff/{n}" for n in present]
+        present = set(folders(self.spark, f"{self.root}/diff")) if wanted else set()
+        paths = [self._path("diff", d, c.version) for d, c in wanted if f"day={d.isoformat()}" in present]
         if not paths:
             return self.spark.createDataFrame([], log_schema(self.schema))
-        reader = self.spark.read.schema(log_schema(self.schema))
-        return reader.option("basePath", f"{self.root}/diff").parquet(*paths)
+        schema = log_schema(self.schema)
+        reader = self.spark.read.schema(schema).option("basePath", f"{self.root}/diff")
+        # Reading by day, Spark adds the attempt's folder as a column.
+        return reader.parquet(*paths).select(*idents(schema.fieldNames()))
 
     def as_of(self, day: dt.date | str) -> DataFrame:
         """The table as it was on ``day``.
@@ -181,7 +216,7 @@ class HistoryStore:
         snapshot = self._read_snapshot(base, committed[base])
         return history.as_of_many(snapshot, log, targets, self.keys)
 
-    def _base(self, committed: Mapping[dt.date, int], target: dt.date) -> dt.date:
+    def _base(self, committed: Commits, target: dt.date) -> dt.date:
         if not committed:
             raise LookupError(f"nothing ingested yet in {self.root}")
         wanted = min(target, max(committed))
@@ -197,52 +232,95 @@ class HistoryStore:
     # Writing
 
     def clean(self, dump: DataFrame, extra: str = "refuse") -> DataFrame:
-        """A dump as the store would keep it: declared columns, valid keys, one row each."""
-        return clean(conform(dump, self.schema, self.keys, extra), self.keys, self.rules, self.prefer)
+        """A dump as the store would keep it: declared columns, valid keys, one row each.
+
+        Lines that ``read_dump`` has marked as malformed are left out.
+        """
+        return self._cleaned(conform(dump, self.schema, self.keys, extra), self.keys)
+
+    def _rules_for(self, dump: DataFrame) -> list[Rule]:
+        marked = MALFORMED in dump.columns and MALFORMED not in self.schema.fieldNames()
+        return [*([Rule("malformed", f"{MALFORMED} IS NULL")] if marked else []), *self.rules]
+
+    def _cleaned(self, dump: DataFrame, keys: Sequence[str]) -> DataFrame:
+        rules = self._rules_for(dump)
+        valid = dump.filter(passes(rules))
+        return dedupe(valid.drop(MALFORMED) if len(rules) > len(self.rules) else valid, keys, self.prefer)
 
     def ingest(self, day: dt.date | str, dump: DataFrame, extra: str = "refuse") -> DataFrame:
         """Take in a day's dump; returns its change summary.
 
         The day must be after all ingested days, or be the newest of them,
-        which replaces it.
+        which replaces it. A dump that is refused, or a run that fails, leaves
+        the store as it was; the dump may come out of the store itself.
         """
         day = as_day(day)
+        self._ingest(self._committed(), day, dump, extra)
+        return self.summaries().filter(F.col(DAY) == F.lit(day))
+
+    def backfill(
+        self, dumps: Mapping[dt.date | str, DataFrame], extra: str = "refuse"
+    ) -> DataFrame:
+        """Take in separate dumps, oldest first; returns all change summaries."""
         committed = self._committed()
+        for day, dump in sorted(dumps.items(), key=lambda item: as_day(item[0])):
+            committed = self._ingest(committed, as_day(day), dump, extra)
+        return self.summaries()
+
+    def _ingest(self, committed: Commits, day: dt.date, dump: DataFrame, extra: str) -> Commits:
         later = [d for d in committed if d > day]
         if later:
             raise ValueError(f"{day} is before {later[-1]}, which is already ingested")
+        dump = conform(dump, self.schema, self.keys, extra)
+        rows = self._cleaned(dump, self.keys)
         previous = max((d for d in committed if d < day), default=None)
+        before = committed.get(previous)
         if previous is not None and previous not in self._stored_snapshots(committed):
             # Happens when the newest day is redone right after a backfill.
-            rows = self.as_of(previous).repartition(committed[previous], *idents(self.keys))
-            self._write_snapshot(previous, rows, committed[previous])
-        if day in committed:
-            self._withdraw(day)
-
-        rows = self.clean(dump, extra)
-        buckets = self._bucket_count(rows, committed.get(previous))
-        self._write_snapshot(day, rows, buckets)
-        today = self._read_snapshot(day, buckets)
+            old = self.as_of(previous).repartition(before.buckets, *idents(self.keys))
+            self._write_snapshot(previous, before, old)
+
+        number = max((c.number for c in committed.values()), default=0) + 1
+        buckets = self._bucket_count(_estimated_bytes(dump), before)
+        commit = Commit(number, uuid.uuid4().hex, buckets)
+        self._write_snapshot(day, commit, rows)
+        today = self._read_snapshot(day, commit)
         if previous is None:
             delta = today.withColumn(ACTION, F.lit("DELETE"))
         else:
-            before = self._read_snapshot(previous, committed[previous])
             # Changes are few against the snapshot: regroup them into files of
             # a good size rather than one per bucket.
             by_key = [F.col(k) for k in idents(self.keys)]
-            delta = changes.reverse_delta(before, today, self.keys).hint("rebalance", *by_key)
-        delta.write.mode("overwrite").parquet(self._path("diff", day))
-        self._commit(day, buckets)
-        self._prune({**committed, day: buckets})
-        return self.summaries().filter(F.col(DAY) == F.lit(day))
+            old = self._read_snapshot(previous, before)
+            delta = changes.reverse_delta(old, today, self.keys).hint("rebalance", *by_key)
+        log = self._path("diff", day, commit.version)
+        delta.write.parquet(log)
 
-    def backfill(
-        self, dumps: Mapping[dt.date | str, DataFrame], extra: str = "refuse"
-    ) -> DataFrame:
-        """Take in separate dumps, oldest first; returns all change summaries."""
-        for day, dump in sorted(dumps.items(), key=lambda item: as_day(item[0])):
-            self.ingest(day, dump, extra)
-        return self.summaries()
+        # The counts come from what lies on disk, where a task run twice counts once.
+        reader = self.spark.read.schema(log_schema(self.schema))
+        counts = changes.log_summary(reader.parquet(log), per_day=False)
+        kept = self.spark.read.schema(self.schema).parquet(self._path("snapshot", day, commit.version))
+        refused = self._refused(dump, kept)
+        self._write_summary(number, counts.crossJoin(refused).withColumn(DAY, F.lit(day)), {day: commit})
+        return {**committed, day: commit}
+
+    def _refused(self, dump: DataFrame, kept: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+        """``refused``: how many rows of a dump each rule kept out, per ``by``.
+
+        One pass over the dump's key columns, counted ahead of any shuffle.
+        """
+        per_rule = (
+            dump.selectExpr(*by, f"{failing_rule(self._rules_for(dump))} AS rule")
+            .groupBy(*by, "rule")
+            .agg(F.count("*").alias("n"))
+        )
+        kept_rows = kept.groupBy(*by).agg(F.count("*").alias("kept"))
+        entries = "map_from_entries(collect_list(struct(rule, n)) FILTER (WHERE rule IS NOT NULL))"
+        passed = "coalesce(sum(n) FILTER (WHERE rule IS NULL), 0L)"
+        counted = per_rule.groupBy(*by).agg(F.expr(f"{entries} AS rules"), F.expr(f"{passed} AS passed"))
+        joined = counted.join(kept_rows, list(by), "left") if by else counted.crossJoin(kept_rows)
+        repeated = f"map('{DUPLICATE}', passed - coalesce(kept, 0L))"
+        return joined.selectExpr(*by, f"map_concat(rules, {repeated}) AS refused")
 
     def backfill_long(
         self,
@@ -252,61 +330,84 @@ class HistoryStore:
     ) -> DataFrame:
         """Take in many days at once from one long table with a ``day`` column.
 
-        One job writes the whole log. Name the ``days`` if some dump is empty.
-        Only for a store that holds nothing yet.
+        The cleaned table is written once, by day; one job makes the whole log
+        of it. Name the ``days`` if some dump is empty. Rows without a day are
+        refused. Only for a store that holds nothing yet.
         """
         if self._committed():
             raise ValueError("backfill_long fills an empty store; use ingest")
         if dict(dumps.dtypes).get(DAY) != "date":
             raise TypeError(f"the long table needs a column {DAY} of type date")
         with_day = T.StructType([*self.schema.fields, T.StructField(DAY, T.DateType())])
-        dated = conform(dumps, with_day, [DAY, *self.keys], extra).filter(F.col(DAY).isNotNull())
-        # One row per date.
-        found = {r[DAY] for r in dated.select(DAY).distinct().collect()}
+        dated = conform(dumps, with_day, [DAY, *self.keys], extra)
+        given = dated.withColumn(DAY, F.expr(f"coalesce({DAY}, raise_error('a row of the long table has no day'))"))
+        rows = self._cleaned(given, [DAY, *self.keys])
+        cleaned = scratch_folder(self.spark)
+        try:
+            rows.hint("rebalance", F.col(DAY)).write.partitionBy(DAY).parquet(cleaned)
+            return self._backfill_cleaned(cleaned, given, days)
+        finally:
+            remove(self.spark, cleaned)
+
+    def _backfill_cleaned(self, cleaned: str, given: DataFrame, days) -> DataFrame:
+        found = {as_day(n.removeprefix("day=")) for n in folders(self.spark, cleaned) if n.startswith("day=")}
         known = sorted(found if days is None else {as_day(d) for d in days})
         if not known:
             raise ValueError("no days to ingest")
         if found - set(known):
             raise ValueError(f"days in the table but not in the list: {sorted(found - set(known))}")
-        rows = clean(dated, [DAY, *self.keys], self.rules, self.prefer)
-
+        with_day = T.StructType([*self.schema.fields, T.StructField(DAY, T.DateType())])
+        rows = self.spark.read.schema(with_day).parquet(cleaned)
+        version = uuid.uuid4().hex
         log = history.reverse_log(rows, self.keys, known).select(
-            *log_schema(self.schema).fieldNames()
+            *log_schema(self.schema).fieldNames(), F.lit(version).alias("__attempt")
         )
         # Collects each day's rows into few files, and splits the big days.
         regrouped = log.hint("rebalance", F.col(DAY))
-        writer = regrouped.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        writer.partitionBy(DAY).parquet(f"{self.root}/diff")
-        newest = dated.filter(F.col(DAY) == F.lit(known[-1])).drop(DAY)
-        newest = clean(newest, self.keys, self.rules, self.prefer)
-        buckets = self._bucket_count(newest, None, share=len(known))
-        self._write_snapshot(known[-1], newest, buckets)
-        self._commit_all(known, buckets)
+        writer = regrouped.write.mode("append").partitionBy(DAY, "__attempt")
+        writer.parquet(f"{self.root}/diff")
+        newest = rows.filter(F.col(DAY) == F.lit(known[-1])).drop(DAY)
+        size = folder_bytes(self.spark, f"{cleaned}/day={known[-1].isoformat()}")
+        commit = Commit(1, version, self._bucket_count(size, None))
+        spread = newest.repartition(commit.buckets, *[F.col(k) for k in idents(self.keys)])
+        self._write_snapshot(known[-1], commit, spread)
+
+        commits = dict.fromkeys(known, commit)
+        listed = self.spark.createDataFrame([(d,) for d in known], f"{DAY} date")
+        counts = changes.log_summary(self._read_log(commits))
+        refused = self._refused(given, rows, [DAY])
+        every = listed.join(counts, DAY, "left").na.fill(0).join(refused, DAY, "left")
+        self._write_summary(1, every, commits)
         return self.summaries()
 
-    def _bucket_count(self, rows: DataFrame, before: int | None, share: int = 1) -> int:
-        """Buckets for a snapshot: as many as its estimated size asks for."""
+    def _bucket_count(self, size: int, before: Commit | None) -> int:
+        """Buckets for a snapshot of about ``size`` bytes."""
         if self.buckets:
             return self.buckets
-        most = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        least = min(most, self.spark.sparkContext.defaultParallelism)
-        size = rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        wanted = min(most, max(least, int(str(size)) // share // BUCKET_BYTES))
+        wanted = max(1, -(-size // BUCKET_BYTES))
+        most = int(self.spark.conf.get(MAX_BUCKETS))
+        if wanted > most:
+            raise ValueError(f"{size} bytes need {wanted} buckets; raise {MAX_BUCKETS}, which is {most}")
         # Equal counts are what spares the next comparison its shuffle.
-        return before if before and before <= 2 * wanted and wanted <= 2 * before else wanted
+        had = before.buckets if before else 0
+        return had if had <= 2 * wanted and wanted <= 2 * had else wanted
+
+    def _write_snapshot(self, day: dt.date, commit: Commit, rows: DataFrame) -> None:
+        """Deduplicated rows go straight from their shuffle into their buckets.
 
-    def _write_snapshot(self, day: dt.date, rows: DataFrame, buckets: int) -> None:
-        """Deduplicated rows go straight from their shuffle into their buckets."""
+        The session's partition counts are set for the time of the write, so
+        one session should not run other queries meanwhile.
+        """
         settings = {
-            "spark.sql.shuffle.partitions": str(buckets),
-            "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(buckets),
+            "spark.sql.shuffle.partitions": str(commit.buckets),
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(commit.buckets),
         }
         conf = self.spark.conf
         saved = {name: conf.get(name, None) for name in settings}
         try:
             for name, value in settings.items():
                 conf.set(name, value)
-            write_bucketed(rows, self._path("snapshot", day), self.keys, buckets)
+            write_bucketed(rows, self._path("snapshot", day, commit.version), self.keys, commit.buckets)
         finally:
             for name, value in saved.items():
                 if value is None:
@@ -314,43 +415,48 @@ class HistoryStore:
                 else:
                     conf.set(name, value)
 
-    def _commit(self, day: dt.date, buckets: int) -> None:
-        """Count the day's log as it lies on disk, and write the row that commits it."""
-        reader = self.spark.read.schema(log_schema(self.schema))
-        counts = changes.log_summary(reader.parquet(self._path("diff", day)), per_day=False)
-        self._write_summary(day, counts.withColumn(DAY, F.lit(day)), buckets)
-
-    def _commit_all(self, days: Sequence[dt.date], buckets: int) -> None:
-        listed = self.spark.createDataFrame([(d,) for d in days], f"{DAY} date")
-        counts = changes.log_summary(self._read_log(days))
-        self._write_summary(days[-1], listed.join(counts, DAY, "left").na.fill(0), buckets)
-
-    def _write_summary(self, run: dt.date, counts: DataFrame, buckets: int) -> None:
+    def _write_summary(self, number: int, counts: DataFrame, commits: Commits) -> None:
+        named = {DAY: list(commits), "version": [c.version for c in commits.values()]}
+        rows = list(zip(named[DAY], named["version"], [c.buckets for c in commits.values()]))
+        told = self.spark.createDataFrame(rows, f"{DAY} date, version string, buckets int")
         (
-            counts.withColumn("buckets", F.lit(buckets))
+            counts.join(F.broadcast(told), DAY)
+            .withColumn("commit", F.lit(number).cast("long"))
             .select(*SUMMARY_SCHEMA.fieldNames())
             # One file, so that the commit is one rename.
             .coalesce(1)
             .write.mode("overwrite")
-            .parquet(self._path("summary", run))
+            .parquet(f"{self.root}/summary/c={number:010d}")
         )
 
-    def _withdraw(self, day: dt.date) -> None:
-        """Take back the commit of the newest day, before its files are replaced."""
-        folder = self._path("summary", day)
-        others = self.spark.read.schema(SUMMARY_SCHEMA).parquet(folder).filter(F.col(DAY) != day)
-        kept = others.collect()
-        if kept:
-            # A backfill commits many days at once; the others stay committed.
-            rows = self.spark.createDataFrame(kept, SUMMARY_SCHEMA)
-            last = max(r[DAY] for r in kept)
-            rows.coalesce(1).write.mode("overwrite").parquet(self._path("summary", last))
-        remove(self.spark, folder)
-
-    def _prune(self, committed: Mapping[dt.date, int]) -> None:
-        """Drop all but the newest snapshots; the log covers what they held."""
-        for day in self._stored_snapshots(committed)[: -self.keep]:
-            folder = self._path("snapshot", day)
-            # The mark goes first, so that no half-deleted snapshot is read.
-            remove(self.spark, f"{folder}/_SUCCESS")
-            remove(self.spark, folder)
+    def vacuum(self, keep: int | None = None) -> None:
+        """Remove what no longer counts: failed and replaced attempts, and all
+        snapshots but the newest ``keep`` (by default the store's), which the
+        log covers. Frames that read them are void from then on.
+        """
+        keep = self.keep if keep is None else keep
+        if keep < 2:
+            raise ValueError("keep at least two snapshots: a re-run needs the one before")
+        committed = self._committed()
+        kept = set(self._stored_snapshots(committed)[-keep:])
+        for part in ("snapshot", "diff"):
+            for name in folders(self.spark, f"{self.root}/{part}"):
+                if not name.startswith("day="):
+                    continue
+                day, folder = as_day(name.removeprefix("day=")), f"{self.root}/{part}/{name}"
+                counts = day in committed and (part == "diff" or day in kept)
+                for version in folders(self.spark, folder):
+                    if not counts or version != f"__attempt={committed[day].version}":
+                        remove(self.spark, f"{folder}/{version}")
+                if not folders(self.spark, folder):
+                    remove(self.spark, folder)
+
+
+def _estimated_bytes(rows: DataFrame) -> int:
+    """The planner's estimate; of a plain scan, the bytes of its files.
+
+    Where the planner has nothing to go by, the rows are counted.
+    """
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    unknown = 1 << 60
+    return size if size < unknown else rows.count() * 16 * len(rows.columns)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from .files import exists
-from .schema import ADDRESS_SCHEMA, as_day, declared_columns
+from .schema import ADDRESS_SCHEMA, MALFORMED, as_day, declared_columns
 
 
 def read_dump(
@@ -18,6 +18,7 @@ def read_dump(
     schema: T.StructType = ADDRESS_SCHEMA,
     sep: str = ";",
     mode: str = "PERMISSIVE",
+    mark: bool = False,
 ) -> DataFrame:
     """One dump with the declared columns, matched by the header's names.
 
@@ -26,6 +27,9 @@ def read_dump(
     with nulls, surplus fields dropped, blank lines skipped, and blanks inside
     a value kept. A declared column the file lacks is null; a column the file
     adds is neither parsed nor returned.
+
+    With ``mark`` a column ``_malformed`` comes last: the whole line where it
+    is short, has a surplus, or holds a value its type cannot take, else null.
     """
     paths = [path] if isinstance(path, str) else list(path)
     reader = spark.read.option("header", True).option("sep", sep)
@@ -37,6 +41,10 @@ def read_dump(
     in_file_order = T.StructType(
         [T.StructField(c, declared.get(c, T.StringType())) for c in header]
     )
+    if mark:
+        in_file_order = in_file_order.add(MALFORMED, T.StringType())
+        # A line is judged by all its columns, whichever of them a query reads.
+        reader = reader.option("columnNameOfCorruptRecord", MALFORMED).option("columnPruning", False)
     rows = (
         reader.option("mode", mode)
         # Checks the names in every file's header, not only in the first one's.
@@ -44,7 +52,7 @@ def read_dump(
         .schema(in_file_order)
         .csv(paths)
     )
-    return rows.selectExpr(*declared_columns(schema, found))
+    return rows.selectExpr(*declared_columns(schema, found), *([MALFORMED] if mark else []))
 
 
 def dump_path(spark: SparkSession, folder: str, day: dt.date | str) -> str:

@@ -27,3 +27,9 @@ def folders(spark: SparkSession, path: str) -> list[str]:
 def remove(spark: SparkSession, path: str) -> None:
     fs, target = _handle(spark, path)
     fs.delete(target, True)
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below ``path``."""
+    fs, target = _handle(spark, path)
+    return fs.getContentSummary(target).getLength()

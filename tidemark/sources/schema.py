@@ -40,6 +40,8 @@ ADDRESS_KEYS = ["cle_interop"]
 # Names the log adds to the row.
 ACTION = "action"
 DAY = "day"
+# Holds the text of a line that did not fit its declared types, else null.
+MALFORMED = "_malformed"
 
 
 def log_schema(schema: T.StructType) -> T.StructType:
@@ -68,7 +70,7 @@ def conform(
     A declared column the frame lacks becomes null, unless it is a key. A
     column of another type is refused: one day's `1` against the next day's
     `1.0` would mark every row as changed. Undeclared columns are refused, or
-    left out with ``extra="drop"``.
+    left out with ``extra="drop"``. The mark of malformed lines stays, if there.
     """
     have = {f.name: f.dataType for f in df.schema.fields}
     missing_keys = [k for k in keys if k not in have]
@@ -81,10 +83,11 @@ def conform(
     ]
     if wrong:
         raise TypeError(f"columns of another type: {wrong}")
-    undeclared = [c for c in have if c not in schema.fieldNames()]
+    mark = [MALFORMED] if MALFORMED in have and MALFORMED not in schema.fieldNames() else []
+    undeclared = [c for c in have if c not in {*schema.fieldNames(), *mark}]
     if undeclared and extra != "drop":
         raise ValueError(f"undeclared columns: {undeclared}")
-    return df.selectExpr(*declared_columns(schema, have))
+    return df.selectExpr(*declared_columns(schema, have), *mark)
 
 
 def declared_columns(schema: T.StructType, have: Collection[str]) -> list[str]:

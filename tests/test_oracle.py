@@ -53,3 +53,15 @@ def test_every_query_has_sql():
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize(
+    ("name", "condition"),
+    [
+        ("diff_null_values", "old_c_acctbal IS NULL AND new_c_acctbal IS NOT NULL AND change = 'modified'"),
+        ("diff_null_keys", "c_custkey IS NULL"),
+        ("csv_malformed", "malformed"),
+    ],
+)
+def test_nulls_are_met(spark, name, condition):
+    assert not workload.QUERIES[name](spark, SF).filter(condition).isEmpty()

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ..functions.text import idents
 from .files import exists
 from .schema import ADDRESS_SCHEMA, MALFORMED, as_day, declared_columns
 
@@ -43,8 +44,7 @@ def read_dump(
     )
     if mark:
         in_file_order = in_file_order.add(MALFORMED, T.StringType())
-        # A line is judged by all its columns, whichever of them a query reads.
-        reader = reader.option("columnNameOfCorruptRecord", MALFORMED).option("columnPruning", False)
+        reader = reader.option("columnNameOfCorruptRecord", MALFORMED)
     rows = (
         reader.option("mode", mode)
         # Checks the names in every file's header, not only in the first one's.
@@ -52,7 +52,16 @@ def read_dump(
         .schema(in_file_order)
         .csv(paths)
     )
-    return rows.selectExpr(*declared_columns(schema, found), *([MALFORMED] if mark else []))
+    if not mark:
+        return rows.selectExpr(*declared_columns(schema, found))
+    # Spark judges a line by the columns a query reads. The mark refers to all
+    # of them, at no cost for a line that is in order.
+    read = ", ".join(f"CAST({c} AS STRING)" for c in idents(header))
+    marked = (
+        f"CASE WHEN {MALFORMED} IS NULL THEN NULL"
+        f" WHEN length(concat_ws('', {read})) >= 0 THEN {MALFORMED} END AS {MALFORMED}"
+    )
+    return rows.selectExpr(*declared_columns(schema, found), marked)
 
 
 def dump_path(spark: SparkSession, folder: str, day: dt.date | str) -> str:

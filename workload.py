@@ -292,6 +292,125 @@ def backfill_as_of_many(spark, sf):
     return daily_store(spark, sf).as_of_many([first + dt.timedelta(n) for n in range(40)])
 
 
+# Nulls and dirt, made by rule from whole tables
+
+
+def customer_pair(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Two states of `customer`; balances and keys are null for some rows."""
+    customer = table(spark, sf, "customer")
+    sides = []
+    for absent, null_balance in ((7, 11), (5, 13)):
+        sides.append(
+            customer.filter(f"c_custkey % {absent} <> 0").selectExpr(
+                "if(c_custkey % 19 = 0, NULL, c_custkey) AS c_custkey",
+                f"if(c_custkey % {null_balance} = 0, NULL, c_acctbal) AS c_acctbal",
+                "c_mktsegment",
+            )
+        )
+    return tuple(sides)
+
+
+def diff_null_values(spark, sf):
+    sides = [side.filter("c_custkey IS NOT NULL") for side in customer_pair(spark, sf)]
+    return tm.compare(*sides, ["c_custkey"], unique_keys=True)
+
+
+def diff_null_keys(spark, sf):
+    return tm.compare(*customer_pair(spark, sf), ["c_custkey"])
+
+
+def diff_hot_key(spark, sf):
+    """Keyed by event type: a few keys hold all rows."""
+    events = table(spark, sf, "events").select("event_type", "user_id", "value")
+    return tm.change_summary(
+        tm.compare(events.filter("user_id % 3 <> 0"), events.filter("user_id % 5 <> 0"), ["event_type"])
+    )
+
+
+def clean_null_keys(spark, sf):
+    documents = table(spark, sf, "documents").selectExpr(
+        "if(doc_id % 3 = 0, NULL, source) AS source", "lang", "doc_id"
+    )
+    return tm.clean(documents, ["source", "lang"])
+
+
+def report_null_codes(spark, sf):
+    customer = table(spark, sf, "customer").selectExpr(
+        "nullif(c_nationkey, 3) AS nation", "nullif(c_mktsegment, 'BUILDING') AS segment"
+    )
+    return tm.snapshot_report(customer, "nation", "segment")
+
+
+def row_hash_nulls(spark, sf):
+    columns = ["c_name", "c_nationkey", "c_mktsegment"]
+    customer = table(spark, sf, "customer").selectExpr(
+        "c_custkey", "c_name", "nullif(c_nationkey, 3) AS c_nationkey",
+        "if(c_custkey % 4 = 0, NULL, c_mktsegment) AS c_mktsegment",
+    )
+    return customer.select("c_custkey", tm.row_hash(columns).alias("hash"))
+
+
+def csv_malformed(spark, sf):
+    """Every tenth line has a code that is no number."""
+    customer = table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    broken = customer.withColumn("c_nationkey", F.expr("if(c_custkey % 10 = 0, '12A', string(c_nationkey))"))
+    folder = scratch_folder(spark)
+    broken.write.option("header", True).option("sep", ";").csv(folder)
+    read = tm.read_dump(spark, folder, customer.schema, mark=True)
+    return read.selectExpr("c_custkey", "_malformed IS NOT NULL AS malformed")
+
+
+def ingest_rejections(spark, sf):
+    dump = table(spark, sf, "customer").selectExpr(
+        """CASE WHEN c_custkey % 10 = 0 THEN NULL WHEN c_custkey % 11 = 0 THEN concat('a@', c_custkey)
+           WHEN c_custkey % 13 = 0 THEN repeat('k', 50) WHEN c_custkey % 7 = 0 THEN 'shared'
+           ELSE string(c_custkey) END AS code""",
+        "c_custkey",
+    )
+    store = tm.HistoryStore(spark, scratch_folder(spark), dump.schema, ["code"])
+    store.ingest("2025-01-01", dump)
+    return store.refusals().select("rule", "refused")
+
+
+def redo_day(spark, sf):
+    """Two years; the second is redone with a bad dump, then from the store's own rows."""
+    orders = table(spark, sf, "orders")
+    schema = yearly(orders).drop("day").schema
+    store = tm.HistoryStore(spark, scratch_folder(spark), schema, ["o_custkey"])
+    years = sorted(r[0] for r in orders.selectExpr("year(o_orderdate)").distinct().collect())[:2]
+    for year in years:
+        dump = yearly(orders.filter(f"year(o_orderdate) = {year}")).drop("day")
+        store.ingest(dt.date(year, 12, 31), dump)
+    last = dt.date(years[-1], 12, 31)
+    try:
+        store.ingest(last, store.snapshot().withColumn("surplus", F.lit(1)))
+    except ValueError:
+        pass
+    store.ingest(last, store.snapshot().filter("o_custkey % 3 <> 0"))
+    return store.log()
+
+
+def rebuild_verified(spark, sf):
+    """Rebuild a day, write it, find its original dump and compare the two."""
+    day = "1996-12-31"
+    truth = yearly(table(spark, sf, "orders")).filter(f"day = DATE'{day}'").drop("day")
+    folder = scratch_folder(spark)
+    truth.write.option("header", True).option("sep", ";").csv(f"{folder}/dump-{day}/adresses.csv")
+    found = tm.rebuild(
+        yearly_store(spark, sf), day, f"{folder}/rebuilt", folder, "o_orderstatus", "o_orderpriority"
+    )
+    return found.metrics
+
+
+def diff_folders(spark, sf):
+    folder = scratch_folder(spark)
+    paths = [f"{folder}/before", f"{folder}/after"]
+    for side, path in zip(pair(spark, sf), paths):
+        side.write.parquet(path)
+    short = {"number": "l_linenumber", "status": "l_linestatus"}
+    return tm.diff(spark, *paths, PAIR, PAIR_COLUMNS, short, "l_partkey", "l_suppkey").modified
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -330,6 +449,17 @@ QUERIES = {
         store_report,
         backfill_log,
         backfill_as_of_many,
+        diff_null_values,
+        diff_null_keys,
+        diff_hot_key,
+        clean_null_keys,
+        report_null_codes,
+        row_hash_nulls,
+        csv_malformed,
+        ingest_rejections,
+        redo_day,
+        rebuild_verified,
+        diff_folders,
     )
 }
 
@@ -433,6 +563,20 @@ def _unpivot(sql: str, value: str) -> str:
     return f"(UNPIVOT ({sql}) ON addresses, communes, streets, departments INTO NAME metric VALUE {value})"
 
 
+_CUSTOMER = """SELECT CASE WHEN c_custkey % 19 = 0 THEN NULL ELSE c_custkey END AS c_custkey,
+        CASE WHEN c_custkey % {} = 0 THEN NULL ELSE c_acctbal END AS c_acctbal, c_mktsegment
+        FROM customer WHERE c_custkey % {} <> 0"""
+_CUSTOMERS = f"""
+a AS ({_CUSTOMER.format(11, 7)}), b AS ({_CUSTOMER.format(13, 5)}),
+sided_a AS (SELECT *, true AS here FROM a), sided_b AS (SELECT *, true AS here FROM b),
+customer_changes AS (
+    SELECT coalesce(a.c_custkey, b.c_custkey) AS c_custkey,
+           CASE WHEN a.here IS NULL THEN 'added' WHEN b.here IS NULL THEN 'removed'
+                WHEN a.c_acctbal IS DISTINCT FROM b.c_acctbal
+                  OR a.c_mktsegment IS DISTINCT FROM b.c_mktsegment THEN 'modified' END AS change,
+           a.c_acctbal AS old_c_acctbal, a.c_mktsegment AS old_c_mktsegment,
+           b.c_acctbal AS new_c_acctbal, b.c_mktsegment AS new_c_mktsegment
+    FROM sided_a a FULL OUTER JOIN sided_b b ON a.c_custkey = b.c_custkey)"""
 _PAIR_METRICS = [
     _unpivot(_metrics_sql(side, "(l_partkey, l_suppkey)", "l_partkey", "l_suppkey"), name)
     for side, name in (("a", "before"), ("b", "after"))
@@ -541,4 +685,48 @@ ORACLE = {
     ),
     "backfill_log": f"WITH {DAILY_LOG} {LOG_ROWS}",
     "backfill_as_of_many": f"WITH {DAILY} {MANY_DAYS}",
+    "clean_null_keys": """SELECT source, lang, min(doc_id) AS doc_id FROM documents
+        WHERE doc_id % 3 <> 0 AND NOT contains(source, '@') AND length(source) < 50
+          AND lang IS NOT NULL AND NOT contains(lang, '@') AND length(lang) < 50
+        GROUP BY source, lang""",
+    "diff_null_values": f"""WITH {_CUSTOMERS} SELECT * FROM customer_changes
+        WHERE change IS NOT NULL AND c_custkey IS NOT NULL""",
+    "diff_null_keys": f"WITH {_CUSTOMERS} SELECT * FROM customer_changes WHERE change IS NOT NULL",
+    "diff_hot_key": """WITH
+        surplus AS (SELECT event_type, user_id, value, sum(s) AS n FROM (
+            SELECT event_type, user_id, value, 1 AS s FROM events WHERE user_id % 3 <> 0 UNION ALL
+            SELECT event_type, user_id, value, -1 FROM events WHERE user_id % 5 <> 0)
+            GROUP BY ALL HAVING sum(s) <> 0),
+        per_key AS (SELECT event_type, sum(greatest(n, 0)) AS o, sum(greatest(-n, 0)) AS w FROM surplus GROUP BY ALL)
+        SELECT CAST(sum(CASE WHEN o = 1 AND w = 1 THEN 0 ELSE w END) AS BIGINT) AS inserts,
+               CAST(sum(CASE WHEN o = 1 AND w = 1 THEN 1 ELSE 0 END) AS BIGINT) AS updates,
+               CAST(sum(CASE WHEN o = 1 AND w = 1 THEN 0 ELSE o END) AS BIGINT) AS deletes,
+               CAST(sum(CASE WHEN o = 1 AND w = 1 THEN 1 ELSE o + w END) AS BIGINT) AS total FROM per_key""",
+    "report_null_codes": REPORT.format(
+        c="nation",
+        s="segment",
+        t="(SELECT nullif(c_nationkey, 3) AS nation, nullif(c_mktsegment, 'BUILDING') AS segment FROM customer)",
+    ),
+    "row_hash_nulls": """SELECT c_custkey, sha256(concat_ws('||', c_name,
+        CAST(nullif(c_nationkey, 3) AS VARCHAR), CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE c_mktsegment END)) AS hash
+        FROM customer""",
+    "csv_malformed": "SELECT c_custkey, c_custkey % 10 = 0 AS malformed FROM customer",
+    "ingest_rejections": """WITH ruled AS (SELECT CASE WHEN c_custkey % 10 = 0 THEN 'code_missing'
+            WHEN c_custkey % 11 = 0 THEN 'code_shifted' WHEN c_custkey % 13 = 0 THEN 'code_too_long'
+            WHEN c_custkey % 7 = 0 THEN 'duplicate' END AS rule FROM customer)
+        SELECT rule, count(*) - CASE rule WHEN 'duplicate' THEN 1 ELSE 0 END AS refused
+        FROM ruled WHERE rule IS NOT NULL GROUP BY rule""",
+    "redo_day": f"""WITH {YEARLY},
+        two AS (SELECT DISTINCT day FROM yearly ORDER BY day LIMIT 2),
+        redone AS (SELECT * FROM yearly WHERE day = (SELECT min(day) FROM two)
+            OR (day = (SELECT max(day) FROM two) AND o_custkey % 3 <> 0)),
+        {_log_sql("redone", "redone", "o_custkey", ["o_orderstatus", "o_totalprice", "o_orderpriority"])} {LOG_ROWS}""",
+    "rebuild_verified": f"""WITH {YEARLY} SELECT metric, truth AS rebuilt, truth, true AS agrees
+        FROM {_unpivot(_metrics_sql("(SELECT * FROM yearly WHERE day = DATE '1996-12-31')", "o_custkey", "o_orderstatus", "o_orderpriority"), "truth")}""",
+    "diff_folders": f"""WITH {PAIRED} SELECT l_partkey, l_suppkey,
+        a.l_linenumber AS old_number, b.l_linenumber AS new_number,
+        a.l_linestatus AS old_status, b.l_linestatus AS new_status
+        FROM a JOIN b USING (l_partkey, l_suppkey)
+        WHERE a.l_linenumber IS DISTINCT FROM b.l_linenumber
+           OR a.l_linestatus IS DISTINCT FROM b.l_linestatus""",
 }

@@ -1,15 +1,10 @@
-"""This library's plans against the plain plan shape, on equal data.
+"""This library's own alternatives against each other, on equal data.
 
-The plain shape is the straightforward way to do the same jobs: three joins on
-a row fingerprint and one more pass per count to ingest, a window over snapshot
-and log together to rebuild, three joins and a count each to compare.
+    python bench/shapes.py          all cases, each in its own process
+    python bench/shapes.py CASE     one case in this process
 
-    python bench/shapes.py            all cases, each in its own process
-    python bench/shapes.py CASE SHAPE one case in this process
-
-Dumps are CSV files made from `lineitem`: all lines shipped by a date, less
-the returned ones of a year before. Prints one JSON line per case and shape with
-the median of three runs and the shuffle bytes and tasks of one run.
+Prints one JSON line per case and way with the median seconds of three runs
+after a warm-up, and the shuffle bytes and tasks of one run.
 """
 
 from __future__ import annotations
@@ -27,41 +22,38 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from pyspark.sql import DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 import tidemark as tm
+import workload
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-CASES = ("ingest", "as_of", "compare")
-SHAPES = ("plain", "tidemark")
 RUNS = 3
-DAYS = [dt.date(2000, 1, 1), dt.date(2000, 1, 8), dt.date(2000, 1, 15)]
 
 
 def session(scratch: str) -> SparkSession:
     os.makedirs(f"{scratch}/events")
-    spark = (
-        SparkSession.builder.master(f"local[{CPUS}]")
-        .config("spark.sql.shuffle.partitions", CPUS)
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "8g")
+    settings = {
+        "spark.sql.shuffle.partitions": CPUS,
+        "spark.sql.session.timeZone": "UTC",
+        "spark.ui.enabled": "false",
+        "spark.driver.memory": "8g",
         # At scale neither side of these joins is small.
-        .config("spark.sql.autoBroadcastJoinThreshold", "-1")
-        .config("spark.eventLog.enabled", "true")
-        .config("spark.eventLog.dir", f"file://{scratch}/events")
-        .config("spark.eventLog.rolling.enabled", "false")
-        .config("spark.eventLog.compress", "false")
-        .config("spark.sql.warehouse.dir", f"{scratch}/warehouse")
-        .getOrCreate()
-    )
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.eventLog.enabled": "true",
+        "spark.eventLog.dir": f"file://{scratch}/events",
+        "spark.eventLog.rolling.enabled": "false",
+        "spark.eventLog.compress": "false",
+        "spark.sql.warehouse.dir": f"{scratch}/warehouse",
+        "spark.checkpoint.dir": f"{scratch}/checkpoints",
+    }
+    spark = SparkSession.builder.master(f"local[{CPUS}]").config(map=settings).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
-def shuffled(scratch: str) -> tuple[int, int]:
+def work_so_far(scratch: str) -> tuple[int, int]:
     """Shuffle bytes written and tasks run so far in this process."""
     time.sleep(1)  # the log lags a little behind
     total = tasks = 0
@@ -69,184 +61,83 @@ def shuffled(scratch: str) -> tuple[int, int]:
         with open(path, encoding="utf-8") as lines:
             for line in lines:
                 if '"SparkListenerTaskEnd"' in line:
-                    metrics = json.loads(line).get("Task Metrics") or {}
-                    total += metrics.get("Shuffle Write Metrics", {}).get("Shuffle Bytes Written", 0)
+                    written = (json.loads(line).get("Task Metrics") or {}).get("Shuffle Write Metrics", {})
+                    total += written.get("Shuffle Bytes Written", 0)
                     tasks += 1
     return total, tasks
 
 
-def make_dumps(spark: SparkSession, scratch: str):
-    lines = spark.read.parquet(f"{SF_DIR}/lineitem.parquet").selectExpr(
-        "concat_ws('_', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS line",
-        "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
-        "l_linestatus", "l_shipdate",
-    )
-    for day in DAYS:
-        year_before = day.replace(year=day.year - 1)
-        dump = lines.filter(
-            f"l_shipdate <= DATE'{day}' AND NOT (l_returnflag = 'R' AND l_shipdate < DATE'{year_before}')"
-        ).withColumn("l_linestatus", F.expr(f"if(l_shipdate > DATE'{day}' - 60, 'O', 'F')"))
-        dump.drop("l_shipdate").write.option("header", True).option("sep", ";").csv(f"{scratch}/dump/{day}")
-    return lines.drop("l_shipdate").schema
+def run_out(df: DataFrame) -> None:
+    df.write.format("noop").mode("overwrite").save()
 
 
-# The plain shape
+def compare(spark: SparkSession):
+    """A promise of unique keys against a comparison of multisets."""
+    sides = workload.pair(spark, SF_DIR)
+    return {
+        "unique_keys": lambda: run_out(tm.compare(*sides, workload.PAIR, unique_keys=True)),
+        "multisets": lambda: run_out(tm.compare(*sides, workload.PAIR)),
+    }
 
 
-def fingerprint(df: DataFrame) -> DataFrame:
-    return df.withColumn("hash", tm.row_hash([c for c in df.columns if c != "hash"]))
+def history(spark: SparkSession):
+    """A day at a time against all days at once."""
+    return {
+        "ingest": lambda: workload.yearly_store(spark, SF_DIR).summaries().collect(),
+        "backfill_long": lambda: yearly_at_once(spark).summaries().collect(),
+    }
 
 
-def plain_ingest(spark, root, day, csv, first):
-    raw = spark.read.options(header=True, sep=";", inferSchema=True).csv(csv)
-    rules = tm.key_rules(raw.schema, ["line"])
-    today = raw
-    for rule in rules:
-        today = today.filter(rule.ok)
-    today = fingerprint(today.dropDuplicates(["line"]))
-    log, latest = f"{root}/log", f"{root}/latest/{day}"
-    if first is None:
-        delta = today.withColumn("action", F.lit("DELETE"))
-        parts = []
-    else:
-        before = fingerprint(spark.read.parquet(f"{root}/latest/{first}"))
-        appeared = today.join(before, "line", "left_anti")
-        vanished = before.join(today, "line", "left_anti")
-        both = before.alias("b").join(today.alias("t"), "line")
-        changed = both.filter("b.hash <> t.hash").select("line", *[f"b.{c}" for c in before.columns if c != "line"])
-        parts = [appeared, vanished, changed]
-        delta = appeared.withColumn("action", F.lit("DELETE"))
-        for rows, action in ((vanished, "INSERT"), (changed, "UPDATE")):
-            delta = delta.unionByName(rows.withColumn("action", F.lit(action)))
-    delta = delta.drop("hash").withColumn("day", F.lit(day))
-    delta.write.mode("append").partitionBy("day").parquet(log)
-    today.drop("hash").write.mode("overwrite").parquet(latest)
-    return [p.count() for p in parts]
-
-
-def plain_as_of(spark, root, day, out):
-    latest = spark.read.parquet(f"{root}/latest/{DAYS[-1]}")
-    log = spark.read.parquet(f"{root}/log").filter(F.col("day") > F.lit(day))
-    every = latest.withColumn("action", F.lit("KEEP")).withColumn("day", F.lit(dt.date(9999, 12, 31)))
-    window = Window.partitionBy("line").orderBy("day")
-    ranked = every.unionByName(log).withColumn("rn", F.row_number().over(window))
-    ranked.filter("rn = 1 AND action <> 'DELETE'").drop("rn", "action", "day").write.mode("overwrite").parquet(out)
-
-
-def plain_compare(spark, a, b):
-    before, after = spark.read.parquet(a), spark.read.parquet(b)
-    for df in (before, after):
-        df.agg(F.count_distinct("line"), F.count_distinct("l_returnflag"), F.count_distinct("l_linestatus")).first()
-    values = [c for c in before.columns if c != "line"]
-    differ = " OR ".join(f"NOT (a.{c} <=> b.{c})" for c in values)
-    both = before.alias("a").join(after.alias("b"), "line").filter(differ)
-    for rows in (before.join(after, "line", "left_anti"), after.join(before, "line", "left_anti"), both):
-        if rows.count():
-            rows.select("line").limit(10).collect()
-
-
-# Cases: each returns one run to time
-
-
-def case(spark, scratch, name, shape):
-    schema = make_dumps(spark, scratch)
-    csv = {d: f"{scratch}/dump/{d}" for d in DAYS}
-    count = iter(range(1000))
-
-    def prepare(n):
-        root = f"{scratch}/root{next(count)}"
-        store = tm.HistoryStore(spark, root, schema, ["line"])
-        for i, d in enumerate(DAYS[:n]):
-            if shape == "plain":
-                plain_ingest(spark, root, d, csv[d], DAYS[i - 1] if i else None)
-            else:
-                tm.integrate(store, d, csv[d])
-        return root, store
-
-    if name == "ingest":
-
-        def run():
-            root, store = prepare(2)
-            before = shuffled(scratch)
-            start = time.perf_counter()
-            if shape == "plain":
-                plain_ingest(spark, root, DAYS[2], csv[DAYS[2]], DAYS[1])
-            else:
-                tm.integrate(store, DAYS[2], csv[DAYS[2]]).collect()
-            return time.perf_counter() - start, before
-
-        return run
-    root, store = prepare(3)
-    if name == "as_of":
-
-        def run():
-            before = shuffled(scratch)
-            start = time.perf_counter()
-            out = f"{scratch}/out{next(count)}"
-            if shape == "plain":
-                plain_as_of(spark, root, DAYS[0], out)
-            else:
-                tm.rebuild(store, DAYS[0], out)
-            return time.perf_counter() - start, before
-
-        return run
-    a, b = f"{scratch}/a", f"{scratch}/b"
-    for day, path in ((DAYS[0], a), (DAYS[2], b)):
-        if shape == "plain":
-            plain_as_of(spark, root, day, path)
-        else:
-            tm.rebuild(store, day, path)
-
-    def run():
-        before = shuffled(scratch)
-        start = time.perf_counter()
-        if shape == "plain":
-            plain_compare(spark, a, b)
-        else:
-            # Both sides come out of a store, so keys are unique.
-            found = tm.diff(
-                spark, a, b, ["line"], ["l_quantity"], {"quantity": "l_quantity"},
-                "l_returnflag", "l_linestatus", f"{scratch}/diff{next(count)}", unique_keys=True,
-            )
-            found.metrics.collect()
-            found.summary.collect()
-            for rows in (found.removed, found.added, found.modified):
-                tm.change_sample(rows, ["line"], 10).collect()
-        return time.perf_counter() - start, before
-
-    return run
-
-
-def main(name: str, shape: str) -> None:
+def yearly_at_once(spark: SparkSession) -> tm.HistoryStore:
+    dumps = workload.yearly(workload.table(spark, SF_DIR, "orders"))
+    root = workload.scratch_folder(spark)
+    store = tm.HistoryStore(spark, root, dumps.drop("day").schema, ["o_custkey"])
+    store.backfill_long(dumps)
+    return store
+
+
+def rebuild(spark: SparkSession):
+    """One query per day against one query for all, by how many days are wanted."""
+    store = yearly_at_once(spark)
+    last = dt.date(1998, 12, 31)
+    wanted = {n: [last - dt.timedelta(i) for i in range(n)] for n in (3, 1000)}
+    return {
+        "as_of_3": lambda: [run_out(store.as_of(d)) for d in wanted[3]],
+        "as_of_many_3": lambda: run_out(store.as_of_many(wanted[3])),
+        "as_of_many_1000": lambda: run_out(store.as_of_many(wanted[1000]).filter("as_of IS NULL")),
+    }
+
+
+CASES = {f.__name__: f for f in (compare, history, rebuild)}
+
+
+def main(name: str) -> None:
     scratch = tempfile.mkdtemp(prefix="tidemark-shapes-")
     spark = session(scratch)
-    run = case(spark, scratch, name, shape)
-    run()
-    seconds = []
-    for _ in range(RUNS):
-        took, before = run()
-        seconds.append(took)
+    for way, run in CASES[name](spark).items():
+        run()
+        seconds = []
+        for _ in range(RUNS):
+            before = work_so_far(scratch)
+            start = time.perf_counter()
+            run()
+            seconds.append(time.perf_counter() - start)
+        after = work_so_far(scratch)
+        found = {
+            "case": name,
+            "way": way,
+            "median_sec": round(statistics.median(seconds), 2),
+            "shuffle_mb": round((after[0] - before[0]) / 1e6, 2),
+            "tasks": after[1] - before[1],
+        }
+        print(json.dumps(found), flush=True)
     spark.stop()
-    after = shuffled(scratch)
     shutil.rmtree(scratch, ignore_errors=True)
-    print(
-        json.dumps(
-            {
-                "case": name,
-                "shape": shape,
-                "median_sec": round(statistics.median(seconds), 2),
-                "shuffle_mb": round((after[0] - before[0]) / 1e6, 2),
-                "tasks": after[1] - before[1],
-            }
-        ),
-        flush=True,
-    )
 
 
 if __name__ == "__main__":
-    if len(sys.argv) == 3:
-        main(*sys.argv[1:])
+    if len(sys.argv) == 2:
+        main(sys.argv[1])
     else:
-        for case_name in CASES:
-            for shape_name in SHAPES:
-                subprocess.run([sys.executable, __file__, case_name, shape_name], check=True)
+        for case in CASES:
+            subprocess.run([sys.executable, __file__, case], check=True)

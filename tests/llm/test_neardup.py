@@ -96,4 +96,4 @@ def test_estimates_are_near_the_truth():
         a, b = np.unique(values), np.unique(values[:both])
         x, y = (neardup.planes(neardup.minima(s)) for s in (a, b))
         errors.append(abs(float(neardup.estimate(x, y)) - len(b) / len(a)))
-    assert max(errors) < 0.13
+    assert max(errors) < 0.1

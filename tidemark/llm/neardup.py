@@ -9,7 +9,7 @@ sets, and confirmed links are closed into components.
 Texts with equal sets are one class, so exact copies never meet as pairs. In a
 bucket each class is tested against one class of the bucket, another one in
 every band. Buckets that still hold several components are then searched for
-links between these, by bit counts inside the task.
+links between these inside the task.
 """
 
 from __future__ import annotations
@@ -61,7 +61,8 @@ def estimate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """
     differ = a ^ b
     differ = differ[..., :LANES] | differ[..., LANES:]
-    unlike = np.bitwise_count(differ).sum(axis=-1)
+    # Of a signed number, numpy would count the bits of its absolute value.
+    unlike = np.bitwise_count(differ.view(np.uint64)).sum(axis=-1)
     agree = 1 - unlike / (BANDS * ROWS)
     chance = 2.0**-BITS
     return (agree - chance) / (1 - chance)
@@ -107,7 +108,7 @@ def _signatures(size: int, kept: list[tuple[str, pa.DataType]]):
     return sign
 
 
-def _segments(parts: Iterator[pa.RecordBatch], key: str) -> Iterator[dict[str, np.ndarray]]:
+def _segments(parts: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
     """Runs of rows with one key from a stream sorted by it, many runs at a time."""
     held = None
     for part in parts:
@@ -123,30 +124,41 @@ def _segments(parts: Iterator[pa.RecordBatch], key: str) -> Iterator[dict[str, n
         yield held
 
 
-def _across(floor: float, most: int):
-    """Pairs of unlike components in one bucket whose estimate reaches ``floor``."""
+def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
+def _across(floor: float, most: int, percent: int):
+    """Links between unlike components of one bucket.
+
+    Pairs are told by their estimates and confirmed on the sets where they
+    stand, so only links leave the task. Two components that a link has joined
+    are not compared any further.
+    """
     arrow = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def search(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _segments(parts, "bucket"):
             keys = table.column("bucket").to_numpy()
-            ids, group = table.column("id").to_numpy(), table.column("component").to_numpy()
+            ids, group = table.column("id").to_numpy(), table.column("component").to_numpy().copy()
             flat = table.column("bits").combine_chunks().flatten().to_numpy()
             bits = flat.reshape(len(ids), BITS * LANES)
+            sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in table.column("found")]
             edges = np.flatnonzero(np.diff(keys, prepend=~keys[0], append=~keys[-1]))
-            a, b = [], []
+            links = []
             for s, e in zip(edges[:-1], edges[1:]):
+                here = group[s:e]
                 # A larger bucket is met again in its parts; here its first row stands for it.
-                for i in range(s, e - 1 if e - s <= most else s + 1):
-                    near = estimate(bits[i + 1 : e], bits[i]) >= floor
-                    hit = np.flatnonzero(near & (group[i + 1 : e] != group[i])) + i + 1
-                    a.append(np.full(len(hit), ids[i]))
-                    b.append(ids[hit])
-            if a:
-                a, b = np.concatenate(a), np.concatenate(b)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], schema=arrow
-                )
+                for i in range(e - s - 1 if e - s <= most else 1):
+                    likeness = estimate(bits[s + i + 1 : e], bits[s + i])
+                    near = np.flatnonzero((likeness >= floor) & (here[i + 1 :] != here[i])) + i + 1
+                    for j in near[np.argsort(-likeness[near - i - 1])]:
+                        if here[i] != here[j] and _similar(sets[s + i], sets[s + j], percent):
+                            links.append(sorted((ids[s + i], ids[s + j])))
+                            here[here == here[j]] = here[i]
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links)], schema=arrow)
 
     return search
 
@@ -189,7 +201,7 @@ def near_duplicates(
     text_column: str = "text",
     shingle: int = 5,
     percent: int = 80,
-    slack: float = 0.2,
+    slack: float = 0.13,
     most: int = 1024,
 ) -> DataFrame:
     """The component of every document under links of ``percent`` similarity.
@@ -198,7 +210,7 @@ def near_duplicates(
     sets of ``shingle``-word shingles (a shorter text counts as one shingle).
     Candidates share a band; of two texts with similarity 0.8 that fails once
     in 350,000 pairs. A candidate is dropped without confirmation only when its
-    estimate is ``slack`` (seven standard deviations) below the bound.
+    estimate is ``slack`` (four standard deviations) below the bound.
 
     Returns ``id_column``, ``n_shingles``, ``component_id`` (the smallest id in
     the component), ``kept`` (whether that is the row's own id), ``component``
@@ -218,11 +230,11 @@ def near_duplicates(
         F.col(text_column).alias("text"),
     )
     kept = [("doc", pa.int64()), ("t1", pa.int64()), ("t2", pa.int64())]
-    sets = stored(read.mapInArrow(_signatures(shingle, kept), f"doc long, t1 long, t2 long, {SIGNED}"))
+    signed_rows = stored(read.mapInArrow(_signatures(shingle, kept), f"doc long, t1 long, t2 long, {SIGNED}"))
 
     same = ["k1", "k2", "n_shingles"]
     classes = stored(
-        sets.filter("n_shingles > 0")
+        signed_rows.filter("n_shingles > 0")
         .groupBy(*same)
         .agg(
             F.min("doc").alias("low"),
@@ -251,7 +263,8 @@ def near_duplicates(
     )
     floor = percent / 100 - slack
     likely = _estimated(tested, classes, floor)
-    links = stored(_confirmed(spark, likely, classes, read, shingle, percent))
+    sets = stored(_whole_sets(members, classes, read, shingle))
+    links = stored(_confirmed(likely, sets, percent))
     found = components(links)
 
     # Buckets of more than two classes may hold links their star has not tested.
@@ -265,24 +278,22 @@ def near_duplicates(
         .filter("x <> y")
         .select("bucket")
     )
-    rest = grouped.join(mixed, "bucket").join(classes.select("id", "bands", "bits"), "id")
+    rest = grouped.join(mixed, "bucket").join(classes.select("id", "bands", "bits"), "id").join(sets, "id")
     # Buckets too large for one search are also cut by six more bands.
     bands = F.posexplode(F.slice("bands", F.lit(1) + F.pmod("bucket", F.lit(BANDS - 5)).cast("int"), 6))
     cut = (
         rest.filter(F.col("n") > most)
-        .select("bucket", "id", "component", "bits", bands.alias("band", "key"))
-        .select(F.xxhash64("bucket", "band", "key").alias("bucket"), "id", "component", "bits")
+        .select("bucket", "id", "component", "bits", "found", bands.alias("band", "key"))
+        .select(F.xxhash64("bucket", "band", "key").alias("bucket"), "id", "component", "bits", "found")
     )
-    searched = (
-        rest.select("bucket", "id", "component", "bits")
+    more = stored(
+        rest.select("bucket", "id", "component", "bits", "found")
         .unionByName(cut)
         .repartition("bucket")
         .sortWithinPartitions("bucket")
-        .mapInArrow(_across(floor, most), "a long, b long")
+        .mapInArrow(_across(floor, most, percent), "a long, b long")
         .distinct()
     )
-    fresh = stored(searched.join(tested, ["a", "b"], "left_anti"))
-    more = stored(_confirmed(spark, fresh, classes, read, shingle, percent))
     if not more.isEmpty():
         links = links.unionByName(more)
         found = components(links)
@@ -292,7 +303,7 @@ def near_duplicates(
     )
     lowest = placed.groupBy("component").agg(F.min("low").alias("lowest"))
     placed = placed.join(lowest, "component").select(*same, "lowest", "component")
-    joined = sets.select("doc", "t1", *same).join(placed, same, "left")
+    joined = signed_rows.select("doc", "t1", *same).join(placed, same, "left")
     component = F.when(F.col("n_shingles") > 0, F.col("lowest")).otherwise(F.col("doc"))
     return joined.select(
         F.col("doc").alias(id_column),
@@ -340,33 +351,34 @@ def _estimated(pairs: DataFrame, classes: DataFrame, floor: float) -> DataFrame:
     return met.filter(f"(({agree}) - {chance}D) / {1 - chance}D >= {floor}D").select("a", "b")
 
 
-def _confirmed(
-    spark: SparkSession, pairs: DataFrame, classes: DataFrame, read: DataFrame, shingle: int, percent: int
-) -> DataFrame:
-    """Pairs that are similar enough on their full sets."""
-    pairs = stored(pairs)
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    wanted = stored(ids.join(classes.select("id", "low", "t1", "t2"), "id"))
-    texts = read.filter("text IS NOT NULL").join(wanted, ["t1", "t2"]).select("id", "text")
+def _whole_sets(members: DataFrame, classes: DataFrame, read: DataFrame, shingle: int) -> DataFrame:
+    """``id, found``: the full shingle set of every class that shares a bucket."""
+    wanted = stored(members.select("id").distinct().join(classes.select("id", "t1", "t2"), "id"))
+    # The wanted classes grow with the corpus, so they are never broadcast.
+    texts = read.filter("text IS NOT NULL").join(wanted.hint("merge"), ["t1", "t2"]).select("id", "text")
     arrow = pa.schema([("id", pa.int64()), ("found", pa.binary())])
 
     def whole_sets(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            found = [shingle_set(t.as_py(), shingle).tobytes() for t in part.column("text")]
-            yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(found, pa.binary())], schema=arrow)
+            # Sets are larger than their texts, so they leave some at a time.
+            for at in range(0, part.num_rows, 256):
+                some = part.slice(at, 256)
+                found = [shingle_set(t.as_py(), shingle).tobytes() for t in some.column("text")]
+                yield pa.RecordBatch.from_arrays([some.column("id"), pa.array(found, pa.binary())], schema=arrow)
 
     # Copies of one text give one set.
-    sets = stored(texts.mapInArrow(whole_sets, "id long, found binary").dropDuplicates(["id"]))
+    return texts.mapInArrow(whole_sets, "id long, found binary").dropDuplicates(["id"])
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs that are similar enough on their full sets."""
     met = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b").select("a", "b", "x", "y")
     linked = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def confirm(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            good = []
-            for x, y in zip(part.column("x"), part.column("y")):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(100 * both >= percent * (len(x) + len(y) - both))
+            sides = zip(part.column("x"), part.column("y"))
+            good = [_similar(*(np.frombuffer(v.as_buffer(), np.uint64) for v in pair), percent) for pair in sides]
             chosen = part.filter(pa.array(good, pa.bool_()))
             yield pa.RecordBatch.from_arrays([chosen.column("a"), chosen.column("b")], schema=linked)
 

@@ -27,14 +27,25 @@ def shared_folder(spark: SparkSession) -> str:
     return path
 
 
-def stored(rows: DataFrame) -> DataFrame:
+ARROW_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def stored(rows: DataFrame, batch_bytes: int = 8 << 20) -> DataFrame:
     """``rows`` as a written table: computed once, its size known to the planner.
 
-    A lost executor costs only the tasks that read it again.
+    A lost executor costs only the tasks that read it again. While it is
+    written, Python tasks get batches of at most ``batch_bytes``: beside a full
+    heap there is little room for Arrow's buffers. The setting is put back.
     """
-    path = shared_folder(rows.sparkSession)
-    rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+    spark = rows.sparkSession
+    path = shared_folder(spark)
+    before = spark.conf.get(ARROW_BATCH)
+    spark.conf.set(ARROW_BATCH, str(batch_bytes))
+    try:
+        rows.write.parquet(path)
+    finally:
+        spark.conf.set(ARROW_BATCH, before)
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 def drop_scratch() -> None:

@@ -119,4 +119,43 @@ QUERIES = {f.__name__: f for f in (
     op9_identify_languages,
     op10_extract_pages,
 )}
-ORACLE: dict[str, str] = {}
+# The same results in DuckDB's SQL, by comparing everything with everything.
+
+_LOWERED = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = r"regexp_extract_all(" + _LOWERED + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_TOKENS = r"regexp_extract_all(" + _LOWERED + r", '[^\x20\x09-\x0D]+')"
+
+ORACLE: dict[str, str] = {
+    "op4_decontaminate": f"""
+WITH doc AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS.format("text")} AS w FROM documents),
+item AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_WORDS.format("text")} AS w FROM benchmark),
+sized AS (SELECT item, w, least(13, len(w)) AS n FROM item WHERE len(w) > 0),
+item_at AS (SELECT item, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM sized),
+win AS (SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS phrase FROM item_at),
+doc_at AS (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM doc, (SELECT DISTINCT n FROM win)
+           WHERE len(w) >= n),
+hit AS (SELECT d.r, d.i, d.n, win.item FROM doc_at d JOIN win
+        ON win.n = d.n AND win.phrase = array_to_string(d.w[d.i:d.i + d.n - 1], ' ')),
+covered AS (SELECT DISTINCT r, unnest(range(i, i + n)) AS at FROM hit),
+hits AS (SELECT r, count(*) AS n_hit FROM covered GROUP BY r),
+items AS (SELECT r, count(DISTINCT item) AS n_items, array_to_string(list_sort(list(DISTINCT item)), ',') AS listed
+          FROM hit GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(listed, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM doc LEFT JOIN hits USING (r) LEFT JOIN items USING (r)""",
+    "op7_minhash_near_duplicates": f"""
+WITH RECURSIVE doc AS (SELECT doc_id, {_TOKENS.format("text")} AS w FROM documents),
+shingle AS (
+    SELECT DISTINCT doc_id, CASE WHEN len(w) = 1 THEN w[1] ELSE w[i] || ' ' || w[i + 1] END AS s
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w), 2))) AS i FROM doc WHERE len(w) > 0)),
+size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+both_of AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM shingle a JOIN shingle b
+            ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+link AS (SELECT a, b FROM both_of JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b
+         WHERE 100 * shared >= 80 * (x.n + y.n - shared)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM doc UNION
+          SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, lowest AS component_id, doc_id = lowest AS kept
+FROM doc LEFT JOIN size USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS lowest FROM reach GROUP BY a) USING (doc_id)""",
+}

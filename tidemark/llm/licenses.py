@@ -70,8 +70,9 @@ def template_words(
         [(i, label, text) for i, (label, text) in enumerate(templates)],
         "template int, label string, text string",
     )
-    terms = named.select(
-        "template", "label", F.explode(F.array_distinct(word_array(F.col("text")))).alias("term")
+    # Written, so that Spark knows how few they are and need not sort all words.
+    terms = stored(
+        named.select("template", "label", F.explode(F.array_distinct(word_array(F.col("text")))).alias("term"))
     )
     counts = (
         docs_words.select(F.explode("words").alias("term"))

@@ -97,3 +97,32 @@ def test_estimates_are_near_the_truth():
         x, y = (neardup.planes(neardup.minima(s)) for s in (a, b))
         errors.append(abs(float(neardup.estimate(x, y)) - len(b) / len(a)))
     assert max(errors) < 0.1
+
+
+def test_links_that_share_only_crowded_buckets(spark):
+    # All share a template; only the first two of a family are similar enough, and their
+    # common buckets hold hundreds of others, also where two bands are shared.
+    texts = []
+    for family in range(2):
+        template = [f"t{family}x{i}" for i in range(160)]
+        texts += [
+            " ".join(template + [f"o{family}x{n}x{i}" for i in range(20 if n < 2 else 21)]) for n in range(600)
+        ]
+    rows = neardup.near_duplicates(frame(spark, texts), shingle=1, most=64).collect()
+    expected = {1: 0, 601: 600}
+    assert {r["doc_id"]: r["component_id"] for r in rows} == {i: expected.get(i, i) for i in range(1200)}
+
+
+def test_blocks_bring_all_unlike_members_together(spark):
+    # A component of 30 and 25 of one or two members, in blocks of 8 at most on average.
+    held = {i: 0 if i < 30 else i // 2 for i in range(70)}
+    crowded = spark.createDataFrame([(5, i, 70, c) for i, c in held.items()], "bucket long, id long, n long, component long")
+    met = {}
+    for r in neardup._block_pairs(crowded, 8).collect():
+        met.setdefault(r["bucket"], []).append((r["id"], r["side"]))
+    pairs = [
+        (a, b) for rows in met.values() for a, x in rows for b, y in rows if a < b and (x != y or x == 0)
+    ]
+    assert len(pairs) == len(set(pairs))
+    assert set(pairs) >= {(a, b) for a in held for b in held if a < b and held[a] != held[b]}
+    assert max(map(len, met.values())) < 40

@@ -9,7 +9,7 @@ sets, and confirmed links are closed into components.
 Texts with equal sets are one class, so exact copies never meet as pairs. In a
 bucket each class is tested against one class of the bucket, another one in
 every band. Buckets that still hold several components are then searched for
-links between these inside the task.
+links between these inside the task, large ones as pairs of blocks.
 """
 
 from __future__ import annotations
@@ -129,9 +129,18 @@ def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(x) + len(y) - both)
 
 
-def _across(floor: float, most: int, percent: int):
-    """Links between unlike components of one bucket.
+def _overlaps(x: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """How many values each of ``others`` shares with ``x``; all are sorted sets, none is empty."""
+    values = np.concatenate(others)
+    hit = x[np.minimum(np.searchsorted(x, values), len(x) - 1)] == values
+    starts = np.cumsum([0, *map(len, others[:-1])])
+    return np.add.reduceat(hit.astype(np.int64), starts)
 
+
+def _across(floor: float, percent: int, some: int = 64):
+    """Links between unlike components of one bucket, or of two blocks of one.
+
+    Rows of side 0 meet all others, rows of a block those of the other block.
     Pairs are told by their estimates and confirmed on the sets where they
     stand, so only links leave the task. Two components that a link has joined
     are not compared any further.
@@ -142,21 +151,30 @@ def _across(floor: float, most: int, percent: int):
         for table in _segments(parts, "bucket"):
             keys = table.column("bucket").to_numpy()
             ids, group = table.column("id").to_numpy(), table.column("component").to_numpy().copy()
+            side = table.column("side").to_numpy()
             flat = table.column("bits").combine_chunks().flatten().to_numpy()
             bits = flat.reshape(len(ids), BITS * LANES)
             sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in table.column("found")]
             edges = np.flatnonzero(np.diff(keys, prepend=~keys[0], append=~keys[-1]))
             links = []
             for s, e in zip(edges[:-1], edges[1:]):
-                here = group[s:e]
-                # A larger bucket is met again in its parts; here its first row stands for it.
-                for i in range(e - s - 1 if e - s <= most else 1):
-                    likeness = estimate(bits[s + i + 1 : e], bits[s + i])
-                    near = np.flatnonzero((likeness >= floor) & (here[i + 1 :] != here[i])) + i + 1
-                    for j in near[np.argsort(-likeness[near - i - 1])]:
-                        if here[i] != here[j] and _similar(sets[s + i], sets[s + j], percent):
-                            links.append(sorted((ids[s + i], ids[s + j])))
-                            here[here == here[j]] = here[i]
+                here, sides = group[s:e], side[s:e]
+                for i in range(e - s - 1):
+                    unlike = here[i + 1 :] != here[i]
+                    if sides[i]:
+                        unlike &= sides[i + 1 :] != sides[i]
+                    others = np.flatnonzero(unlike) + i + 1
+                    likeness = estimate(bits[s + others], bits[s + i])
+                    near = others[np.argsort(-likeness)][: np.count_nonzero(likeness >= floor)]
+                    for at in range(0, len(near), some):
+                        left = [j for j in near[at : at + some] if here[j] != here[i]]
+                        if not left:
+                            continue
+                        x, found = sets[s + i], [sets[s + j] for j in left]
+                        for j, y, both in zip(left, found, _overlaps(x, found)):
+                            if here[i] != here[j] and 100 * both >= percent * (len(x) + len(y) - both):
+                                links.append(sorted((ids[s + i], ids[s + j])))
+                                here[here == here[j]] = here[i]
             if links:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links)], schema=arrow)
 
@@ -278,20 +296,16 @@ def near_duplicates(
         .filter("x <> y")
         .select("bucket")
     )
-    rest = grouped.join(mixed, "bucket").join(classes.select("id", "bands", "bits"), "id").join(sets, "id")
-    # Buckets too large for one search are also cut by six more bands.
-    bands = F.posexplode(F.slice("bands", F.lit(1) + F.pmod("bucket", F.lit(BANDS - 5)).cast("int"), 6))
-    cut = (
-        rest.filter(F.col("n") > most)
-        .select("bucket", "id", "component", "bits", "found", bands.alias("band", "key"))
-        .select(F.xxhash64("bucket", "band", "key").alias("bucket"), "id", "component", "bits", "found")
-    )
+    rest = stored(grouped.join(mixed, "bucket").select("bucket", "id", "n", "component"))
+    searched = rest.filter(F.col("n") <= most).select("bucket", "id", "component", F.lit(0).alias("side"))
     more = stored(
-        rest.select("bucket", "id", "component", "bits", "found")
-        .unionByName(cut)
+        searched.unionByName(_block_pairs(rest.filter(F.col("n") > most), max(most // 2, 1)))
+        .join(classes.select("id", "bits"), "id")
+        .join(sets, "id")
+        .select("bucket", "id", "component", "side", "bits", "found")
         .repartition("bucket")
         .sortWithinPartitions("bucket")
-        .mapInArrow(_across(floor, most, percent), "a long, b long")
+        .mapInArrow(_across(floor, percent), "a long, b long")
         .distinct()
     )
     if not more.isEmpty():
@@ -315,6 +329,52 @@ def near_duplicates(
     )
 
 
+def _block_pairs(crowded: DataFrame, size: int) -> DataFrame:
+    """``bucket, id, component, side``: large buckets as pairs of blocks, a bucket for each pair.
+
+    ``crowded``: bucket, id, n, component. A component of more than ``size``
+    members in a bucket has blocks of its own, which need not meet each other;
+    the other members are dealt to blocks whatever their components are. Any
+    two members of unlike components meet in one pair of blocks.
+    """
+    large = stored(
+        crowded.groupBy("bucket", "component").agg(F.count("*").alias("held")).filter(F.col("held") > size)
+    )
+    own = large.groupBy("bucket").agg(F.sum("held").alias("owned"))
+    # The other members have the owner -1.
+    dealt = stored(
+        crowded.join(large, ["bucket", "component"], "left")
+        .join(own, "bucket", "left")
+        .select(
+            "bucket",
+            "id",
+            "component",
+            F.when(F.col("held").isNotNull(), F.col("component")).otherwise(F.lit(-1)).alias("owner"),
+            F.coalesce("held", F.col("n") - F.coalesce("owned", F.lit(0))).alias("held"),
+        )
+        .select(
+            "bucket", "id", "component", "owner",
+            F.pmod(F.xxhash64("id"), F.ceil(F.col("held") / size)).alias("number"),
+        )
+    )
+    blocks = stored(dealt.select("bucket", "owner", "number").distinct())
+    one, two = blocks.alias("one"), blocks.alias("two")
+    pairs = one.join(two, F.expr("one.bucket = two.bucket")).filter(
+        """(one.owner = -1 AND two.owner = -1 AND one.number <= two.number) OR one.owner < two.owner"""
+    )
+    key = F.expr("xxhash64(one.bucket, one.owner, one.number, two.owner, two.number)")
+    alone = F.expr("one.owner = two.owner AND one.number = two.number")
+    sides = F.when(alone, F.expr("array(struct(one.owner, one.number, 0 AS side))")).otherwise(
+        F.expr("array(struct(one.owner, one.number, 1 AS side), struct(two.owner, two.number, 2 AS side))")
+    )
+    placed = stored(
+        pairs.select(F.col("one.bucket").alias("bucket"), key.alias("pair"), F.inline(sides))
+    )
+    return dealt.join(placed, ["bucket", "owner", "number"]).select(
+        F.col("pair").alias("bucket"), "id", "component", "side"
+    )
+
+
 def rejected_copies(found: DataFrame, id_column: str = "doc_id") -> tuple[DataFrame, DataFrame]:
     """What must go so that one document of each component stays.
 

@@ -1,4 +1,6 @@
+import random
 import re
+import string
 
 from tidemark.llm import queries, secrets
 
@@ -54,6 +56,18 @@ def test_many_repositories_of_one_owner_make_an_example(spark):
     assert not any(f["live"] for r in secrets.find_secrets(docs).collect() for f in r["findings"])
 
 
+def test_generic_tokens_of_any_length(spark):
+    draw = random.Random(5)
+    tokens = ["".join(draw.choice(string.ascii_letters + string.digits) for _ in range(n)) for n in (200, 201, 342, 50_000)]
+    # The parts of a signed web token, and keys on one line; equal letters and a digit are no secret.
+    texts = [f"jwt eyJ.{t}.x end" for t in tokens] + ["see " + "z" * 300 + "1"]
+    docs = frame(spark, texts)
+    rows = {r["doc_id"]: [(f["kind"], f["start"], f["end"], f["live"]) for f in r["findings"]] for r in secrets.find_secrets(docs).collect()}
+    assert rows == {i: [("generic", 8, 8 + len(t), True)] for i, t in enumerate(tokens)} | {4: []}
+    masked = {r["doc_id"]: r["text"] for r in secrets.mask(docs).collect()}
+    assert masked == dict.fromkeys(range(4), "jwt eyJ.[secret].x end") | {4: texts[4]}
+
+
 def test_mask(spark):
     docs = frame(spark, [*TEXTS, None, "clean"], sources=("a",))
     rows = {r["doc_id"]: r["text"] for r in secrets.mask(docs).collect()}

@@ -33,8 +33,8 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ["assign", "access", "hex"]
 SHORTEST_VALUE, SHORTEST_ACCESS = 6, 20
 
-# A generic candidate: a long token with letters and digits that is no word.
-GENERIC = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_=-]{20,200}(?![A-Za-z0-9+/_=-])")
+# A generic candidate: a whole long token with letters and digits that is no word.
+GENERIC = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_=-]{20,}+")
 GENERIC_BITS = 3.0
 
 

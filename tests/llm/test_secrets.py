@@ -56,6 +56,17 @@ def test_many_repositories_of_one_owner_make_an_example(spark):
     assert not any(f["live"] for r in secrets.find_secrets(docs).collect() for f in r["findings"])
 
 
+def test_what_few_owners_repeat_stays_live(spark):
+    key, token = "AKIA" + "R" * 16, "qW7eR4tY8uI1oP5aS2dF6gH"
+    texts = [f"{i} {key} {token}" if i < 80 else f"{i} clean" for i in range(90)]
+    for sources in (("a",), ("a", None)):
+        rows = {r["doc_id"]: r["findings"] for r in secrets.find_secrets(frame(spark, texts, sources=sources)).collect()}
+        for i in range(90):
+            expected = [("access", True), ("generic", True)] if i < 80 else []
+            assert [(f["kind"], f["live"]) for f in rows[i]] == expected
+    assert "[secret] [secret]" in secrets.mask(frame(spark, texts, sources=("a",))).filter("doc_id = 79").first()["text"]
+
+
 def test_generic_tokens_of_any_length(spark):
     draw = random.Random(5)
     tokens = ["".join(draw.choice(string.ascii_letters + string.digits) for _ in range(n)) for n in (200, 201, 342, 50_000)]

@@ -5,7 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, licenses, mixing, neardup, pages, pii, repeats, secrets, sketches
+from . import (
+    decontaminate,
+    language,
+    licenses,
+    mixing,
+    neardup,
+    pages,
+    pii,
+    repeats,
+    secrets,
+    simhash,
+    sketches,
+)
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -107,6 +119,12 @@ def op10_extract_pages(spark, sf):
     return pages.extract(_table(spark, sf, "pages"))
 
 
+def op11_simhash_near_duplicates(spark, sf):
+    found = simhash.near_duplicates(_table(spark, sf, "documents"), shingle=3, radius=2)
+    printed = F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint")
+    return found.select("doc_id", printed, "component_id")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_mix_sources,
     op2_secrets,
@@ -118,6 +136,7 @@ QUERIES = {f.__name__: f for f in (
     op8_bottom_k_sketches,
     op9_identify_languages,
     op10_extract_pages,
+    op11_simhash_near_duplicates,
 )}
 # The same results in DuckDB's SQL, by comparing everything with everything.
 

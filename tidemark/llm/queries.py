@@ -9,6 +9,7 @@ from . import (
     decontaminate,
     language,
     licenses,
+    merkle,
     mixing,
     neardup,
     pages,
@@ -18,6 +19,7 @@ from . import (
     simhash,
     sketches,
 )
+from .shared import ascii_lower
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -125,6 +127,20 @@ def op11_simhash_near_duplicates(spark, sf):
     return found.select("doc_id", printed, "component_id")
 
 
+def op12_merkle_manifest(spark, sf):
+    """Every fifth document or so claims a text in lower case."""
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    claimed = [ascii_lower(F.col(f)) if f == "text" else F.col(f) for f in fields]
+    touched = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    carry = {"claim": F.when(touched, merkle.row_digest(claimed))}
+    found = merkle.manifest(_table(spark, sf, "documents"), fields=fields, carry=carry, fan=16)
+    folded = found.withColumn("folded_root", merkle.folded(F.coalesce("claim", "leaf")))
+    return folded.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_digest().alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES = {f.__name__: f for f in (
     op1_mix_sources,
     op2_secrets,
@@ -137,6 +153,7 @@ QUERIES = {f.__name__: f for f in (
     op9_identify_languages,
     op10_extract_pages,
     op11_simhash_near_duplicates,
+    op12_merkle_manifest,
 )}
 # The same results in DuckDB's SQL, by comparing everything with everything.
 
@@ -144,6 +161,68 @@ _LOWERED = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 _WORDS = r"regexp_extract_all(" + _LOWERED + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 _TOKENS = r"regexp_extract_all(" + _LOWERED + r", '[^\x20\x09-\x0D]+')"
 
+
+
+def _merkle_sql(deepest: int = 8) -> str:
+    """Nodes level by level, by grouping; a node that is alone in its tree goes up as it is."""
+
+    def fields(text: str) -> str:
+        each = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
+        return " || ".join(f"coalesce(CAST(octet_length(encode({e})) AS VARCHAR) || ':' || {e}, '-')" for e in each)
+
+    low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    # CRC-32 of the decimal digits, bit by bit.
+    bits = "list_reduce([c] || range(8), (x, i) -> CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)"
+    digits = "list_transform(range(1, len(CAST(doc_id AS VARCHAR)) + 1), i -> ascii(substr(CAST(doc_id AS VARCHAR), i, 1))::BIGINT)"
+    rounds = bits.replace("[c]", "[xor(c, b)]")
+    crc = f"xor(list_reduce([4294967295::BIGINT] || {digits}, (c, b) -> {rounds}), 4294967295)"
+
+    parts = [f"""
+WITH doc AS (SELECT row_number() OVER () AS r, doc_id, source, sha256({fields("text")}) AS leaf,
+             CASE WHEN {crc} % 5 = 0 THEN sha256({fields(low)}) END AS claim FROM documents),
+a0 AS (SELECT r, source AS tree, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+       count(*) OVER (PARTITION BY source) AS n, leaf AS hash FROM doc)"""]
+
+    def tree(name: str) -> str:
+        """CTEs ``name``1 and on: levels; ``name``_up: what is on a first-level node's way."""
+        for k in range(deepest):
+            parts.append(f"""{name}{k + 1} AS (
+SELECT tree, pos // 16 AS pos, any_value(n) AS was, CASE WHEN any_value(n) = 1 THEN any_value(hash)
+       ELSE sha256(string_agg(hash, '' ORDER BY pos)) END AS hash, count(*) OVER (PARTITION BY tree) AS n
+FROM {name}{k} GROUP BY tree, pos // 16)""")
+
+    tree("a")
+    parts.append(f"""b0 AS (SELECT tree AS source, 0 AS tree, row_number() OVER (ORDER BY encode(tree) NULLS FIRST) - 1 AS pos,
+       count(*) OVER () AS n, hash FROM a{deepest})""")
+    tree("b")
+    for name in "ab":
+        for k in range(deepest):
+            parts.append(f"""{name}s{k} AS (
+SELECT x.tree, x.pos, coalesce(string_agg(y.hash, '' ORDER BY y.pos) FILTER (WHERE y.pos < x.pos), '') AS lft,
+       coalesce(string_agg(y.hash, '' ORDER BY y.pos) FILTER (WHERE y.pos > x.pos), '') AS rgt, any_value(x.n) > 1 AS step
+FROM {name}{k} x JOIN {name}{k} y ON x.tree IS NOT DISTINCT FROM y.tree AND x.pos // 16 = y.pos // 16
+GROUP BY x.tree, x.pos)""")
+
+    def climb(state: str, name: str) -> str:
+        """Folds ``fold`` and ``proof`` of table ``state`` over the levels of ``name``."""
+        for k in range(deepest):
+            parts.append(f"""{name}c{k} AS (
+SELECT c.* REPLACE (c.pos // 16 AS pos, CASE WHEN step THEN sha256(lft || fold || rgt) ELSE fold END AS fold,
+       CASE WHEN step THEN proof || lft || rgt ELSE proof END AS proof)
+FROM {state} c JOIN {name}s{k} s ON c.tree IS NOT DISTINCT FROM s.tree AND c.pos = s.pos)""")
+            state = f"{name}c{k}"
+        return state
+
+    parts.append("start AS (SELECT r, tree, pos, '' AS proof, coalesce(claim, leaf) AS fold FROM a0 JOIN doc USING (r))")
+    over = climb("start", "a")
+    parts.append(f"""mid AS (SELECT r, c.tree AS source, 0 AS tree, b0.pos, proof, fold, b0.hash AS subroot
+FROM {over} c JOIN b0 ON c.tree IS NOT DISTINCT FROM b0.source)""")
+    end = climb("mid", "b")
+    return ",\n".join(parts) + f"""
+SELECT doc_id, leaf, subroot, top.hash AS root, sha256(proof) AS proof_sha256, fold AS folded_root, fold = top.hash AS verified
+FROM {end} JOIN doc USING (r), b{deepest} top"""
+
+
 ORACLE: dict[str, str] = {
     "op4_decontaminate": f"""
 WITH doc AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS.format("text")} AS w FROM documents),
@@ -177,4 +256,5 @@ reach AS (SELECT doc_id AS a, doc_id AS b FROM doc UNION
           SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a)
 SELECT doc_id, coalesce(n, 0) AS n_shingles, lowest AS component_id, doc_id = lowest AS kept
 FROM doc LEFT JOIN size USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS lowest FROM reach GROUP BY a) USING (doc_id)""",
+    "op12_merkle_manifest": _merkle_sql(),
 }

@@ -172,10 +172,10 @@ def _merkle_sql(deepest: int = 8) -> str:
 
     low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     # CRC-32 of the decimal digits, bit by bit.
-    bits = "list_reduce([c] || range(8), (x, i) -> CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)"
-    digits = "list_transform(range(1, len(CAST(doc_id AS VARCHAR)) + 1), i -> ascii(substr(CAST(doc_id AS VARCHAR), i, 1))::BIGINT)"
+    bits = "list_reduce([c] || range(8), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)"
+    digits = "list_transform(range(1, len(CAST(doc_id AS VARCHAR)) + 1), lambda i: ascii(substr(CAST(doc_id AS VARCHAR), i, 1))::BIGINT)"
     rounds = bits.replace("[c]", "[xor(c, b)]")
-    crc = f"xor(list_reduce([4294967295::BIGINT] || {digits}, (c, b) -> {rounds}), 4294967295)"
+    crc = f"xor(list_reduce([4294967295::BIGINT] || {digits}, lambda c, b: {rounds}), 4294967295)"
 
     parts = [f"""
 WITH doc AS (SELECT row_number() OVER () AS r, doc_id, source, sha256({fields("text")}) AS leaf,

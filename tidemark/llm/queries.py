@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    collocations,
     decontaminate,
     language,
     licenses,
@@ -141,6 +142,10 @@ def op12_merkle_manifest(spark, sf):
     )
 
 
+def op13_phrase_collocations(spark, sf):
+    return collocations.collocations(_table(spark, sf, "documents"), least=30, longest=4, first=2000, covered=80)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_mix_sources,
     op2_secrets,
@@ -154,6 +159,7 @@ QUERIES = {f.__name__: f for f in (
     op10_extract_pages,
     op11_simhash_near_duplicates,
     op12_merkle_manifest,
+    op13_phrase_collocations,
 )}
 # The same results in DuckDB's SQL, by comparing everything with everything.
 
@@ -257,4 +263,27 @@ reach AS (SELECT doc_id AS a, doc_id AS b FROM doc UNION
 SELECT doc_id, coalesce(n, 0) AS n_shingles, lowest AS component_id, doc_id = lowest AS kept
 FROM doc LEFT JOIN size USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS lowest FROM reach GROUP BY a) USING (doc_id)""",
     "op12_merkle_manifest": _merkle_sql(),
+    "op13_phrase_collocations": f"""
+WITH piece AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWERED.format("text")}, '[.,;:!?\x0A-\x0D]')) AS p
+    FROM documents),
+worded AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM piece),
+placed AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM worded),
+phrase AS (SELECT lang, w[i:i + m - 1] AS words FROM placed, range(1, 5) AS sizes(m) WHERE i + m - 1 <= len(w)),
+f AS (SELECT lang, words, len(words) AS m, CAST(count(*) AS HUGEINT) AS a FROM phrase GROUP BY lang, words),
+total AS (SELECT lang, count(*) AS n FROM placed GROUP BY lang),
+candidate AS (SELECT * FROM f WHERE m >= 2 AND a >= 30),
+cut AS (SELECT c.*, k, x.a AS l, y.a AS r, 2000000 * c.a // (x.a + y.a) AS score
+        FROM (SELECT *, unnest(range(1, m)) AS k FROM candidate) c
+        JOIN f x ON x.lang = c.lang AND x.words = c.words[:k] JOIN f y ON y.lang = c.lang AND y.words = c.words[k + 1:]),
+lowest AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, k) = 1),
+inner_part AS (SELECT lang, words[i:i + s - 1] AS words, a
+               FROM (SELECT *, unnest(range(1, m - s + 2)) AS i FROM (SELECT *, unnest(range(2, m)) AS s FROM candidate))),
+around AS (SELECT lang, words, max(a) AS most FROM inner_part GROUP BY lang, words),
+kept AS (SELECT lang, array_to_string(words, ' ') AS phrase, c.a, l, r, score
+         FROM lowest c LEFT JOIN around USING (lang, words) WHERE most IS NULL OR 100 * most < 80 * c.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, n,
+       CAST(score AS BIGINT) AS score
+FROM ranked JOIN total USING (lang) WHERE rank <= 2000""",
 }

@@ -1,0 +1,175 @@
+"""Merged deltas: rules, covers, and every day of random histories from few pieces."""
+
+import datetime as dt
+import math
+import random
+
+import pytest
+
+from tidemark import HistoryStore
+from tidemark.operators.merging import EXACT, merge_deltas
+from tidemark.plans import levels
+
+from .helpers import bag, day, same
+
+SCHEMA = "k string, v int, w string"
+LOG = f"{SCHEMA}, action string, day date, {EXACT} boolean, span string"
+
+
+def dump(spark, state):
+    return spark.createDataFrame([(k, *v) for k, v in state.items()], SCHEMA)
+
+
+def histories(seed, n):
+    """Daily states: rows come, go, come back as they were, change there and back; some days are empty."""
+    draw, state, days = random.Random(seed), {}, []
+    for _ in range(n):
+        for key in (f"k{i}" for i in range(12)):
+            if draw.random() < 0.3:
+                if key in state and draw.random() < 0.5:
+                    del state[key]
+                else:
+                    state[key] = (draw.choice([1, 2, None]), draw.choice(["x", None]))
+        days.append({} if draw.random() < 0.1 else dict(state))
+    return days
+
+
+@pytest.fixture(scope="module")
+def filled(spark, tmp_path_factory):
+    """A store of 21 days, compacted, and the states it holds."""
+    states = histories(5, 21)
+    store = HistoryStore(spark, str(tmp_path_factory.mktemp("levels") / "store"), dump(spark, {}).schema, ["k"])
+    rows = [(day(i + 1), k, *v) for i, s in enumerate(states) for k, v in s.items()]
+    store.backfill_long(spark.createDataFrame(rows, f"day date, {SCHEMA}"), [day(i + 1) for i in range(21)])
+    log = bag(store.log())
+    new = store.compact()
+    assert bag(store.log()) == log
+    return store, states, new
+
+
+@pytest.mark.parametrize(
+    ("rows", "expected"),
+    [
+        (["DELETE 1", "INSERT 1"], None),
+        (["DELETE 1", "UPDATE 1"], ("DELETE", 1, False)),
+        (["DELETE 1", "INSERT 1", "DELETE 2"], ("DELETE", 2, True)),
+        (["DELETE 1", "UPDATE 1", "INSERT 3"], None),
+        (["INSERT 1", "DELETE 1"], None),
+        (["INSERT 1", "DELETE 2"], ("UPDATE", 1, True)),
+        (["INSERT 1", "DELETE 1", "UPDATE 1"], ("UPDATE", 1, False)),
+        (["UPDATE 1", "UPDATE 2"], ("UPDATE", 1, False)),
+        (["UPDATE 1", "INSERT 2"], ("INSERT", 1, False)),
+        (["UPDATE 1", "INSERT 2", "DELETE 1"], None),
+        (["INSERT None", "DELETE None"], None),
+        (["INSERT None", "DELETE 1"], ("UPDATE", None, True)),
+    ],
+)
+def test_rules(spark, rows, expected):
+    log = []
+    for i, row in enumerate(rows):
+        action, value = row.split()
+        log.append(("k", None if value == "None" else int(value), None, action, day(i + 1), True, "s"))
+    got = [(r["action"], r["v"], r[EXACT]) for r in merge_deltas(spark.createDataFrame(log, LOG), ["k"], "span").collect()]
+    assert got == ([expected] if expected else [])
+
+
+def test_a_row_that_is_not_exact_cancels_nothing(spark):
+    rows = [("k", 1, None, "INSERT", day(1), True, "s"), ("k", 1, None, "DELETE", day(2), False, "s")]
+    got = merge_deltas(spark.createDataFrame(rows, LOG), ["k"], "span").collect()
+    assert [(r["action"], r["v"]) for r in got] == [("UPDATE", 1)]
+
+
+def test_spans_are_apart(spark):
+    rows = [("k", 1, None, "DELETE", day(1), True, "a"), ("k", 1, None, "INSERT", day(2), True, "b")]
+    got = merge_deltas(spark.createDataFrame(rows, LOG), ["k"], "span").collect()
+    assert sorted((r["span"], r["action"]) for r in got) == [("a", "DELETE"), ("b", "INSERT")]
+
+
+def test_every_day_comes_back_from_few_pieces(spark, filled):
+    store, states, new = filled
+    assert len(new) == 10 + 5 + 2 + 1  # of 2, 4, 8 and 16 days, none with the newest
+    for i, state in enumerate(states):
+        assert same(store.as_of(day(i + 1)), dump(spark, state)), i
+        pieces = store.pieces(day(i + 1))
+        assert len(pieces) <= 2 * math.ceil(math.log2(21))
+        covered = [first + dt.timedelta(n) for first, last in pieces for n in range((last - first).days + 1)]
+        assert covered == [day(n) for n in range(i + 2, 22)]
+    assert len(store.pieces(day(1))) == 6  # days 2; 3, 4; 5 to 8; 9 to 16; 17 to 20; 21
+    assert store.as_of("2024-12-31").isEmpty()
+
+
+def test_only_the_pieces_are_read(spark, filled):
+    store, _, _ = filled
+    read = {f.split("/store/")[1].rsplit("/", 2)[0] for f in store.as_of(day(1)).inputFiles()}
+    deltas = {r for r in read if not r.startswith("snapshot")}
+    listed = {levels.span_name(p) for p in store.pieces(day(1))}
+    assert deltas and deltas <= {f"merged/span={s}" for s in listed} | {f"diff/day={s[:10]}" for s in listed}
+    assert len(deltas) <= 6
+
+
+def test_merging_again_adds_nothing(filled):
+    store, _, _ = filled
+    assert store.compact() == []
+
+
+def test_days_to_come_and_a_redone_day(spark, root):
+    states = histories(8, 9)
+    store = HistoryStore(spark, root, dump(spark, {}).schema, ["k"])
+    for i, state in enumerate(states):
+        store.ingest(day(i + 1), dump(spark, state))
+        if i % 2:
+            store.compact()
+    states[-1] = {"new": (7, "y")}
+    store.ingest(day(9), dump(spark, states[-1]))
+    assert (day(1), day(8)) in store.compact()
+    store.vacuum()
+    for i, state in enumerate(states):
+        assert same(store.as_of(day(i + 1)), dump(spark, state)), i
+
+
+def test_an_interrupted_merge_does_not_count(spark, root, monkeypatch):
+    states = histories(3, 4)
+    store = HistoryStore(spark, root, dump(spark, {}).schema, ["k"], keep=2)
+    for i, state in enumerate(states):
+        store.ingest(day(i + 1), dump(spark, state))
+    store.vacuum()
+    broken = {"calls": 0}
+    frame = type(spark.range(1)).coalesce
+
+    def fail(self, n):
+        broken["calls"] += 1
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(type(spark.range(1)), "coalesce", fail)
+    with pytest.raises(RuntimeError):
+        store.compact()
+    monkeypatch.setattr(type(spark.range(1)), "coalesce", frame)
+    assert broken["calls"] == 1 and levels.merged_spans(spark, store.root) == {}
+    assert same(store.as_of(day(1)), dump(spark, states[0]))
+    store.vacuum()
+    assert store.compact() == [(day(1), day(2))]
+    assert same(store.as_of(day(1)), dump(spark, states[0]))
+
+
+def test_nothing_to_merge(spark, root):
+    store = HistoryStore(spark, root, dump(spark, {}).schema, ["k"])
+    assert store.compact() == []
+    store.ingest(day(1), dump(spark, {"a": (1, "x")}))
+    store.ingest(day(2), dump(spark, {}))
+    assert store.compact() == []
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 8, 33])
+def test_covers(n):
+    days = [dt.date(2025, 1, 1) + dt.timedelta(i) for i in range(n)]
+    merged, size = {}, 2
+    while size < n:
+        merged |= dict.fromkeys(levels.next_spans(days, size), "v")
+        size *= 2
+    for first in range(n):
+        for last in range(first - 1, n):
+            pieces = levels.cover(days, first, last, merged)
+            covered = [a + dt.timedelta(i) for a, b in pieces for i in range((b - a).days + 1)]
+            assert covered == days[first : last + 1]
+            assert len(pieces) <= max(1, 2 * math.ceil(math.log2(n + 1)))
+            assert levels.cover(days, first, last, {}) == [(d, d) for d in days[first : last + 1]]

@@ -16,6 +16,7 @@ from .operators import (
     log_summary,
     missing_keys,
     modified_rows,
+    point_in_time,
     reconcile_metrics,
     rejections,
     removed_rows,
@@ -24,6 +25,7 @@ from .operators import (
     rows_per_prefix,
     snapshot_metrics,
     snapshot_report,
+    versions,
 )
 from .operators.metrics import approximate_metrics
 from .plans import (
@@ -65,6 +67,7 @@ __all__ = [
     "log_summary",
     "missing_keys",
     "modified_rows",
+    "point_in_time",
     "read_dump",
     "rebuild",
     "reconcile_metrics",
@@ -78,4 +81,5 @@ __all__ = [
     "rows_per_prefix",
     "snapshot_metrics",
     "snapshot_report",
+    "versions",
 ]

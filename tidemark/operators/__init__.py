@@ -12,8 +12,10 @@ from .changes import (
     reverse_delta,
 )
 from .clean import clean, dedupe, rejections
-from .history import as_of, as_of_many, calendar, reverse_log
+from .history import as_of, as_of_many, calendar, reverse_log, versions
+from .merging import merge_deltas
 from .metrics import compare_metrics, rows_per_prefix, snapshot_metrics, snapshot_report
+from .point_in_time import point_in_time
 from .reconcile import extra_keys, missing_keys, reconcile_metrics
 
 __all__ = [
@@ -30,8 +32,10 @@ __all__ = [
     "dedupe",
     "extra_keys",
     "log_summary",
+    "merge_deltas",
     "missing_keys",
     "modified_rows",
+    "point_in_time",
     "reconcile_metrics",
     "rejections",
     "removed_rows",
@@ -40,4 +44,5 @@ __all__ = [
     "rows_per_prefix",
     "snapshot_metrics",
     "snapshot_report",
+    "versions",
 ]

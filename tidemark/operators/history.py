@@ -176,5 +176,31 @@ def as_of_many(
     )
 
 
+def versions(snapshot: DataFrame, log: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Every row that the table ever had, with the day ``since`` when it held.
+
+    ``log`` reaches up to the snapshot. Columns of ``snapshot``, then ``since``,
+    null for what held before the first day of the log, and ``present``: false
+    says that the key was absent from that day on, and the other columns are
+    null. A version holds until the next one of its key.
+    """
+    columns = [c for c in snapshot.columns if c not in keys]
+    row = f"struct({', '.join(idents(columns) or ['1 AS __none'])})"
+    # A log row holds what was before its day, so since the day before it in the log.
+    past = f"struct(__before AS since, {ACTION} <> 'DELETE' AS present, if({ACTION} <> 'DELETE', {row}, NULL) AS __row)"
+    gone = f"if(__last AND {ACTION} = 'INSERT', struct({DAY} AS since, false AS present, NULL AS __row), NULL)"
+    undone = log.selectExpr(
+        "*",
+        f"lag({DAY}) OVER ({_history(keys)}) AS __before",
+        f"lead({DAY}) OVER ({_history(keys)}) IS NULL AS __last",
+    ).selectExpr(*idents(keys), f"inline(filter(array({past}, {gone}), v -> v IS NOT NULL))")
+    held = [f"{ident(c)}" if c in keys else f"{ident(c, '__row')} AS {ident(c)}" for c in snapshot.columns]
+    last = log.groupBy(*idents(keys)).agg(F.max(DAY).alias("since"))
+    current = snapshot.join(last, list(keys), "left").selectExpr(
+        *idents(snapshot.columns), "since", "true AS present"
+    )
+    return union_all([undone.selectExpr(*held, "since", "present"), current])
+
+
 def _history(keys: Sequence[str]) -> str:
     return f"PARTITION BY {', '.join(idents(keys))} ORDER BY {DAY}"

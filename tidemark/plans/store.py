@@ -5,6 +5,8 @@ Layout, one folder per day and attempt::
     diff/day=D/__attempt=V/      reverse delta: the rows that undo day D
     snapshot/day=D/__attempt=V/  the whole table after day D
     summary/c=N/                 the counts of one or more days, and their attempt V
+    digest/day=D/__attempt=V/    digests of the snapshot's key ranges, if wanted
+    merged/, levels/             deltas of several days, see ``levels``
 
 An attempt never touches what an earlier one wrote. It counts from the moment
 its summary is there, which is one rename; of several summaries of a day the
@@ -29,7 +31,7 @@ from ..operators import changes, history
 from ..operators.clean import dedupe
 from ..operators.metrics import snapshot_report
 from ..sources.bucketed import read_bucketed, write_bucketed
-from ..sources.files import exists, folder_bytes, folders, remove
+from ..sources.files import exists, files, folder_bytes, folders, remove
 from ..sources.schema import (
     ACTION,
     ADDRESS_KEYS,
@@ -40,6 +42,7 @@ from ..sources.schema import (
     conform,
     log_schema,
 )
+from . import digests, levels
 from .scratch import scratch_folder
 
 SUMMARY_SCHEMA = T.StructType(
@@ -81,7 +84,8 @@ class HistoryStore:
     shuffles neither: the only full shuffle of an ingest is the one that
     deduplicates the dump. The number of buckets follows the dump's size, half
     a GB each, and stays put while the size stays within a factor of two;
-    ``buckets`` fixes it. Each day remembers its own. One writer at a time;
+    ``buckets`` fixes it. Each day remembers its own. With ``digests`` parts to
+    a bucket, snapshots get digests by which ``diff`` reads only what differs. One writer at a time;
     readers may run alongside, and keep their frames through later ingests,
     redone days and failures, until a ``vacuum``.
     """
@@ -96,6 +100,7 @@ class HistoryStore:
         prefer: Sequence[str] = (),
         buckets: int | None = None,
         keep: int = 2,
+        digests: int = 0,
     ) -> None:
         reserved = {DAY, ACTION} & set(schema.fieldNames())
         if reserved:
@@ -110,6 +115,7 @@ class HistoryStore:
         self.prefer = list(prefer)
         self.buckets = buckets
         self.keep = keep
+        self.digests = digests
 
     # Reading
 
@@ -184,7 +190,10 @@ class HistoryStore:
     def _read_log(self, committed: Commits, after=None, upto=None) -> DataFrame:
         low = as_day(after) if after is not None else dt.date.min
         high = as_day(upto) if upto is not None else dt.date.max
-        wanted = [(d, c) for d, c in committed.items() if low < d <= high]
+        return self._read_days(committed, [d for d in committed if low < d <= high])
+
+    def _read_days(self, committed: Commits, days: Sequence[dt.date]) -> DataFrame:
+        wanted = [(d, committed[d]) for d in days]
         # A day without changes may have no folder.
         present = set(folders(self.spark, f"{self.root}/diff")) if wanted else set()
         paths = [self._path("diff", d, c.version) for d, c in wanted if f"day={d.isoformat()}" in present]
@@ -204,9 +213,83 @@ class HistoryStore:
         target = as_day(day)
         committed = self._committed()
         base = self._base(committed, target)
-        log = self._read_log(committed, target, base)
+        merged = levels.merged_spans(self.spark, self.root)
+        pieces = self._pieces(committed, target, base, merged)
+        log = levels.read_pieces(
+            self.spark, self.root, self.schema, pieces, merged, lambda days: self._read_days(committed, days)
+        )
         return history.as_of(self._read_snapshot(base, committed[base]), log, target, self.keys)
 
+    def pieces(self, day: dt.date | str) -> list[tuple[dt.date, dt.date]]:
+        """First and last day of each delta that ``as_of`` replays for ``day``."""
+        target = as_day(day)
+        committed = self._committed()
+        base = self._base(committed, target)
+        return self._pieces(committed, target, base, levels.merged_spans(self.spark, self.root))
+
+    def _pieces(self, committed: Commits, target: dt.date, base: dt.date, merged) -> list[levels.Span]:
+        days = list(committed)
+        first = sum(d <= target for d in days)
+        return levels.cover(days, first, days.index(base), merged)
+
+    def versions(self) -> DataFrame:
+        """Every row the table ever had, and the day since when; see ``history.versions``."""
+        committed = self._committed()
+        base = self._base(committed, max(committed, default=dt.date.min))
+        return history.versions(self._read_snapshot(base, committed[base]), self._read_log(committed), self.keys)
+
+    def unequal_parts(self, before: dt.date | str, after: dt.date | str) -> DataFrame:
+        """``bucket, part, rows_before, rows_after`` of the key ranges in which two stored days differ."""
+        found = self._unequal(self._committed(), as_day(before), as_day(after))
+        if found is None:
+            raise LookupError(f"{before} and {after} have no digests of the same ranges")
+        return found[0]
+
+    def _unequal(self, committed: Commits, before: dt.date, after: dt.date) -> tuple[DataFrame, int] | None:
+        """What differs, and how many parts a bucket has; none without digests of the same ranges."""
+        days = [before, after]
+        if not all(d in committed for d in days) or committed[before].buckets != committed[after].buckets:
+            return None
+        paths = [self._path("digest", d, committed[d].version) for d in days]
+        both = set.intersection(*[set(folders(self.spark, path)) for path in paths])
+        if not both:
+            return None
+        name = max(both)
+        sides = [self.spark.read.schema(digests.DIGEST).parquet(f"{path}/{name}") for path in paths]
+        return digests.unequal(*sides), int(name.removeprefix("parts="))
+
+    def diff(self, before: dt.date | str, after: dt.date | str) -> DataFrame:
+        """Every row that differs between two stored snapshots; see ``changes.compare``.
+
+        With digests of both days, only the buckets that differ are read, and in
+        them only the parts that differ are joined. Where over half of the
+        buckets differ, and without digests, the whole snapshots are joined,
+        which takes no shuffle.
+        """
+        days = [as_day(before), as_day(after)]
+        committed = self._committed()
+        sides = [self.snapshot(d) for d in days]
+        found = self._unequal(committed, *days)
+        if found is not None:
+            parts, per_bucket = found
+            # At most a number per bucket, of which Spark allows maxBuckets.
+            wanted = {r[0] for r in parts.select("bucket").distinct().collect()}
+            if 2 * len(wanted) <= committed[days[0]].buckets:
+                sides = [self._parts_of(d, committed[d], wanted, parts, per_bucket) for d in days]
+        return changes.compare(*sides, self.keys, ignore=(), unique_keys=True)
+
+    def _parts_of(
+        self, day: dt.date, commit: Commit, buckets: set[int], parts: DataFrame, per_bucket: int
+    ) -> DataFrame:
+        """The snapshot's rows in ``parts``, from the files of ``buckets`` alone."""
+        listed = files(self.spark, self._path("snapshot", day, commit.version))
+        paths = [f for f in listed if digests.bucket_of(f.rsplit("/", 1)[-1]) in buckets]
+        if not paths:
+            return self.spark.createDataFrame([], self.schema)
+        rows = self.spark.read.schema(self.schema).parquet(*paths)
+        placed = rows.selectExpr("*", *digests.places(self.keys, commit.buckets, per_bucket))
+        return placed.join(parts, ["bucket", "part"], "left_semi").drop("bucket", "part")
+
     def as_of_many(self, days: Sequence[dt.date | str]) -> DataFrame:
         """The table on each of ``days``, with an ``as_of`` column first."""
         targets = sorted({as_day(d) for d in days})
@@ -414,6 +497,11 @@ class HistoryStore:
                     conf.unset(name)
                 else:
                     conf.set(name, value)
+        if self.digests:
+            path = self._path("snapshot", day, commit.version)
+            written = self.spark.read.schema(self.schema).parquet(path)
+            found = digests.digests(written, self.keys, commit.buckets, self.digests)
+            found.write.mode("overwrite").parquet(f"{self._path('digest', day, commit.version)}/parts={self.digests}")
 
     def _write_summary(self, number: int, counts: DataFrame, commits: Commits) -> None:
         named = {DAY: list(commits), "version": [c.version for c in commits.values()]}
@@ -429,6 +517,19 @@ class HistoryStore:
             .parquet(f"{self.root}/summary/c={number:010d}")
         )
 
+    def compact(self) -> list[tuple[dt.date, dt.date]]:
+        """Merge the deltas of past days by twos, fours, eights and so on; returns the new spans.
+
+        ``as_of`` then replays a few deltas per level instead of one per day.
+        The log stays as it is. Run it as often as wanted, after ingests: it
+        merges only what is new, and leaves out the newest day, which may still
+        be redone.
+        """
+        committed = self._committed()
+        return levels.compact(
+            self.spark, self.root, self.schema, self.keys, list(committed), lambda days: self._read_days(committed, days)
+        )
+
     def vacuum(self, keep: int | None = None) -> None:
         """Remove what no longer counts: failed and replaced attempts, and all
         snapshots but the newest ``keep`` (by default the store's), which the
@@ -439,7 +540,7 @@ class HistoryStore:
             raise ValueError("keep at least two snapshots: a re-run needs the one before")
         committed = self._committed()
         kept = set(self._stored_snapshots(committed)[-keep:])
-        for part in ("snapshot", "diff"):
+        for part in ("snapshot", "digest", "diff"):
             for name in folders(self.spark, f"{self.root}/{part}"):
                 if not name.startswith("day="):
                     continue
@@ -450,6 +551,12 @@ class HistoryStore:
                         remove(self.spark, f"{folder}/{version}")
                 if not folders(self.spark, folder):
                     remove(self.spark, folder)
+        merged = {levels.span_name(s): v for s, v in levels.merged_spans(self.spark, self.root).items()}
+        for name in folders(self.spark, f"{self.root}/merged"):
+            folder = f"{self.root}/merged/{name}"
+            for version in folders(self.spark, folder):
+                if version != f"__attempt={merged.get(name.removeprefix('span='))}":
+                    remove(self.spark, f"{folder}/{version}")
 
 
 def _estimated_bytes(rows: DataFrame) -> int:

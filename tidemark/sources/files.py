@@ -24,6 +24,15 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(target) if s.isDirectory())
 
 
+def files(spark: SparkSession, path: str) -> list[str]:
+    """Paths of the data files directly under ``path``; none if it is absent."""
+    fs, target = _handle(spark, path)
+    if not fs.exists(target):
+        return []
+    found = [s.getPath() for s in fs.listStatus(target) if s.isFile()]
+    return sorted(f.toString() for f in found if not f.getName().startswith(("_", ".")))
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, target = _handle(spark, path)
     fs.delete(target, True)

@@ -411,6 +411,70 @@ def diff_folders(spark, sf):
     return tm.diff(spark, *paths, PAIR, PAIR_COLUMNS, short, "l_partkey", "l_suppkey").modified
 
 
+# Histories as wholes: merged days, digests, versions
+
+
+def compacted_as_of(spark, sf):
+    """The first day, from deltas of several days each."""
+    store = daily_store(spark, sf)
+    store.compact()
+    return store.as_of(store.days()[0])
+
+
+def compacted_as_of_mid(spark, sf):
+    store = daily_store(spark, sf)
+    store.compact()
+    return store.as_of(MID)
+
+
+def last_orders(orders: DataFrame) -> DataFrame:
+    """Each customer's last order."""
+    last = tm.dedupe(orders, ["o_custkey"], prefer=["o_orderdate DESC", "o_orderkey DESC"])
+    return last.select("o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+
+
+def diff_stored_days(spark, sf):
+    """Customers' last orders with and without the last day: most key ranges stay as they were."""
+    orders = table(spark, sf, "orders")
+    last = orders.agg(F.max("o_orderdate").alias("last"))
+    days = {
+        "2025-01-01": orders.join(F.broadcast(last), F.col("o_orderdate") < F.col("last"), "left_semi"),
+        "2025-01-02": orders,
+    }
+    dumps = {day: last_orders(rows) for day, rows in days.items()}
+    schema = dumps["2025-01-02"].schema
+    store = tm.HistoryStore(spark, scratch_folder(spark), schema, ["o_custkey"], buckets=64, digests=16)
+    store.backfill(dumps)
+    return store.diff(*dumps)
+
+
+def point_in_time_state(spark, sf):
+    """Each event with its user's row in the dump of its own day."""
+    facts = table(spark, sf, "events").selectExpr("event_id", "user_id", "CAST(ts AS DATE) AS on_day")
+    known = tm.versions(last_dump(spark, sf), daily_log(spark, sf), USER)
+    return tm.point_in_time(facts, known, USER, "on_day", present="present")
+
+
+def _known(spark, sf, which: str, key: str) -> DataFrame:
+    """Events as versions; of several at one time the one with the highest id."""
+    chosen = table(spark, sf, "events").filter(which)
+    last = tm.dedupe(chosen, [key, "ts"], prefer=["event_id DESC"])
+    return last.selectExpr(key, "ts AS since", "event_id AS last_id", "value AS last_value")
+
+
+def point_in_time_last(spark, sf):
+    """Each event with its user's last purchase up to then."""
+    facts = table(spark, sf, "events").select("event_id", "user_id", "ts")
+    return tm.point_in_time(facts, _known(spark, sf, "event_type = 'purchase'", "user_id"), USER, "ts")
+
+
+def point_in_time_hot(spark, sf):
+    """Each event with the last one of its type above 100 up to then: a few keys hold all rows."""
+    facts = table(spark, sf, "events").select("event_id", "event_type", "ts")
+    known = _known(spark, sf, "value > 100", "event_type")
+    return tm.point_in_time(facts, known, ["event_type"], "ts", most=500, ranges=16)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -460,6 +524,12 @@ QUERIES = {
         redo_day,
         rebuild_verified,
         diff_folders,
+        compacted_as_of,
+        compacted_as_of_mid,
+        diff_stored_days,
+        point_in_time_state,
+        point_in_time_last,
+        point_in_time_hot,
     )
 }
 
@@ -583,6 +653,15 @@ _PAIR_METRICS = [
 ]
 _MID_DUMP = f"(SELECT * FROM daily WHERE day = DATE '{MID}')"
 
+
+
+def _known_sql(which: str, key: str) -> str:
+    return f"""WITH known AS (SELECT {key}, ts, max(event_id) AS last_id, max_by(value, event_id) AS last_value
+            FROM events WHERE {which} GROUP BY {key}, ts)
+        SELECT e.event_id, e.{key}, e.ts, k.last_id, k.last_value, k.last_id IS NOT NULL AS found
+        FROM events e ASOF LEFT JOIN known k ON e.{key} = k.{key} AND e.ts >= k.ts"""
+
+
 ORACLE = {
     "clean_keys": """SELECT page_id, url FROM pages
         WHERE url IS NOT NULL AND NOT contains(url, '@') AND length(url) < 50""",
@@ -729,4 +808,27 @@ ORACLE = {
         FROM a JOIN b USING (l_partkey, l_suppkey)
         WHERE a.l_linenumber IS DISTINCT FROM b.l_linenumber
            OR a.l_linestatus IS DISTINCT FROM b.l_linestatus""",
+    "compacted_as_of": f"""WITH {DAILY} SELECT * EXCLUDE (day) FROM daily
+        WHERE day = (SELECT min(CAST(ts AS DATE)) FROM events)""",
+    "compacted_as_of_mid": f"WITH {DAILY} SELECT * EXCLUDE (day) FROM daily WHERE day = DATE '{MID}'",
+    "diff_stored_days": """WITH
+        ranked AS (SELECT o_custkey, o_orderstatus, o_totalprice, o_orderpriority, o_orderdate,
+                          row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn,
+                          row_number() OVER (PARTITION BY o_custkey, o_orderdate < (SELECT max(o_orderdate) FROM orders)
+                                             ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn_before FROM orders),
+        a AS (SELECT * EXCLUDE (rn, rn_before, o_orderdate) FROM ranked
+              WHERE o_orderdate < (SELECT max(o_orderdate) FROM orders) AND rn_before = 1),
+        b AS (SELECT * EXCLUDE (rn, rn_before, o_orderdate) FROM ranked WHERE rn = 1)
+        SELECT b.o_custkey, CASE WHEN a.o_custkey IS NULL THEN 'added' ELSE 'modified' END AS change,
+               a.o_orderstatus AS old_o_orderstatus, b.o_orderstatus AS new_o_orderstatus,
+               a.o_totalprice AS old_o_totalprice, b.o_totalprice AS new_o_totalprice,
+               a.o_orderpriority AS old_o_orderpriority, b.o_orderpriority AS new_o_orderpriority
+        FROM b LEFT JOIN a USING (o_custkey)
+        WHERE a.o_custkey IS NULL OR (a.o_orderstatus, a.o_totalprice, a.o_orderpriority)
+            IS DISTINCT FROM (b.o_orderstatus, b.o_totalprice, b.o_orderpriority)""",
+    "point_in_time_state": f"""WITH {DAILY} SELECT e.event_id, e.user_id, CAST(e.ts AS DATE) AS on_day,
+        d.event_type, d.value, d.user_id IS NOT NULL AS found
+        FROM events e LEFT JOIN daily d ON d.user_id = e.user_id AND d.day = CAST(e.ts AS DATE)""",
+    "point_in_time_last": _known_sql("event_type = 'purchase'", "user_id"),
+    "point_in_time_hot": _known_sql("value > 100", "event_type"),
 }

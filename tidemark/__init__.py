@@ -13,10 +13,12 @@ from .operators import (
     compare_metrics,
     dedupe,
     extra_keys,
+    key_sketch,
     log_summary,
     missing_keys,
     modified_rows,
     point_in_time,
+    reconcile_keys,
     reconcile_metrics,
     rejections,
     removed_rows,
@@ -63,6 +65,7 @@ __all__ = [
     "extra_keys",
     "integrate",
     "key_rules",
+    "key_sketch",
     "log_schema",
     "log_summary",
     "missing_keys",
@@ -70,6 +73,7 @@ __all__ = [
     "point_in_time",
     "read_dump",
     "rebuild",
+    "reconcile_keys",
     "reconcile_metrics",
     "rejections",
     "removed_rows",

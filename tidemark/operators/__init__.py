@@ -13,6 +13,7 @@ from .changes import (
 )
 from .clean import clean, dedupe, rejections
 from .history import as_of, as_of_many, calendar, reverse_log, versions
+from .key_sketch import key_sketch, reconcile_keys
 from .merging import merge_deltas
 from .metrics import compare_metrics, rows_per_prefix, snapshot_metrics, snapshot_report
 from .point_in_time import point_in_time
@@ -31,11 +32,13 @@ __all__ = [
     "compare_metrics",
     "dedupe",
     "extra_keys",
+    "key_sketch",
     "log_summary",
     "merge_deltas",
     "missing_keys",
     "modified_rows",
     "point_in_time",
+    "reconcile_keys",
     "reconcile_metrics",
     "rejections",
     "removed_rows",

@@ -475,6 +475,34 @@ def point_in_time_hot(spark, sf):
     return tm.point_in_time(facts, known, ["event_type"], "ts", most=500, ranges=16)
 
 
+def _stored_sketches(spark, sides, keys, buckets: int, cells: int) -> list[DataFrame]:
+    stored = []
+    for side in sides:
+        folder = scratch_folder(spark)
+        tm.key_sketch(side, keys, buckets, cells, unique_keys=True).write.parquet(folder)
+        stored.append(spark.read.parquet(folder))
+    return stored
+
+
+def reconcile_by_sketch(spark, sf):
+    """Orders without the last ten days against orders without the first ten."""
+    orders = table(spark, sf, "orders")
+    ends = orders.agg(F.min("o_orderdate").alias("first"), F.max("o_orderdate").alias("last"))
+    sides = [
+        orders.join(F.broadcast(ends), F.expr(when), "left_semi").select("o_orderkey")
+        for when in ("o_orderdate < last - INTERVAL 10 DAYS", "o_orderdate > first + INTERVAL 10 DAYS")
+    ]
+    sketches = _stored_sketches(spark, sides, ["o_orderkey"], 256, 96)
+    return tm.reconcile_keys(*sides, ["o_orderkey"], sketches, 256, 96)
+
+
+def reconcile_by_key(spark, sf):
+    """Sides so unlike that the sketches cannot tell: every bucket is compared key by key."""
+    sides = pair(spark, sf)
+    sketches = _stored_sketches(spark, sides, PAIR, 16, 30)
+    return tm.reconcile_keys(*sides, PAIR, sketches, 16, 30)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -530,6 +558,8 @@ QUERIES = {
         point_in_time_state,
         point_in_time_last,
         point_in_time_hot,
+        reconcile_by_sketch,
+        reconcile_by_key,
     )
 }
 
@@ -831,4 +861,13 @@ ORACLE = {
         FROM events e LEFT JOIN daily d ON d.user_id = e.user_id AND d.day = CAST(e.ts AS DATE)""",
     "point_in_time_last": _known_sql("event_type = 'purchase'", "user_id"),
     "point_in_time_hot": _known_sql("value > 100", "event_type"),
+    "reconcile_by_sketch": """WITH
+        a AS (SELECT o_orderkey FROM orders WHERE o_orderdate < (SELECT max(o_orderdate) FROM orders) - INTERVAL 10 DAYS),
+        b AS (SELECT o_orderkey FROM orders WHERE o_orderdate > (SELECT min(o_orderdate) FROM orders) + INTERVAL 10 DAYS)
+        SELECT *, 'extra' AS side FROM (SELECT * FROM a EXCEPT SELECT * FROM b) UNION ALL
+        SELECT *, 'missing' AS side FROM (SELECT * FROM b EXCEPT SELECT * FROM a)""",
+    "reconcile_by_key": f"""WITH {PAIRED}
+        SELECT *, 'extra' AS side FROM (SELECT l_partkey, l_suppkey FROM a EXCEPT SELECT l_partkey, l_suppkey FROM b)
+        UNION ALL
+        SELECT *, 'missing' AS side FROM (SELECT l_partkey, l_suppkey FROM b EXCEPT SELECT l_partkey, l_suppkey FROM a)""",
 }

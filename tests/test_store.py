@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tidemark import ADDRESS_SCHEMA, HistoryStore, compare, diff, integrate, rebuild, report
 
-from tidemark.plans.store import Commit, _estimated_bytes
+from tidemark.plans.store import Commit, _estimated_bytes, _may_grow, _plain_scan
 
 from .helpers import (
     address,
@@ -270,6 +270,30 @@ def test_estimates_are_file_sizes(spark, root, tmp_path):
     assert {c.buckets for c in once._committed().values()} == {c.buckets for c in daily._committed().values()} == {1}
 
 
+def test_a_joined_dump_is_measured(spark, root, tmp_path):
+    # 15,000 rows, of which the planner expects the product of two tables.
+    orders = spark.range(15_000).selectExpr("id", "id % 1500 AS customer", "repeat('x', 400) AS note")
+    customers = spark.range(1500).selectExpr("id AS customer", "repeat('y', 400) AS name")
+    for name, rows in (("orders", orders), ("customers", customers)):
+        rows.write.option("compression", "uncompressed").option("parquet.enable.dictionary", False).parquet(f"{tmp_path}/{name}")
+    joined = spark.read.parquet(f"{tmp_path}/orders").join(spark.read.parquet(f"{tmp_path}/customers"), "customer")
+    assert _estimated_bytes(joined) > 4 << 30
+    store = HistoryStore(spark, root, joined.schema, ["id"])
+    store.ingest(day(1), joined)
+    assert [c.buckets for c in store._committed().values()] == [1]
+    assert same(store.snapshot(), joined)
+    store.ingest(day(2), joined.filter("id < 14000"))
+    assert [tuple(r)[1:] for r in store.summaries().orderBy("day").collect()] == [(15000, 0, 0, 15000), (0, 0, 1000, 1000)]
+
+
+def test_which_plans_are_measured(spark, tmp_path):
+    spark.range(10).selectExpr("id", "array(id, id) AS many").write.parquet(f"{tmp_path}/t")
+    scan = spark.read.parquet(f"{tmp_path}/t")
+    assert _plain_scan(scan.filter("id > 2").selectExpr("id + 1 AS id"))
+    assert not _plain_scan(scan.join(scan.select("id"), "id")) and not _may_grow(scan.join(scan.select("id"), "id"))
+    assert _may_grow(scan.selectExpr("explode(many) AS id"))
+
+
 def test_ingest_joins_without_a_shuffle(spark, root):
     from tidemark.operators.changes import reverse_delta
 

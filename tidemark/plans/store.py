@@ -364,9 +364,7 @@ class HistoryStore:
             self._write_snapshot(previous, before, old)
 
         number = max((c.number for c in committed.values()), default=0) + 1
-        buckets = self._bucket_count(_estimated_bytes(dump), before)
-        commit = Commit(number, uuid.uuid4().hex, buckets)
-        self._write_snapshot(day, commit, rows)
+        commit = self._first_write(day, number, dump, rows, before)
         today = self._read_snapshot(day, commit)
         if previous is None:
             delta = today.withColumn(ACTION, F.lit("DELETE"))
@@ -387,6 +385,32 @@ class HistoryStore:
         self._write_summary(number, counts.crossJoin(refused).withColumn(DAY, F.lit(day)), {day: commit})
         return {**committed, day: commit}
 
+    def _first_write(
+        self, day: dt.date, number: int, dump: DataFrame, rows: DataFrame, before: Commit | None
+    ) -> Commit:
+        """Write the day's snapshot, in as many buckets as its size asks for.
+
+        The files of a plain scan tell that size beforehand. Of any other plan the
+        estimate may be far off, for a join the product of both sides; where
+        it asks for several buckets, the rows are written and measured first.
+        """
+        size = _estimated_bytes(dump)
+        if self.buckets or (size <= BUCKET_BYTES and not _may_grow(dump)) or _plain_scan(dump):
+            commit = Commit(number, uuid.uuid4().hex, self._bucket_count(size, before))
+            self._write_snapshot(day, commit, rows)
+            return commit
+        measured = scratch_folder(self.spark)
+        try:
+            rows.write.parquet(measured)
+            size = folder_bytes(self.spark, measured)
+            commit = Commit(number, uuid.uuid4().hex, self._bucket_count(size, before))
+            spread = self.spark.read.schema(self.schema).parquet(measured)
+            spread = spread.repartition(commit.buckets, *[F.col(k) for k in idents(self.keys)])
+            self._write_snapshot(day, commit, spread)
+            return commit
+        finally:
+            remove(self.spark, measured)
+
     def _refused(self, dump: DataFrame, kept: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         """``refused``: how many rows of a dump each rule kept out, per ``by``.
 
@@ -567,3 +591,24 @@ def _estimated_bytes(rows: DataFrame) -> int:
     size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     unknown = 1 << 60
     return size if size < unknown else rows.count() * 16 * len(rows.columns)
+
+
+def _nodes(rows: DataFrame) -> list[str]:
+    """Names of all steps of the optimized plan."""
+    waiting, names = [rows._jdf.queryExecution().optimizedPlan()], []
+    while waiting:
+        node = waiting.pop()
+        names.append(node.nodeName())
+        children = node.children()
+        waiting += [children.apply(i) for i in range(children.size())]
+    return names
+
+
+def _plain_scan(rows: DataFrame) -> bool:
+    """Whether the rows are those of files, filtered and projected at most."""
+    return all(n in {"Project", "Filter"} or n.startswith(("Relation", "LogicalRelation")) for n in _nodes(rows))
+
+
+def _may_grow(rows: DataFrame) -> bool:
+    """Whether a step may give more than the planner expects: it takes each row to give one."""
+    return not set(_nodes(rows)).isdisjoint({"Generate", "Expand", "MapInPandas", "MapInArrow", "FlatMapGroupsInPandas"})

@@ -1,6 +1,8 @@
 """License scans: phrases that stand in a text, and an exact set-similarity join with templates.
 
-A block (a line) meets a template when it contains at least ``threshold`` of
+A block is a window of words; line ends do not matter. Windows are twice as long
+as a template, by powers of two, and overlap by half, so every run of words as
+long as the template lies in one. A block meets a template when it contains at least ``threshold`` of
 the template's distinct words. Words are ordered by their frequency in the
 corpus, rarest first. A block that meets a template of ``n`` words in ``c`` of
 them holds one of its ``n - c + 1`` rarest (prefix filter), has ``c`` words or
@@ -33,6 +35,7 @@ TEMPLATES = [
     ("apache-2.0", "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted"),
     ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
+    ("cc-by", "Licensed under CC BY 4.0"),
     ("cc-by-nc", "Licensed under CC BY-NC 4.0"),
     ("cc-by-sa", "Licensed under CC BY-SA 4.0"),
     ("cc0", "This work is dedicated to the public domain under CC0 1.0 Universal"),
@@ -61,9 +64,11 @@ def _literal(words: Sequence[str]) -> Column:
 def template_words(
     docs_words: DataFrame, templates: Sequence[tuple[str, str]], threshold: float
 ) -> DataFrame:
-    """``template, label, words, needed``: each template's words, rarest in the corpus first.
+    """``template, label, words, needed, span``: each template's words, rarest in the corpus first.
 
     ``docs_words`` has an array ``words`` per document; all of it is counted.
+    ``span`` is the least power of two that the template, repeated words
+    included, is not longer than.
     """
     spark = docs_words.sparkSession
     named = spark.createDataFrame(
@@ -72,7 +77,12 @@ def template_words(
     )
     # Written, so that Spark knows how few they are and need not sort all words.
     terms = stored(
-        named.select("template", "label", F.explode(F.array_distinct(word_array(F.col("text")))).alias("term"))
+        named.withColumn("listed", word_array(F.col("text"))).select(
+            "template",
+            "label",
+            F.expr("CAST(pow(2, ceil(log2(greatest(size(listed), 1)))) AS INT)").alias("span"),
+            F.explode(F.array_distinct("listed")).alias("term"),
+        )
     )
     counts = (
         docs_words.select(F.explode("words").alias("term"))
@@ -81,17 +91,29 @@ def template_words(
         .count()
     )
     ordered = terms.join(counts, "term", "left").select(
-        "template", "label", F.struct(F.coalesce("count", F.lit(0)).alias("count"), "term").alias("w")
+        "template", "label", "span", F.struct(F.coalesce("count", F.lit(0)).alias("count"), "term").alias("w")
     )
     size = F.size("words")
     return (
-        ordered.groupBy("template", "label")
+        ordered.groupBy("template", "label", "span")
         .agg(F.sort_array(F.collect_list("w")).alias("ranked"))
-        .select("template", "label", "ranked", F.col("ranked.term").alias("words"))
+        .select("template", "label", "span", "ranked", F.col("ranked.term").alias("words"))
         .withColumn("needed", F.ceil(size * threshold - 1e-9).cast("int"))
     )
 
 
+def _windows(words: str, vocabulary: Column, span: int, known: Sequence) -> Column:
+    """``block, span, words`` of the windows of ``2 * span`` words that hold a rarest word of the templates ``known``."""
+    rarest = _literal(sorted({w for r in known for w in r["words"][: len(r["words"]) - r["needed"] + 1]}))
+    starts = F.sequence(F.lit(0), F.greatest(F.size(words) - 1, F.lit(0)), F.lit(span))
+
+    def window(start: Column) -> Column:
+        held = F.array_intersect(vocabulary, F.slice(words, start + 1, F.lit(2 * span)))
+        return F.struct(start.alias("block"), F.lit(span).alias("span"), held.alias("words"))
+
+    return F.filter(F.transform(starts, window), lambda b: F.arrays_overlap(b["words"], rarest))
+
+
 def scan_licenses(
     docs: DataFrame,
     *,
@@ -104,10 +126,11 @@ def scan_licenses(
     """Phrase places and license labels of every whole text.
 
     Returns ``id_column``, ``n_words``, ``places`` (array of ``start, label``
-    of every phrase, by start), ``blocks`` (array of ``block, label,
-    containment, best`` for every line that meets a template; lines count from
-    0) and ``labels`` (distinct, sorted; of a line that meets several
-    templates, the ones it contains most of), a row per input row.
+    of every phrase, by start), ``blocks`` (array of ``block, span, label,
+    containment, best`` for every window that meets a template; ``block`` is its
+    first word, counted from 0, and it has twice ``span`` words) and ``labels`` (distinct, sorted; of
+    a window that meets several templates, those it contains most of, and of
+    these the longest), a row per input row.
 
     A null text counts as empty and has no words. Null and repeated ids are
     kept as they are. An
@@ -130,10 +153,12 @@ def scan_licenses(
         for p, label in phrases
     )
     places = F.expr(f"array_sort(concat({every_place}))")
-    lines = F.split("text", "\n", -1)
-    in_order = F.transform(lines, lambda line: F.array_intersect(vocabulary, word_array(line)))
-    numbered = F.transform(in_order, lambda found, at: F.struct(at.alias("block"), found.alias("words")))
-    blocks = F.filter(numbered, lambda b: F.arrays_overlap(b["words"], _literal(prefix)))
+    windows = [
+        _windows("words", vocabulary, span, [r for r in known if r["span"] == span])
+        for span in sorted({r["span"] for r in known})
+    ]
+    none_held = F.array().cast("array<struct<block:int,span:int,words:array<string>>>")
+    blocks = F.concat(none_held, *windows)
     no_places = F.array().cast("array<struct<start:int,label:string>>")
     scanned = stored(
         rows.select("doc", "text", word_array(F.col("text")).alias("words"))
@@ -147,11 +172,11 @@ def scan_licenses(
     )
 
     entries = listed.select(
-        "template", "label", F.col("words").alias("wanted"), "needed",
+        "template", "label", "span", F.col("words").alias("wanted"), "needed",
         F.explode(F.slice("words", F.lit(1), F.size("words") - F.col("needed") + 1)).alias("shared"),
     )
     probes = scanned.select("row", F.explode("blocks").alias("b")).select(
-        "row", "b.block", "b.words", F.explode("b.words").alias("shared")
+        "row", "b.block", "b.span", "b.words", F.explode("b.words").alias("shared")
     )
     left = F.least(
         F.size("wanted") - F.array_position("wanted", F.col("shared")),
@@ -159,27 +184,27 @@ def scan_licenses(
     )
     containment = F.size(F.array_intersect("wanted", "words")) / F.size("wanted")
     met = (
-        probes.join(entries, "shared")
+        probes.join(entries, ["shared", "span"])
         # A pair is met at its first shared word, in the common order.
         .filter(F.get(F.array_intersect("wanted", "words"), F.lit(0)) == F.col("shared"))
         .filter((F.size("words") >= F.col("needed")) & (left + 1 >= F.col("needed")))
         .withColumn("containment", containment)
         .filter(F.size(F.array_intersect("wanted", "words")) >= F.col("needed"))
-        .groupBy("row", "block", "label")
-        .agg(F.max("containment").alias("containment"))
-        .groupBy("row", "block")
-        .agg(F.max("containment").alias("most"), F.collect_list(F.struct("label", "containment")).alias("all"))
-        .select("row", "block", "most", F.inline("all"))
+        .groupBy("row", "block", "span", "label")
+        .agg(F.max(F.struct("containment", F.size("wanted").alias("words"))).alias("fit"))
+        .groupBy("row", "block", "span")
+        .agg(F.max("fit").alias("most"), F.collect_list(F.struct("label", "fit")).alias("all"))
+        .select("row", "block", "span", "most", F.inline("all"))
         .groupBy("row")
         .agg(
             F.sort_array(
                 F.collect_list(
-                    F.struct("block", "label", "containment", (F.col("containment") == F.col("most")).alias("best"))
+                    F.struct("block", "span", "label", "fit.containment", (F.col("fit") == F.col("most")).alias("best"))
                 )
             ).alias("met")
         )
     )
-    none = F.array().cast("array<struct<block:int,label:string,containment:double,best:boolean>>")
+    none = F.array().cast("array<struct<block:int,span:int,label:string,containment:double,best:boolean>>")
     joined = scanned.join(met.withColumnRenamed("row", "of"), F.expr("row = of"), "left").withColumn(
         "met", F.coalesce("met", none)
     )

@@ -51,9 +51,24 @@ def test_ownership_tells_examples_from_live_ones(spark):
     assert all(r["findings"] == [] for r in secrets.find_secrets(many).collect())
 
 
-def test_many_repositories_of_one_owner_make_an_example(spark):
+def test_a_lone_owners_key_stays_live_in_all_it_has(spark):
     docs = frame(spark, [f"{i} AKIA{'Q' * 16}" for i in range(12)], sources=("a",))
-    assert not any(f["live"] for r in secrets.find_secrets(docs).collect() for f in r["findings"])
+    rows = [f for r in secrets.find_secrets(docs).collect() for f in r["findings"]]
+    assert [(f["live"], f["owners"], f["repositories"]) for f in rows] == [(True, 1, 12)] * 12
+    assert {r["text"] for r in secrets.mask(docs).collect()} == {f"{i} [secret]" for i in range(12)}
+
+
+def test_overlaps_are_found_in_one_pass():
+    # An assignment may reach over an access key and further ones that begin in it.
+    token = "qW7eR4tY8uI1oP5aS2dF6gH"
+    text = f"{token} key token={token} x AKIA{'Q' * 20} {token} " * 3
+    base = secrets.base_matches(text)
+    found = secrets.generic_matches(text, base)
+    every = [(m.start(), m.end(), m[0]) for m in secrets.GENERIC.finditer(text)]
+    apart = [f for f in every if all(f[1] <= s or e <= f[0] for s, _, e, _ in base)]
+    assert found == apart and 0 < len(found) < len(every)
+    long = f"token={token} " * 20_000 + f"{token} " * 20_000
+    assert len(secrets.generic_matches(long, secrets.base_matches(long))) == 20_000
 
 
 def test_what_few_owners_repeat_stays_live(spark):

@@ -2,8 +2,8 @@
 
 Fixed patterns give the base findings. Every candidate's value is hashed, and
 the hashes are counted over the corpus by distinct repositories and distinct
-owners: what many owners carry is a copied example, what few carry looks live,
-unless it stands in everything they have.
+owners: what many owners carry is a copied example. What few carry looks live,
+in however many repositories they repeat it.
 Tokens that only look like secrets (generic candidates) count when they look
 live.
 """
@@ -63,10 +63,13 @@ def base_matches(text: str) -> list[tuple[int, int, int, str]]:
 
 def generic_matches(text: str, taken: list[tuple[int, int, int, str]]) -> list[tuple[int, int, str]]:
     """``start, end, value`` of long mixed tokens that no base finding overlaps."""
-    found = []
+    found, at, reach = [], 0, 0
     for m in GENERIC.finditer(text):
         value = m[0]
-        apart = all(m.end() <= s or e <= m.start() for s, _, e, _ in taken)
+        # Both lists ascend: how far the base findings reach that begin before this one's end.
+        while at < len(taken) and taken[at][0] < m.end():
+            reach, at = max(reach, taken[at][2]), at + 1
+        apart = reach <= m.start()
         if apart and any(map(str.isalpha, value)) and entropy(value) >= GENERIC_BITS:
             found.append((m.start(), m.end(), value))
     return found
@@ -112,33 +115,16 @@ def scan(
     return rows.mapInArrow(search, f"doc long, text_hash long, owner string, candidates array<{CANDIDATE}>")
 
 
-def ownership(candidates: DataFrame, documents: DataFrame, salts: int = 16) -> DataFrame:
-    """``value_hash, owners, repositories, everywhere``: how widely each value is held.
+def ownership(candidates: DataFrame) -> DataFrame:
+    """``value_hash, owners, repositories``: how widely each value is held.
 
     ``candidates``: value_hash, owner, repository. Equal triples are dropped
     where they are found, and a value is counted per owner first, so that a
     value in a third of all rows costs its tasks one row per owner.
-    ``documents``: owner, repository of all rows. A value is ``everywhere``
-    when every repository of all its owners holds it.
     """
-    per_owner = (
-        candidates.distinct().groupBy("value_hash", "owner").agg(F.count("*").alias("repositories"))
-    )
-    # An owner of very many values meets its size in several places.
-    sizes = (
-        documents.distinct()
-        .groupBy(F.col("owner").alias("of"))
-        .agg(F.count("*").alias("size"))
-        .withColumn("nth", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    )
-    salt = F.pmod(F.xxhash64("value_hash"), F.lit(salts)).cast("int")
-    sized = per_owner.withColumn("salt", salt).join(
-        stored(sizes), F.col("owner").eqNullSafe(F.col("of")) & (F.col("salt") == F.col("nth"))
-    )
-    return sized.groupBy("value_hash").agg(
-        F.count("*").alias("owners"),
-        F.sum("repositories").alias("repositories"),
-        F.min(F.col("repositories") == F.col("size")).alias("everywhere"),
+    per_owner = candidates.distinct().groupBy("value_hash", "owner").agg(F.count("*").alias("repositories"))
+    return per_owner.groupBy("value_hash").agg(
+        F.count("*").alias("owners"), F.sum("repositories").alias("repositories")
     )
 
 
@@ -149,16 +135,13 @@ def find_secrets(
     text_column: str = "text",
     owner_column: str = "source",
     example_owners: int = 3,
-    example_repositories: int = 10,
-    salts: int = 16,
 ) -> DataFrame:
     """Secrets of every whole text, told apart into examples and live ones.
 
     A document's owner is ``owner_column``; each document is a repository of
     its owner. A value that at least ``example_owners`` owners hold is an
-    example. So is one that at least ``example_repositories`` repositories
-    hold, if its owners have no repository without it, as with a header. Any
-    other one looks live, however often its owners repeat it.
+    example. Any other one looks live, however often its owners repeat it and
+    even if they have nothing without it.
 
     Returns ``id_column``, ``text_hash`` (``xxhash64`` of the text) and
     ``findings``, an array of ``kind, start, end, base, live, owners,
@@ -180,18 +163,12 @@ def find_secrets(
     marked = stored(marked.select(F.monotonically_increasing_id().alias("row"), "*"))
     single = marked.select("row", "doc", "owner", F.explode("candidates").alias("c"))
     repository = F.coalesce("doc", F.lit(-1)).alias("repository")
-    counts = stored(
-        ownership(
-            single.select("c.value_hash", "owner", repository), scanned.select("owner", repository), salts
-        )
-    )
-    header = F.col("everywhere") & (F.col("repositories") >= example_repositories)
-    # A value held by very many rows meets its counts in several places.
-    spread = counts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    counts = stored(ownership(single.select("c.value_hash", "owner", repository)))
+    # Both sides are tables as written: the join can split a value that very many rows hold.
     weighed = (
-        single.select("row", "c.*", F.pmod(F.xxhash64("row"), F.lit(salts)).cast("int").alias("salt"))
-        .join(spread, ["value_hash", "salt"])
-        .withColumn("live", ~((F.col("owners") >= example_owners) | header))
+        single.select("row", "c.*")
+        .join(counts, "value_hash")
+        .withColumn("live", F.col("owners") < example_owners)
         .filter("base OR live")
     )
     order = F.array_position(F.array(*map(F.lit, [*KINDS, "generic"])), F.col("kind"))

@@ -54,6 +54,12 @@ def test_planted_documents(spark):
     assert all(r["size"] == len(tokens(masked[d]["text"])) and r["taken"] <= 3 * r["size"] for d, r in mixed.items())
 
 
+def test_documents_are_classified_once(spark):
+    docs = frame(spark, prose(20, seed=2) + ["123"])
+    plan = corpus_pipeline.identify_language(spark, docs, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
 def test_empty_documents(spark):
     docs = frame(spark, ["x"]).limit(0)
     assert [f.count() for f in run_stages(spark, docs)] == [0] * 6

@@ -1,9 +1,9 @@
 """Language identification: the family first, then one-versus-one linear SVMs within it.
 
-Features are hashed byte n-grams of the whole text. The machines are fitted on
-the driver on a bounded sample of labelled texts (``per_language`` of each
-language, and two short pieces of each); the features of the sample and all
-predictions are computed in tasks.
+Features are hashed byte n-grams of the whole text. The machines are fitted on a
+bounded sample of labelled texts (``per_language`` of each language, and two
+short pieces of each), each machine in a task of its own, which a lost executor
+only delays. The driver sees their weights, no feature vector.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .shared import stored
+
 # Families of languages by their codes. A code that is not
 # listed is a family of its own.
 FAMILIES = {
@@ -56,22 +58,25 @@ def features(text: str) -> np.ndarray:
 
 
 def fit_machine(x: np.ndarray, y: np.ndarray, strength: float = 1e-3, rounds: int = 300) -> np.ndarray:
-    """A linear SVM (hinge loss, bias as the last weight); ``y`` is 1 or -1.
+    """A linear SVM (hinge loss, bias as the last weight); ``y`` is 1 or -1, ``x`` of 32-bit floats.
 
     Subgradient steps on the whole sample, so the result depends on it alone.
     """
-    x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
     # Both classes weigh the same.
     share = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1))
-    weights, mean = np.zeros(x.shape[1]), np.zeros(x.shape[1])
+    weights, mean = np.zeros(x.shape[1] + 1), np.zeros(x.shape[1] + 1)
     for step in range(1, rounds + 1):
-        wrong = y * (x @ weights) < 1
-        weights = (1 - 1 / step) * weights + ((share * y * wrong) @ x) / (strength * step)
+        # In the precision of x, so that x is never converted.
+        wrong = y * (x @ weights[:-1].astype(x.dtype) + weights[-1]) < 1
+        pull = share * y * wrong
+        pull = np.append(pull.astype(x.dtype) @ x, pull.sum())
+        weights = (1 - 1 / step) * weights + pull / (strength * step)
         weights *= min(1, 1 / (np.sqrt(strength) * max(np.linalg.norm(weights), 1e-12)))
         mean += weights * step
     return (mean * 2 / (rounds * (rounds + 1))).astype(np.float32)
 
 
+# By the two names it tells apart; a positive answer is for the first.
 Machines = dict[tuple[str, str], np.ndarray]
 
 
@@ -105,12 +110,31 @@ def _vote(names: list[str], machines: Machines, x: np.ndarray) -> tuple[str, flo
     return best, float(clear[best])
 
 
-def _duels(names: list[str], x: np.ndarray, labels: np.ndarray) -> Machines:
-    found = {}
-    for a, b in combinations(sorted(names), 2):
-        of = (labels == a) | (labels == b)
-        found[a, b] = fit_machine(x[of], np.where(labels[of] == a, 1.0, -1.0))
-    return found
+def _fit_duels(duels: dict[int, tuple[str, str]], members: dict[str, list[str]], examples: DataFrame) -> Machines:
+    """A machine for each duel of two groups of labels, fitted in a task.
+
+    A task holds the vectors of its two groups: ``3 * per_language`` for each label.
+    """
+    if not duels:
+        return {}
+    sides = [
+        (number, label, sign)
+        for number, pair in duels.items()
+        for name, sign in zip(pair, (1.0, -1.0))
+        for label in members[name]
+    ]
+    # A row for each label and each duel it is in.
+    asked = F.broadcast(examples.sparkSession.createDataFrame(sides, "duel int, label string, side double"))
+
+    def machine(rows: pd.DataFrame) -> pd.DataFrame:
+        # The order is the sample's own, wherever its rows come from.
+        rows = rows.sort_values(["label", "features"])
+        x = np.frombuffer(b"".join(rows["features"]), np.float32).reshape(len(rows), -1)
+        weights = fit_machine(x, rows["side"].to_numpy())
+        return pd.DataFrame({"duel": [rows["duel"].iat[0]], "weights": [weights.tobytes()]})
+
+    fitted = examples.join(asked, "label").groupBy("duel").applyInPandas(machine, "duel int, weights binary")
+    return {duels[r["duel"]]: np.frombuffer(bytes(r["weights"]), np.float32) for r in fitted.collect()}
 
 
 def family_of(language: str, families: dict[str, list[str]]) -> str:
@@ -160,28 +184,32 @@ def fit(
             yield pd.DataFrame(found, columns=["label", "features"])
 
     # Bounded by three vectors for each sampled text.
-    got = sample.select("text", "label").mapInPandas(examples, "label string, features binary").collect()
-    got = sorted((r["label"], bytes(r["features"])) for r in got)
-    if not got:
-        return Model({}, {}, {})
-    labels = np.array([g[0] for g in got])
-    x = np.stack([np.frombuffer(g[1], np.float32) for g in got])
+    vectors = stored(sample.select("text", "label").mapInPandas(examples, "label string, features binary"))
+    labels = sorted(r["label"] for r in vectors.select("label").distinct().collect())
     languages: dict[str, list[str]] = {}
-    for label in sorted(set(labels)):
+    for label in labels:
         languages.setdefault(family_of(label, families), []).append(label)
-    kin = np.array([family_of(label, families) for label in labels])
-    return Model(
-        languages,
-        _duels(list(languages), x, kin),
-        {f: _duels(members, x, labels) for f, members in languages.items()},
-    )
+    # Families are told apart from each other, languages within their family.
+    groups = {("family", f): members for f, members in languages.items()}
+    groups |= {("language", label): [label] for label in labels}
+    pairs = [(("family", a), ("family", b)) for a, b in combinations(sorted(languages), 2)]
+    pairs += [
+        (("language", a), ("language", b)) for members in languages.values() for a, b in combinations(members, 2)
+    ]
+    machines = _fit_duels(dict(enumerate(pairs)), groups, vectors)
+    found = {kind: {(a[1], b[1]): w for (a, b), w in machines.items() if a[0] == kind} for kind in ("family", "language")}
+    within = {
+        f: {(a, b): w for (a, b), w in found["language"].items() if a in members} for f, members in languages.items()
+    }
+    return Model(languages, found["family"], within)
 
 
 def predict(model: Model, text: Column) -> Column:
     """``struct<language string, score double>`` for each text.
 
     The whole text counts, and nothing else. Null texts and texts without any
-    letter give ``und`` with score 0. Equal texts give equal answers.
+    letter give ``und`` with score 0. Equal texts give equal answers. The
+    planner computes it once, also where it is filtered by and selected.
     """
 
     @F.pandas_udf("language string, score double")
@@ -192,7 +220,8 @@ def predict(model: Model, text: Column) -> Column:
         ]
         return pd.DataFrame(found, columns=["language", "score"])
 
-    return answer(text)
+    # Else a filter on the answer would have a copy of its own.
+    return answer.asNondeterministic()(text)
 
 
 def identify(

@@ -12,6 +12,7 @@ from .changes import (
     reverse_delta,
 )
 from .clean import clean, dedupe, rejections
+from .day_sketches import day_sketches, united_metrics
 from .history import as_of, as_of_many, calendar, reverse_log, versions
 from .key_sketch import key_sketch, reconcile_keys
 from .merging import merge_deltas
@@ -30,6 +31,7 @@ __all__ = [
     "column_differences",
     "compare",
     "compare_metrics",
+    "day_sketches",
     "dedupe",
     "extra_keys",
     "key_sketch",
@@ -47,5 +49,6 @@ __all__ = [
     "rows_per_prefix",
     "snapshot_metrics",
     "snapshot_report",
+    "united_metrics",
     "versions",
 ]

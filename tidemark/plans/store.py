@@ -6,6 +6,7 @@ Layout, one folder per day and attempt::
     snapshot/day=D/__attempt=V/  the whole table after day D
     summary/c=N/                 the counts of one or more days, and their attempt V
     digest/day=D/__attempt=V/    digests of the snapshot's key ranges, if wanted
+    sketch/day=D/__attempt=V/    sketches of the day's distinct values, if wanted
     merged/, levels/             deltas of several days, see ``levels``
 
 An attempt never touches what an earlier one wrote. It counts from the moment
@@ -29,6 +30,7 @@ from ..functions.rules import Rule, failing_rule, key_rules, passes
 from ..functions.text import idents
 from ..operators import changes, history
 from ..operators.clean import dedupe
+from ..operators.day_sketches import SKETCHES, day_sketches, united_metrics
 from ..operators.metrics import snapshot_report
 from ..sources.bucketed import read_bucketed, write_bucketed
 from ..sources.files import exists, files, folder_bytes, folders, remove
@@ -85,7 +87,9 @@ class HistoryStore:
     deduplicates the dump. The number of buckets follows the dump's size, half
     a GB each, and stays put while the size stays within a factor of two;
     ``buckets`` fixes it. Each day remembers its own. With ``digests`` parts to
-    a bucket, snapshots get digests by which ``diff`` reads only what differs. One writer at a time;
+    a bucket, snapshots get digests by which ``diff`` reads only what differs. With
+    the columns ``sketches`` (of the code and the street) each day gets sketches, of which
+    ``range_report`` counts over any days. One writer at a time;
     readers may run alongside, and keep their frames through later ingests,
     redone days and failures, until a ``vacuum``.
     """
@@ -101,6 +105,7 @@ class HistoryStore:
         buckets: int | None = None,
         keep: int = 2,
         digests: int = 0,
+        sketches: tuple[str, str] | None = None,
     ) -> None:
         reserved = {DAY, ACTION} & set(schema.fieldNames())
         if reserved:
@@ -116,6 +121,7 @@ class HistoryStore:
         self.buckets = buckets
         self.keep = keep
         self.digests = digests
+        self.sketches = sketches
 
     # Reading
 
@@ -312,6 +318,28 @@ class HistoryStore:
         """Rows, communes, streets and departments of the newest snapshot."""
         return snapshot_report(self.snapshot(), commune, street)
 
+    def range_report(self, first: dt.date | str, last: dt.date | str, by_prefix: bool = False) -> DataFrame:
+        """Distinct keys, codes, streets and departments of all days from ``first`` to ``last``.
+
+        Estimates out of the days' sketches; no snapshot and no log is read. See
+        ``operators.day_sketches`` for their error. Of ``by_prefix``, a row for each prefix.
+        A day without a sketch is refused, unless it had no rows at all.
+        """
+        committed = self._committed()
+        low, high = as_day(first), as_day(last)
+        wanted = {d: self._path("sketch", d, c.version) for d, c in committed.items() if low <= d <= high}
+        paths = [p for p in wanted.values() if exists(self.spark, p)]
+        if len(paths) < len(wanted):
+            missing = [d for d, p in wanted.items() if p not in paths]
+            # A day without rows has none to sketch; its size follows from the counts of all days.
+            sizes = self.summaries().selectExpr(DAY, f"sum(inserts - deletes) OVER (ORDER BY {DAY}) AS size")
+            lacking = sizes.filter(F.col(DAY).isin(missing) & (F.col("size") > 0)).orderBy(DAY).first()
+            if lacking:
+                raise LookupError(f"{lacking[DAY]} has no sketch")
+        read = self.spark.read.schema(SKETCHES)
+        rows = read.parquet(*paths) if paths else self.spark.createDataFrame([], SKETCHES)
+        return united_metrics(rows, ["prefix"] if by_prefix else [])
+
     # Writing
 
     def clean(self, dump: DataFrame, extra: str = "refuse") -> DataFrame:
@@ -478,6 +506,11 @@ class HistoryStore:
         commit = Commit(1, version, self._bucket_count(size, None))
         spread = newest.repartition(commit.buckets, *[F.col(k) for k in idents(self.keys)])
         self._write_snapshot(known[-1], commit, spread)
+        if self.sketches:
+            earlier = rows.filter(F.col(DAY) < F.lit(known[-1]))
+            found = day_sketches(earlier, self.keys, *self.sketches, by=[DAY])
+            found = found.withColumn("__attempt", F.lit(version))
+            found.write.mode("append").partitionBy(DAY, "__attempt").parquet(f"{self.root}/sketch")
 
         commits = dict.fromkeys(known, commit)
         listed = self.spark.createDataFrame([(d,) for d in known], f"{DAY} date")
@@ -526,6 +559,10 @@ class HistoryStore:
             written = self.spark.read.schema(self.schema).parquet(path)
             found = digests.digests(written, self.keys, commit.buckets, self.digests)
             found.write.mode("overwrite").parquet(f"{self._path('digest', day, commit.version)}/parts={self.digests}")
+        if self.sketches:
+            written = self.spark.read.schema(self.schema).parquet(self._path("snapshot", day, commit.version))
+            found = day_sketches(written, self.keys, *self.sketches)
+            found.write.mode("overwrite").parquet(self._path("sketch", day, commit.version))
 
     def _write_summary(self, number: int, counts: DataFrame, commits: Commits) -> None:
         named = {DAY: list(commits), "version": [c.version for c in commits.values()]}
@@ -564,12 +601,12 @@ class HistoryStore:
             raise ValueError("keep at least two snapshots: a re-run needs the one before")
         committed = self._committed()
         kept = set(self._stored_snapshots(committed)[-keep:])
-        for part in ("snapshot", "digest", "diff"):
+        for part in ("snapshot", "digest", "sketch", "diff"):
             for name in folders(self.spark, f"{self.root}/{part}"):
                 if not name.startswith("day="):
                     continue
                 day, folder = as_day(name.removeprefix("day=")), f"{self.root}/{part}/{name}"
-                counts = day in committed and (part == "diff" or day in kept)
+                counts = day in committed and (part in {"diff", "sketch"} or day in kept)
                 for version in folders(self.spark, folder):
                     if not counts or version != f"__attempt={committed[day].version}":
                         remove(self.spark, f"{folder}/{version}")

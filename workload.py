@@ -503,6 +503,23 @@ def reconcile_by_key(spark, sf):
     return tm.reconcile_keys(*sides, PAIR, sketches, 16, 30)
 
 
+def range_report(spark, sf):
+    """Three years' distinct customers, priorities and prices out of their sketches, beside the exact counts."""
+    orders = yearly(table(spark, sf, "orders"))
+    days = [r[0] for r in orders.select("day").distinct().collect()]
+    store = tm.HistoryStore(
+        spark, scratch_folder(spark), orders.drop("day").schema, ["o_custkey"], sketches=("o_orderpriority", "o_totalprice")
+    )
+    store.backfill_long(orders, days)
+    names = tm.operators.metrics.METRICS
+    united = store.range_report("1996-12-31", "1998-12-31").unpivot([], names, "metric", "estimate")
+    rows = orders.filter("day BETWEEN DATE'1996-12-31' AND DATE'1998-12-31'")
+    exact = tm.snapshot_metrics(rows, ["o_custkey"], "o_orderpriority", "o_totalprice")
+    both = united.join(exact.unpivot([], names, "metric", "exact"), "metric")
+    # Four standard deviations of a united sketch.
+    return both.selectExpr("metric", "exact", "abs(estimate - exact) <= 4 * 1.04 / 64 * exact AS close")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -560,6 +577,7 @@ QUERIES = {
         point_in_time_hot,
         reconcile_by_sketch,
         reconcile_by_key,
+        range_report,
     )
 }
 
@@ -868,4 +886,7 @@ ORACLE = {
         SELECT *, 'extra' AS side FROM (SELECT l_partkey, l_suppkey FROM a EXCEPT SELECT l_partkey, l_suppkey FROM b)
         UNION ALL
         SELECT *, 'missing' AS side FROM (SELECT l_partkey, l_suppkey FROM b EXCEPT SELECT l_partkey, l_suppkey FROM a)""",
+    "range_report": f"""WITH {YEARLY} SELECT metric, exact, true AS close FROM {_unpivot(
+        _metrics_sql("(SELECT * FROM yearly WHERE day BETWEEN DATE '1996-12-31' AND DATE '1998-12-31')",
+                     "o_custkey", "o_orderpriority", "o_totalprice"), "exact")}""",
 }

@@ -1,0 +1,101 @@
+"""A growing folder of dumps into a store, batch by batch."""
+
+import os
+import shutil
+
+import pytest
+
+from tidemark import HistoryStore
+from tidemark.streaming import arrivals, ingest_arrivals, take_in
+
+from .helpers import address, bag, base_addresses, day, frame, same, short_addresses, write_csv
+
+
+def states():
+    rows = base_addresses()
+    return {1: rows, 2: short_addresses(), 3: rows[:9], 4: [*rows, address(99, street="New")]}
+
+
+def put(folder, n, rows, nested=False):
+    name = f"dump-{day(n)}/adresses.csv" if nested else f"dump-{day(n)}.csv"
+    return write_csv(folder / name, rows)
+
+
+def noted(store):
+    return sorted((r["day"], r["status"]) for r in arrivals(store).collect())
+
+
+@pytest.mark.parametrize("files", [None, 1])
+def test_two_runs_equal_a_backfill(spark, tmp_path, files):
+    dumps, given = tmp_path / "dumps", states()
+    store = HistoryStore(spark, str(tmp_path / "store"))
+    for n in (1, 2):
+        put(dumps, n, given[n], nested=n == 2)
+    ingest_arrivals(store, str(dumps), files_per_batch=files)
+    assert store.days() == [day(1), day(2)]
+    for n in (3, 4):
+        put(dumps, n, given[n])
+    (dumps / "readme.txt").write_text("no dump")
+    ingest_arrivals(store, str(dumps), files_per_batch=files)
+    # Nothing new.
+    ingest_arrivals(store, str(dumps), files_per_batch=files)
+    whole = HistoryStore(spark, str(tmp_path / "whole"))
+    whole.backfill({day(n): frame(spark, rows) for n, rows in given.items()})
+    assert same(store.log(), whole.log()) and same(store.summaries(), whole.summaries())
+    assert noted(store) == [(day(n), "taken") for n in given]
+
+
+def test_a_batch_may_be_repeated(spark, tmp_path):
+    dumps, given = tmp_path / "dumps", states()
+    paths = ["file:" + put(dumps, n, given[n]) for n in (1, 2, 3)]
+    store = HistoryStore(spark, str(tmp_path / "store"))
+    take_in(store, paths, 0)
+    before = bag(store.log())
+    take_in(store, paths, 0)
+    assert bag(store.log()) == before
+    # The run ended after the last day had entered and before that was noted.
+    shutil.rmtree(f"{store.root}/arrivals/batch=0-day={day(3)}")
+    take_in(store, paths, 0)
+    assert bag(store.log()) == before and noted(store) == [(day(n), "taken") for n in (1, 2, 3)]
+
+
+def test_a_run_that_fails_is_taken_up(spark, tmp_path, monkeypatch):
+    dumps, given = tmp_path / "dumps", states()
+    for n in (1, 2, 3):
+        put(dumps, n, given[n])
+    store = HistoryStore(spark, str(tmp_path / "store"))
+    own = HistoryStore.ingest
+
+    def failing(self, when, dump, extra="refuse"):
+        if when == day(2):
+            raise RuntimeError("lost")
+        return own(self, when, dump, extra)
+
+    monkeypatch.setattr(HistoryStore, "ingest", failing)
+    with pytest.raises(Exception):
+        ingest_arrivals(store, str(dumps))
+    assert store.days() == [day(1)]
+    monkeypatch.setattr(HistoryStore, "ingest", own)
+    ingest_arrivals(store, str(dumps))
+    assert store.days() == [day(1), day(2), day(3)]
+    assert same(store.snapshot(), frame(spark, given[3]))
+    assert noted(store) == [(day(n), "taken") for n in (1, 2, 3)]
+
+
+def test_late_dumps_are_noted(spark, tmp_path):
+    dumps, given = tmp_path / "dumps", states()
+    store = HistoryStore(spark, str(tmp_path / "store"))
+    put(dumps, 2, given[2])
+    ingest_arrivals(store, str(dumps))
+    put(dumps, 1, given[1])
+    put(dumps, 3, given[3])
+    ingest_arrivals(store, str(dumps))
+    assert store.days() == [day(2), day(3)]
+    assert noted(store) == [(day(1), "late"), (day(2), "taken"), (day(3), "taken")]
+
+
+def test_an_empty_folder(spark, tmp_path):
+    os.makedirs(tmp_path / "dumps")
+    store = HistoryStore(spark, str(tmp_path / "store"))
+    ingest_arrivals(store, str(tmp_path / "dumps"))
+    assert store.days() == [] and arrivals(store).isEmpty()

@@ -39,6 +39,7 @@ from .plans import (
     rebuild,
     report,
 )
+from . import streaming
 from .sources import ADDRESS_KEYS, ADDRESS_SCHEMA, conform, dump_path, log_schema, read_dump
 
 __all__ = [
@@ -85,5 +86,6 @@ __all__ = [
     "rows_per_prefix",
     "snapshot_metrics",
     "snapshot_report",
+    "streaming",
     "versions",
 ]

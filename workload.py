@@ -520,6 +520,24 @@ def range_report(spark, sf):
     return both.selectExpr("metric", "exact", "abs(estimate - exact) <= 4 * 1.04 / 64 * exact AS close")
 
 
+def arriving_dumps(spark, sf):
+    """Yearly dumps that come into a folder in two lots; the last batch is run twice."""
+    orders = table(spark, sf, "orders")
+    schema = yearly(orders).drop("day").schema
+    store = tm.HistoryStore(spark, scratch_folder(spark), schema, ["o_custkey"])
+    years = sorted(r[0] for r in orders.selectExpr("year(o_orderdate)").distinct().collect())
+    folder = scratch_folder(spark)
+    for lot in (years[: len(years) // 2], years[len(years) // 2 :]):
+        for year in lot:
+            in_year = f"o_orderdate >= '{year}-01-01' AND o_orderdate < '{year + 1}-01-01'"
+            dump = yearly(orders.filter(in_year)).drop("day").coalesce(1)
+            dump.write.option("header", True).option("sep", ";").csv(f"{folder}/dump-{year}-12-31/adresses.csv")
+        tm.streaming.ingest_arrivals(store, folder)
+    last = tm.streaming.arrivals(store).orderBy(F.desc("day")).first()
+    tm.streaming.take_in(store, last["files"], last["batch"])
+    return store.log()
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -578,6 +596,7 @@ QUERIES = {
         reconcile_by_sketch,
         reconcile_by_key,
         range_report,
+        arriving_dumps,
     )
 }
 
@@ -889,4 +908,5 @@ ORACLE = {
     "range_report": f"""WITH {YEARLY} SELECT metric, exact, true AS close FROM {_unpivot(
         _metrics_sql("(SELECT * FROM yearly WHERE day BETWEEN DATE '1996-12-31' AND DATE '1998-12-31')",
                      "o_custkey", "o_orderpriority", "o_totalprice"), "exact")}""",
+    "arriving_dumps": f"WITH {YEARLY_LOG} {LOG_ROWS}",
 }

@@ -1,5 +1,8 @@
+import math
 import random
-import re
+from collections import Counter
+
+import regex as re
 
 from pyspark.sql import functions as F
 
@@ -75,6 +78,80 @@ def test_words_that_disclose_an_entity(spark):
     assert all(f["kind"] != pii.TERM for r in alone for f in r["findings"])
 
 
+def entity(kind, hit):
+    return kind, re.sub(r"[\x20().%-]", "", hit).lower()
+
+
+def brute_terms(texts, radius, support=2, generalise=0.9, remove=0.99):
+    """``term`` spans and their actions, by counting words and entities of all texts."""
+    docs, near, n_e, n_t = [], Counter(), Counter(), Counter()
+    for text in texts:
+        spans = [(s, e, entity(k, text[s:e])) for k, s, e in base(text)]
+        every = [(m.start(), m.end(), m[0].lower()) for m in re.finditer(r"\p{L}+", text)]
+        free = [w for w in every if all(w[1] <= s or e <= w[0] for s, e, _ in spans)]
+        pairs = set()
+        for s, _, named in spans:
+            before = sum(w[0] < s for w in free)
+            for w in free[max(0, before - radius) : before + radius]:
+                pairs.add((w[2], named))
+        near.update(pairs)
+        n_e.update({named for _, _, named in spans})
+        n_t.update({w[2] for w in every})
+        docs.append((spans, free))
+    n, out = len(texts), []
+    actions = {}
+    for (term, named), both in near.items():
+        if both >= support and n > n_e[named]:
+            share = math.log2(n * both / (n_e[named] * n_t[term])) / math.log2(n / n_e[named])
+            if share >= generalise:
+                actions[term, named] = "remove" if share >= remove else "generalise"
+    for spans, free in docs:
+        found = []
+        for s, e, term in free:
+            held = {actions[term, named] for _, _, named in spans if (term, named) in actions}
+            found += [(s, e, max(held))] if held else []
+        out.append(found)
+    return out
+
+
+def term_spans(rows):
+    return [(f["start"], f["end"], f["action"]) for f in rows if f["kind"] == pii.TERM]
+
+
+def test_terms_equal_brute_force(spark):
+    draw = random.Random(6)
+    common = ["the", "a", "of", "text", "é", "number", "call", "mail"]
+    rare = ["zebrafish", "ox", "q", "ñandu", "blue", "green"]
+    named = ["me@mail.org", "you@mail.org", "+49 30 1234567", "+33 1 23456789", "1.2.3.4", "4111 1111 1111 1111"]
+    texts = []
+    for i in range(160):
+        words = draw.choices(common, k=draw.randint(3, 20))
+        for _ in range(draw.randint(0, 3)):
+            who = draw.randrange(6)
+            at = draw.randrange(len(words))
+            # Each has a word of its own, mostly near it.
+            words[at:at] = [named[who], draw.choice(common), rare[who]] if draw.random() < 0.8 else [named[who]]
+        texts.append(" ".join(words) + f" {i}")
+    for radius in (1, 2, 5):
+        rows = {r["doc_id"]: r["findings"] for r in pii.find_personal_data(frame(spark, texts), radius=radius).collect()}
+        expected = brute_terms(texts, radius)
+        assert [term_spans(rows[i]) for i in range(len(texts))] == expected
+        # Each stands two words behind its entity.
+        assert (sum(map(len, expected)) > 20) == (radius > 1)
+
+
+def test_entities_in_reach_all_count(spark):
+    # A fresh address stands between the word and the number that repeats.
+    near = [f"Zebrafish u{i}x@mail{i}.org +49 30 1234567 and later the zebrafish ox again" for i in range(4)]
+    far = [f"text of other things, number {i}, again and later the rest" for i in range(40)]
+    rows = {r["doc_id"]: r["findings"] for r in pii.find_personal_data(frame(spark, near + far)).collect()}
+    for i in range(4):
+        held = [near[i][s:e] for s, e, _ in term_spans(rows[i])]
+        # Both places, and a short word as well.
+        assert held == ["Zebrafish", "zebrafish", "ox"]
+    assert all(not rows[i] for i in range(4, 44))
+
+
 def test_sanitise(spark):
     docs = frame(spark, ["mail a@b.co or +49 30 1234567, or 1.2.3.4!", "nothing", None])
     found = pii.find_personal_data(docs)

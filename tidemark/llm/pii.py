@@ -135,45 +135,46 @@ def find_entities(rows: DataFrame) -> DataFrame:
     )
 
 
-def _near_words(rows: DataFrame, entities: DataFrame, radius: int) -> DataFrame:
-    """``row, term, start, end, entity`` for words at most ``radius`` words from an entity."""
+def _free_words(rows: DataFrame, entities: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The words of ``rows`` that no entity overlaps, and the entities, both numbered.
+
+    ``row, term, start, end, n``: words count from 1. ``row, entity, n``: an
+    entity has the number of the word before it.
+    """
     pieces = rows.select("row", F.posexplode(_pieces(_LETTERS, F.col("text"))).alias("nth", "p")).select(
         "row", "nth", "p.gap", "p.hit"
     )
-    words = (
-        _located(pieces, ["row"])
-        .filter(F.length("hit") >= 4)
-        .select("row", "start", "end", F.lower("hit").alias("term"), F.lit(None).cast("long").alias("entity"))
+    words = _located(pieces, ["row"]).select(
+        "row", "start", "end", F.lower("hit").alias("term"), F.lit(None).cast("long").alias("entity")
     )
     both = words.unionByName(entities.select("row", "start", "end", F.lit(None).cast("string").alias("term"), "entity"))
     there = F.col("entity").isNotNull()
     on = Window.partitionBy("row").orderBy("start", "end", "entity")
-    counted = both.withColumn("n", F.count("term").over(on))
-    back = on.rowsBetween(Window.unboundedPreceding, -1)
-    ahead = on.rowsBetween(1, Window.unboundedFollowing)
-
-    def last(value: str) -> Column:
-        return F.last(F.when(there, F.col(value)), ignorenulls=True).over(back)
-
-    def following(value: str) -> Column:
-        return F.first(F.when(there, F.col(value)), ignorenulls=True).over(ahead)
-
-    seen = counted.select(
-        "row", "start", "end", "term", "n",
-        F.max(F.when(there, F.col("end"))).over(back).alias("covered"),
-        last("entity").alias("before"), last("n").alias("before_n"),
-        following("entity").alias("after"), following("n").alias("after_n"),
-        following("start").alias("after_start"),
-    ).filter(
-        "term IS NOT NULL AND start >= coalesce(covered, 0L) AND end <= coalesce(after_start, end)"
-    )
-    pair = F.array(
-        F.when(F.col("n") - F.col("before_n") <= radius, F.col("before")),
-        F.when(F.col("after_n") - F.col("n") < radius, F.col("after")),
+    back = Window.partitionBy("row").orderBy(F.desc("start"), F.desc("end"), F.desc("entity"))
+    apart = both.select(
+        "*",
+        F.max(F.when(there, F.col("end"))).over(on.rowsBetween(Window.unboundedPreceding, -1)).alias("reached"),
+        # The next one, going back from the end: frames that end there would be walked again for each word.
+        F.last(F.when(there, F.col("start")), ignorenulls=True)
+        .over(back.rowsBetween(Window.unboundedPreceding, -1))
+        .alias("next"),
+    ).filter(there | ((F.col("start") >= F.coalesce("reached", F.lit(0))) & (F.col("end") <= F.coalesce("next", "end"))))
+    numbered = stored(apart.withColumn("n", F.count("term").over(on)).select("row", "start", "end", "term", "entity", "n"))
+    return (
+        numbered.filter("term IS NOT NULL").select("row", "term", "start", "end", "n"),
+        numbered.filter("entity IS NOT NULL").select("row", "entity", "n"),
     )
-    return seen.select("row", "term", "start", "end", F.explode(pair).alias("entity")).filter(
-        "entity IS NOT NULL"
+
+
+def _near_words(words: DataFrame, entities: DataFrame, radius: int) -> DataFrame:
+    """``row, term, entity`` for each word and each entity at most ``radius`` words from it."""
+    both = words.select("row", "n", "term", F.lit(None).cast("long").alias("entity")).unionByName(
+        entities.select("row", "n", F.lit(None).cast("string").alias("term"), "entity")
     )
+    # Word k is behind the entities of k - 1 and less, and in front of those of k and more.
+    reach = Window.partitionBy("row").orderBy("n").rangeBetween(-radius, radius - 1)
+    met = both.withColumn("met", F.collect_set("entity").over(reach)).filter("term IS NOT NULL")
+    return met.select("row", "term", F.explode("met").alias("entity")).distinct()
 
 
 def find_personal_data(
@@ -191,7 +192,9 @@ def find_personal_data(
     Returns ``id_column`` and ``findings``, an array of ``kind, start, end,
     action`` for each input row: the base kinds as listed, then ``term``, each
     by start. ``action`` is ``mask`` for base findings, ``generalise`` or
-    ``remove`` for words. Documents that name no entity have no findings.
+    ``remove`` for words. A word of any length is weighed against every entity
+    within ``radius`` words of it; if it discloses one, it goes wherever it
+    stands in a document that names that entity. Documents that name no entity have no findings.
 
     A null text counts as empty. Null and repeated ids are kept, every row
     being a document of its own. An empty table gives an empty result. Other
@@ -210,22 +213,21 @@ def find_personal_data(
     suspects = rows.filter("text IS NOT NULL").select("row", "text")
     entities = stored(find_entities(suspects))
     named = suspects.join(entities.select("row").distinct(), "row", "left_semi")
-    near = stored(_near_words(named, entities, radius))
+    words, places = _free_words(named, entities)
+    near = _near_words(words, places, radius)
 
     # Corpus counts: entities and pairs by their documents, words over all documents.
     n_docs = rows.agg(F.count("*").cast("double").alias("n"))
     n_entity = entities.select("row", "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
-    pairs = (
-        near.select("row", "term", "entity")
-        .distinct()
-        .groupBy("term", "entity")
-        .agg(F.count("*").alias("n_et"))
-        .filter(F.col("n_et") >= support)
+    pairs = stored(
+        near.groupBy("term", "entity").agg(F.count("*").alias("n_et")).filter(F.col("n_et") >= support)
     )
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(_LETTERS), F.lit(0)))
+    # Of all words, only those that may disclose something are counted.
+    candidates = stored(pairs.select("term").distinct())
+    listed_words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(_LETTERS), F.lit(0)))
     n_term = (
-        texts.select(F.explode(words).alias("term"))
-        .filter(F.length("term") >= 4)
+        texts.select(F.explode(listed_words).alias("term"))
+        .join(candidates, "term", "left_semi")
         .groupBy("term")
         .agg(F.count("*").alias("n_t"))
     )
@@ -239,13 +241,15 @@ def find_personal_data(
         .filter(F.col("share") >= generalise)
         .select("term", "entity", F.when(F.col("share") >= remove, "remove").otherwise("generalise").alias("action"))
     )
-    terms = (
-        near.join(disclosing, ["term", "entity"])
-        # Near two entities, the stricter action holds.
-        .groupBy("row", "start", "end")
+    aimed = (
+        entities.select("row", "entity")
+        .distinct()
+        .join(disclosing, "entity")
+        # Of two entities, the stricter action holds.
+        .groupBy("row", "term")
         .agg(F.max("action").alias("action"))
-        .select("row", F.lit(TERM).alias("kind"), "start", "end", "action")
     )
+    terms = words.join(aimed, ["row", "term"]).select("row", F.lit(TERM).alias("kind"), "start", "end", "action")
     found = entities.select("row", "kind", "start", "end", F.lit("mask").alias("action")).unionByName(terms)
     nth = F.array_position(F.array(*map(F.lit, [*KINDS, TERM])), F.col("kind"))
     listed = found.groupBy("row").agg(

@@ -538,6 +538,49 @@ def arriving_dumps(spark, sf):
     return store.log()
 
 
+def rebuild_differences(spark, sf):
+    """A rebuilt day against an original that lacks some rows, has others, and differs in a column."""
+    day = "1996-12-31"
+    rows = yearly(table(spark, sf, "orders")).filter(f"day = DATE'{day}'").drop("day")
+    truth = rows.filter("o_custkey % 7 <> 0").withColumn(
+        "o_orderstatus", F.expr("if(o_custkey % 13 = 0, 'X', o_orderstatus)")
+    )
+    more = rows.filter("o_custkey % 11 = 0 AND o_custkey > 0").withColumn("o_custkey", -F.col("o_custkey"))
+    folder = scratch_folder(spark)
+    written = truth.unionByName(more).write.option("header", True).option("sep", ";")
+    written.csv(f"{folder}/dump-{day}/adresses.csv")
+    found = tm.rebuild(
+        yearly_store(spark, sf), day, f"{folder}/rebuilt", folder, "o_orderstatus", "o_orderpriority"
+    )
+    parts = [
+        found.extra.selectExpr("'extra' AS kind", "o_custkey"),
+        found.missing.selectExpr("'missing' AS kind", "o_custkey"),
+        found.changes.selectExpr("change AS kind", "o_custkey"),
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def diff_folders_rest(spark, sf):
+    """What `diff` tells besides modified rows, of folders whose columns differ."""
+    folder = scratch_folder(spark)
+    before, after = pair(spark, sf)
+    paths = [f"{folder}/before", f"{folder}/after"]
+    before.withColumn("only_before", F.lit("x")).write.parquet(paths[0])
+    after.withColumn("l_linenumber", F.col("l_linenumber").cast("decimal(12,0)")).write.parquet(paths[1])
+    short = {"number": "l_linenumber", "status": "l_linestatus"}
+    found = tm.diff(spark, *paths, PAIR, ["l_linestatus"], short, "l_partkey", "l_suppkey", unique_keys=True)
+    counts = found.summary.unpivot([], ["inserts", "updates", "deletes", "total"], "what", "n")
+    listed = [
+        counts.selectExpr("what", "CAST(n AS STRING) AS value"),
+        found.columns.selectExpr("column AS what", "concat_ws('/', before_type, after_type) AS value"),
+        *[
+            rows.selectExpr(f"'{kind}' AS what", "concat_ws('/', l_partkey, l_suppkey, l_linestatus) AS value")
+            for kind, rows in (("removed", found.removed), ("added", found.added))
+        ],
+    ]
+    return listed[0].unionByName(listed[1]).unionByName(listed[2]).unionByName(listed[3])
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -597,6 +640,8 @@ QUERIES = {
         reconcile_by_key,
         range_report,
         arriving_dumps,
+        rebuild_differences,
+        diff_folders_rest,
     )
 }
 
@@ -909,4 +954,17 @@ ORACLE = {
         _metrics_sql("(SELECT * FROM yearly WHERE day BETWEEN DATE '1996-12-31' AND DATE '1998-12-31')",
                      "o_custkey", "o_orderpriority", "o_totalprice"), "exact")}""",
     "arriving_dumps": f"WITH {YEARLY_LOG} {LOG_ROWS}",
+    "rebuild_differences": f"""WITH {YEARLY}, y AS (SELECT o_custkey AS k FROM yearly WHERE day = DATE '1996-12-31')
+        SELECT kind, CASE kind WHEN 'missing' THEN -k WHEN 'removed' THEN -k ELSE k END AS o_custkey FROM (
+            SELECT unnest(['extra', 'added']) AS kind, k FROM y WHERE k % 7 = 0 UNION ALL
+            SELECT unnest(['missing', 'removed']), k FROM y WHERE k % 11 = 0 AND k > 0 UNION ALL
+            SELECT 'modified', k FROM y WHERE k % 7 <> 0 AND k % 13 = 0)""",
+    "diff_folders_rest": f"""WITH {CLASSIFIED}, counted AS (
+            SELECT count(*) FILTER (change = 'added') AS inserts, count(*) FILTER (change = 'modified') AS updates,
+                   count(*) FILTER (change = 'removed') AS deletes, count(change) AS total FROM changes)
+        SELECT what, CAST(n AS VARCHAR) AS value FROM (UNPIVOT counted ON inserts, updates, deletes, total INTO NAME what VALUE n)
+        UNION ALL SELECT unnest(['only_before', 'l_linenumber']), unnest(['string', 'int/decimal(12,0)'])
+        UNION ALL SELECT change, concat_ws('/', l_partkey, l_suppkey,
+            CASE change WHEN 'added' THEN new_l_linestatus ELSE old_l_linestatus END)
+        FROM changes WHERE change IN ('added', 'removed')""",
 }

@@ -93,6 +93,8 @@ def test_late_phrases_complete_their_cycle(spark):
              "beta gamma delta", "alpha beta gamma delta"], 9,
         )
         assert [tuple(r) for r in totals.collect()] == [("en", 36)]
+    with pytest.raises(ValueError):
+        collocations.phrase_counts(docs, longest=5)
 
 
 def test_odd_documents(spark):
@@ -109,19 +111,28 @@ def test_counts_do_not_depend_on_chunks(spark, monkeypatch):
     batch = pa.RecordBatch.from_arrays([pa.array([x or "und" for x, _ in docs]), pa.array([t for _, t in docs])], names=["lang", "text"])
     every = collocations.Filter(15)
     every.octets[:] = 255
-    counts = []
+    counts, hashed = [], []
     for size in (1 << 21, 4096, 64, 1):
         monkeypatch.setattr(collocations, "CHUNK", size)
-        found = Counter()
-        for part in collocations._scan(4, True, every, collocations.Filter(15))([batch.slice(0, 20), batch.slice(20)]):
+        found, sums = Counter(), Counter()
+        for part in collocations._name(4, every)([batch.slice(0, 20), batch.slice(20)]):
             for r in part.to_pylist():
                 found[r["lang"], r["size"], r["phrase"]] += r["a"]
-        counts.append(found)
+        for part in collocations._scan(4, True, every, collocations.Filter(15))([batch]):
+            for r in part.to_pylist():
+                sums[r["g"]] += r["a"]
+        counts.append(Counter({k: a for k, a in found.items() if k[1]}))
+        hashed.append(sums)
+        assert {k[0]: a for k, a in found.items() if not k[1]} == Counter(
+            lang or "und" for lang, text in docs for w in pieces(text) for _ in w
+        )
     expected = Counter(
         (lang or "und", m, " ".join(w[i : i + m]))
         for lang, text in docs for w in pieces(text) for m in range(1, 5) for i in range(len(w) - m + 1)
     )
     assert all(c == expected for c in counts)
+    assert all(h == hashed[0] for h in hashed)
+    assert sorted(hashed[0].values()) == sorted(expected.values())
 
 
 def test_filter_holds_what_it_was_given(spark):

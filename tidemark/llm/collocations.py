@@ -9,27 +9,30 @@ triples of the words that are frequent by then are counted in the same scans.
 
 A scan is one job over one shard. Tasks read word runs off the bytes with
 numpy, drop those that cannot be active by a bit filter of the frequent phrases
-(of a fixed size, whatever the corpus holds), and add equal ones up; what is left is joined exactly
-with the table of frequent phrases after the counts have been added up.
+(of a fixed size, whatever the corpus holds), and add equal ones up. Until the
+end a phrase is a 62-bit hash and a count, no text. A last scan then counts the
+frequent ones once more by their text, so hashes that collide change nothing.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import BASE, mix, powers, prefix_hashes, shared_folder, stored
+from .shared import BASE, discard, mix, powers, prefix_hashes, shared_folder, stored
 
 UNKNOWN = "und"
-COUNTED = "lang string, size int, phrase string, g long, a long"
-_ARROW = pa.schema(
-    [("lang", pa.string()), ("size", pa.int32()), ("phrase", pa.string()), ("g", pa.int64()), ("a", pa.int64())]
-)
+# The lowest bits of a phrase's hash are its number of words less one.
+SIZE_BITS = 2
+HASHED = "g long, a long"
+NAMED = "lang string, size int, phrase string, a long"
+_HASHED = pa.schema([("g", pa.int64()), ("a", pa.int64())])
+_NAMED = pa.schema([("lang", pa.string()), ("size", pa.int32()), ("phrase", pa.string()), ("a", pa.int64())])
 # What a byte is: part of a word, a gap between words, the end of a piece.
 _WORD, _GAP, _END = 0, 1, 2
 _KIND = np.zeros(256, np.uint8)
@@ -37,7 +40,9 @@ _KIND[[9, 32]] = _GAP
 _KIND[[*b".,;:!?", *range(10, 14)]] = _END
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-CHUNK = 2 << 20
+CHUNK = 1 << 19
+# What a task is handed at once.
+BATCH_BYTES = 2 << 20
 
 
 class Filter:
@@ -47,9 +52,17 @@ class Filter:
         self.bits = bits
         self.octets = np.zeros(1 << (bits - 3), np.uint8)
 
+    def __getstate__(self) -> tuple[int, bytes]:
+        # Sent to every task, and mostly empty while the corpus is small.
+        return self.bits, zlib.compress(self.octets.tobytes(), 1)
+
+    def __setstate__(self, state: tuple[int, bytes]) -> None:
+        self.bits = state[0]
+        self.octets = np.frombuffer(zlib.decompress(state[1]), np.uint8)
+
     def shifts(self) -> list[int]:
         """A hash sets a bit for its upper, its middle and its lower bits."""
-        return [64 - self.bits, (64 - self.bits) // 2, 0]
+        return [64 - self.bits, (64 - self.bits) // 2, SIZE_BITS]
 
     def with_phrases(self, phrases: DataFrame) -> Filter:
         """A filter that also holds the hashes ``g``. The driver receives bits, never phrases."""
@@ -147,20 +160,36 @@ class _Words:
         total = np.zeros(len(at), np.uint64)
         for i in range(size):
             total = total * BASE + self.hash[at + i]
-        return mix(total ^ self.seed[at])
+        return (mix(total ^ self.seed[at]) & ~np.uint64((1 << SIZE_BITS) - 1)) | np.uint64(size - 1)
+
+    def longer(self, at: np.ndarray, good: np.ndarray, size: int) -> np.ndarray:
+        """Where phrases of ``size`` words stand both whose parts are ``good``.
 
-    def counts(self, at: np.ndarray, g: np.ndarray, size: int) -> pa.RecordBatch:
-        """Each phrase at the word numbers ``at``, with hashes ``g``, once, and how often."""
-        kinds, where, counts = np.unique(g, return_index=True, return_counts=True)
+        ``at`` has the word numbers of the phrases that are a word shorter. The
+        result has indices into it.
+        """
+        first = np.flatnonzero(good[:-1] & good[1:] & (at[1:] == at[:-1] + 1))
+        return first[self.piece[at[first]] == self.piece[at[first] + size - 1]]
+
+    def named(self, at: np.ndarray, g: np.ndarray, size: int) -> pa.RecordBatch:
+        """Each phrase at the word numbers ``at``, with hashes ``g``, as text, and how often it is there."""
+        _, where, counts = np.unique(g, return_index=True, return_counts=True)
         spots = at[where, None] + np.arange(size)
         arrays = [
             pa.array(self.names.astype(object)[self.lang[at[where]]], pa.string()),
-            pa.array(np.full(len(kinds), size, np.int32)),
+            pa.array(np.full(len(where), size, np.int32)),
             _slices(self.raw, self.starts[spots], self.ends[spots], size),
-            pa.array(kinds.view(np.int64)),
             pa.array(counts.astype(np.int64)),
         ]
-        return pa.RecordBatch.from_arrays(arrays, schema=_ARROW)
+        return pa.RecordBatch.from_arrays(arrays, schema=_NAMED)
+
+
+def _added(g: np.ndarray, some: int = 1 << 16) -> Iterator[pa.RecordBatch]:
+    """Each hash once and how often it is there, ``some`` at a time."""
+    kinds, counts = np.unique(g, return_counts=True)
+    for at in range(0, len(kinds), some):
+        columns = kinds[at : at + some].view(np.int64), counts[at : at + some].astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=_HASHED)
 
 
 def _hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -168,7 +197,7 @@ def _hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarra
 
 
 def _scan(longest: int, with_words: bool, known: Filter, old: Filter):
-    """Counts of the active phrases of a shard's texts, chunk by chunk.
+    """Hashes and counts of the active phrases of a shard's texts, chunk by chunk.
 
     Words are active in the first cycle. A longer phrase is active if both
     phrases it has without an outer word are ``known`` as frequent, and were not
@@ -179,23 +208,43 @@ def _scan(longest: int, with_words: bool, known: Filter, old: Filter):
         for part in parts:
             for chunk in _chunks(part):
                 words = _Words(*chunk)
-                if not len(words.starts):
-                    continue
                 # Word numbers where a phrase of the size below stands, and what is known of it.
                 at = np.arange(len(words.starts))
                 g = words.phrases(at, 1)
-                if with_words:
-                    yield words.counts(at, g, 1)
+                active = [g] if with_words else []
                 for size in range(2, longest + 1):
                     good = known.holds(g)
                     at, new = at[good], ~old.holds(g[good])
-                    first = np.flatnonzero(at[1:] == at[:-1] + 1)
-                    first = first[words.piece[at[first]] == words.piece[at[first] + size - 1]]
-                    active = new[first] | new[first + 1]
-                    at = at[first]
+                    first = words.longer(at, np.ones(len(at), bool), size)
+                    at, new = at[first], new[first] | new[first + 1]
+                    g = words.phrases(at, size)
+                    active.append(g[new])
+                if active:
+                    yield from _added(np.concatenate(active))
+
+    return scan
+
+
+def _name(longest: int, known: Filter):
+    """The phrases that are ``known`` as text, with their counts; the number of all words as of size 0."""
+
+    def scan(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            for chunk in _chunks(part):
+                words = _Words(*chunk)
+                totals = np.bincount(words.lang, minlength=len(words.names)).astype(np.int64)
+                none = pa.array([""] * len(totals))
+                zero = pa.array(np.zeros(len(totals), np.int32))
+                yield pa.RecordBatch.from_arrays([pa.array(words.names.astype(object)), zero, none, pa.array(totals)], schema=_NAMED)
+                at = np.arange(len(words.starts))
+                for size in range(1, longest + 1):
+                    if size > 1:
+                        at = at[words.longer(at, np.ones(len(at), bool), size)]
                     g = words.phrases(at, size)
-                    if active.any():
-                        yield words.counts(at[active], g[active], size)
+                    good = known.holds(g)
+                    at, g = at[good], g[good]
+                    if len(at):
+                        yield words.named(at, g, size)
 
     return scan
 
@@ -208,17 +257,20 @@ def phrase_counts(
     least: int = 30,
     longest: int = 4,
     shards: int = 4,
-    filter_bits: int = 24,
+    filter_bits: int = 25,
 ) -> tuple[DataFrame, DataFrame]:
     """``lang, size, phrase, a`` of all phrases of up to ``longest`` words found ``least`` times, and ``lang, n``.
 
     Exact: a phrase that often has both its parts that often, so it becomes
     active, and it is then counted in each shard once. A filter that says yes
-    too often only activates a phrase earlier or in vain. ``n`` counts all words.
+    too often, or two phrases of one hash, only activate a phrase earlier or in
+    vain; the counts returned are those of the texts themselves. ``n`` counts
+    all words. ``longest`` is 4 at most.
 
-    Inside a chunk of a task, words and phrases are told apart by 64-bit hashes;
-    beyond it by language and text.
+    Inside a chunk of a task (half a MB) phrases are told apart by their hashes alone.
     """
+    if not 1 <= longest <= 1 << SIZE_BITS:
+        raise ValueError(f"phrases of 1 to {1 << SIZE_BITS} words, not {longest}")
     spark = docs.sparkSession
     path = shared_folder(spark)
     dealt = docs.select(
@@ -229,38 +281,39 @@ def phrase_counts(
     dealt.write.partitionBy("shard").parquet(path)
     dealt = spark.read.schema("lang string, text string, shard int").parquet(path)
 
-    filters = [Filter(filter_bits)]  # as known after each scan
-    state = spark.createDataFrame([], f"{COUNTED}, started int, since int")
-    found, totals = [], None
-    step = 0
+    filters = [Filter(filter_bits)]  # of what is frequent after each scan
+    state, held = spark.createDataFrame([], f"{HASHED}, started int"), None
+    frequent, step = Filter(filter_bits), 0
     while True:
         known, old = filters[-1], filters[max(0, len(filters) - 1 - shards)]
         texts = dealt.filter(F.col("shard") == step % shards).select("lang", "text")
-        seen = texts.mapInArrow(_scan(longest, step < shards, known, old), COUNTED)
+        seen = texts.mapInArrow(_scan(longest, step < shards, known, old), HASHED).withColumn("started", F.lit(step))
+        # What was first seen a cycle ago has been in each shard.
         going = state.filter(F.col("started") + shards > step)
-        both = seen.withColumns({"started": F.lit(step), "since": F.lit(None).cast("int")}).unionByName(going)
-        state = stored(
-            both.groupBy("lang", "size", "phrase")
-            .agg(
-                F.min("g").alias("g"),
-                F.sum("a").alias("a"),
-                F.min("started").alias("started"),
-                F.coalesce(F.min("since"), F.when(F.sum("a") >= least, step)).alias("since"),
-            )
-        )
-        if step == shards - 1:
-            totals = stored(state.filter("size = 1").groupBy("lang").agg(F.sum("a").alias("n")))
-        filters.append(known.with_phrases(state.filter((F.col("since") == step) & (F.col("size") < longest))))
-        # What began a cycle ago is complete; so is everything once no phrase can become active.
-        last = step >= shards - 1 and np.array_equal(filters[-1].octets, filters[-1 - shards].octets)
-        complete = F.col("a") >= least
-        if not last:
-            complete &= F.col("started") + shards - 1 == step
-        found.append(stored(state.filter(complete).select("lang", "size", "phrase", "a")))
-        if last:
-            return reduce(DataFrame.unionByName, found), totals
+        summed = seen.unionByName(going).groupBy("g").agg(F.sum("a").alias("a"), F.min("started").alias("started"))
+        before, held = held, shared_folder(spark)
+        state = stored(summed, BATCH_BYTES, held)
+        if before:
+            discard(spark, before)
+        often = state.filter(F.col("a") >= least)
+        frequent = frequent.with_phrases(often)
+        short = often.filter(F.col("g").bitwiseAND((1 << SIZE_BITS) - 1) < longest - 1)
+        filters.append(known.with_phrases(short))
+        if step >= shards - 1 and np.array_equal(filters[-1].octets, filters[-1 - shards].octets):
+            break  # no phrase can become active
         filters[: -1 - shards] = []
         step += 1
+    discard(spark, held)
+    named = (
+        dealt.select("lang", "text")
+        .mapInArrow(_name(longest, frequent), NAMED)
+        .groupBy("lang", "size", "phrase")
+        .agg(F.sum("a").alias("a"))
+        .filter((F.col("a") >= least) | (F.col("size") == 0))
+    )
+    named = stored(named, BATCH_BYTES)
+    totals = named.filter("size = 0 AND a > 0").select("lang", F.col("a").alias("n"))
+    return named.filter("size > 0"), totals
 
 
 def collocations(

@@ -30,15 +30,16 @@ def shared_folder(spark: SparkSession) -> str:
 ARROW_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
-def stored(rows: DataFrame, batch_bytes: int = 8 << 20) -> DataFrame:
+def stored(rows: DataFrame, batch_bytes: int = 8 << 20, path: str | None = None) -> DataFrame:
     """``rows`` as a written table: computed once, its size known to the planner.
 
     A lost executor costs only the tasks that read it again. While it is
     written, Python tasks get batches of at most ``batch_bytes``: beside a full
-    heap there is little room for Arrow's buffers. The setting is put back.
+    heap there is little room for Arrow's buffers. The setting is put back. With
+    a ``path`` from ``shared_folder``, ``discard`` can remove the table again.
     """
     spark = rows.sparkSession
-    path = shared_folder(spark)
+    path = path or shared_folder(spark)
     before = spark.conf.get(ARROW_BATCH)
     spark.conf.set(ARROW_BATCH, str(batch_bytes))
     try:
@@ -48,14 +49,18 @@ def stored(rows: DataFrame, batch_bytes: int = 8 << 20) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a table that no frame reads any more."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def drop_scratch() -> None:
     """Remove what ``stored`` has written; frames that read it are then void."""
     while _made:
         spark, path = _made.pop()
         try:
-            jvm = spark.sparkContext._jvm
-            target = jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+            discard(spark, path)
         except Exception:  # noqa: BLE001  the session has ended, and its folder with it
             pass
 

@@ -289,7 +289,9 @@ def near_duplicates(
     grouped = members.filter("n > 2").join(found, "id", "left").select(
         "bucket", "id", "star", "n", F.coalesce("component", "id").alias("component")
     )
-    mixed = (
+    # Written, like what components are joined with below: an aggregate lies as its key
+    # does, and Spark splits a hot key only where both sides come from a shuffle.
+    mixed = stored(
         grouped.filter("id <> star")
         .groupBy("bucket")
         .agg(F.min("component").alias("x"), F.max("component").alias("y"))
@@ -315,7 +317,7 @@ def near_duplicates(
     placed = classes.join(found, "id", "left").select(
         *same, "low", F.coalesce("component", "id").alias("component")
     )
-    lowest = placed.groupBy("component").agg(F.min("low").alias("lowest"))
+    lowest = stored(placed.groupBy("component").agg(F.min("low").alias("lowest")))
     placed = placed.join(lowest, "component").select(*same, "lowest", "component")
     joined = signed_rows.select("doc", "t1", *same).join(placed, same, "left")
     component = F.when(F.col("n_shingles") > 0, F.col("lowest")).otherwise(F.col("doc"))

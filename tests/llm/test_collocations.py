@@ -139,6 +139,8 @@ def test_filter_holds_what_it_was_given(spark):
     draw = np.random.default_rng(0)
     inside, outside = draw.integers(0, 1 << 64, (2, 2000), np.uint64)
     rows = spark.createDataFrame([(int(x),) for x in inside.view(np.int64)], "g long")
-    held = collocations.Filter(18).with_phrases(rows.limit(1000)).with_phrases(rows)
+    held = collocations.Filter(18)
+    for part in (rows.limit(1000), rows):
+        held = held.with_blocks(held.bit_blocks(part))
     assert held.holds(inside).all()
     assert held.holds(outside).mean() < 0.01

@@ -42,7 +42,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 CHUNK = 1 << 19
 # What a task is handed at once.
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 4 << 20
 
 
 class Filter:
@@ -64,21 +64,24 @@ class Filter:
         """A hash sets a bit for its upper, its middle and its lower bits."""
         return [64 - self.bits, (64 - self.bits) // 2, SIZE_BITS]
 
-    def with_phrases(self, phrases: DataFrame) -> Filter:
-        """A filter that also holds the hashes ``g``. The driver receives bits, never phrases."""
-        places = ", ".join(f"shiftrightunsigned(g, {k}) & {(1 << self.bits) - 1}L" for k in self.shifts())
-        rows = (
-            phrases.select(F.expr(f"explode(array({places}))").alias("at"))
-            .groupBy(F.expr("at DIV 32768").alias("block"))
-            .agg(F.expr("bitmap_construct_agg(at % 32768)").alias("bits"))
-            .collect()
-        )
+    def with_blocks(self, blocks: list) -> Filter:
+        """A filter that also has the bits of ``blocks``, rows of ``bit_blocks``."""
         more = Filter(self.bits)
         more.octets[:] = self.octets
-        for r in rows:
+        for r in blocks:
             more.octets[r["block"] << 12 : (r["block"] + 1) << 12] |= np.frombuffer(r["bits"], np.uint8)
         return more
 
+    def bit_blocks(self, phrases: DataFrame, *by: str) -> list:
+        """The bits of the hashes ``g``, for each value of ``by``. The driver receives bits, never phrases."""
+        places = ", ".join(f"shiftrightunsigned(g, {k}) & {(1 << self.bits) - 1}L" for k in self.shifts())
+        return (
+            phrases.select(*by, F.expr(f"explode(array({places}))").alias("at"))
+            .groupBy(*by, F.expr("at DIV 32768").alias("block"))
+            .agg(F.expr("bitmap_construct_agg(at % 32768)").alias("bits"))
+            .collect()
+        )
+
     def holds(self, g: np.ndarray) -> np.ndarray:
         found = np.ones(len(g), bool)
         for k in self.shifts():
@@ -206,12 +209,13 @@ def _scan(longest: int, with_words: bool, known: Filter, old: Filter):
 
     def scan(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
+            active: list[np.ndarray] = []
             for chunk in _chunks(part):
                 words = _Words(*chunk)
                 # Word numbers where a phrase of the size below stands, and what is known of it.
                 at = np.arange(len(words.starts))
                 g = words.phrases(at, 1)
-                active = [g] if with_words else []
+                active += [g] if with_words else []
                 for size in range(2, longest + 1):
                     good = known.holds(g)
                     at, new = at[good], ~old.holds(g[good])
@@ -219,8 +223,9 @@ def _scan(longest: int, with_words: bool, known: Filter, old: Filter):
                     at, new = at[first], new[first] | new[first + 1]
                     g = words.phrases(at, size)
                     active.append(g[new])
-                if active:
-                    yield from _added(np.concatenate(active))
+            # What a batch holds is added up here, and costs the shuffle a row each.
+            if active:
+                yield from _added(np.concatenate(active))
 
     return scan
 
@@ -295,10 +300,11 @@ def phrase_counts(
         state = stored(summed, BATCH_BYTES, held)
         if before:
             discard(spark, before)
-        often = state.filter(F.col("a") >= least)
-        frequent = frequent.with_phrases(often)
-        short = often.filter(F.col("g").bitwiseAND((1 << SIZE_BITS) - 1) < longest - 1)
-        filters.append(known.with_phrases(short))
+        # Both filters out of one look at the counts: the longest phrases make no longer ones active.
+        short = F.col("g").bitwiseAND((1 << SIZE_BITS) - 1) < longest - 1
+        blocks = known.bit_blocks(state.filter(F.col("a") >= least).select("g", short.alias("short")), "short")
+        frequent = frequent.with_blocks(blocks)
+        filters.append(known.with_blocks([r for r in blocks if r["short"]]))
         if step >= shards - 1 and np.array_equal(filters[-1].octets, filters[-1 - shards].octets):
             break  # no phrase can become active
         filters[: -1 - shards] = []

@@ -5,14 +5,19 @@ from .operators import (
     added_rows,
     as_of,
     as_of_many,
+    as_of_thin,
     change_sample,
     change_summary,
     clean,
+    column_changes,
     column_differences,
     compare,
     compare_metrics,
     dedupe,
+    dense_log,
     extra_keys,
+    frequency_sketches,
+    frequent_items,
     key_sketch,
     log_summary,
     missing_keys,
@@ -27,6 +32,7 @@ from .operators import (
     rows_per_prefix,
     snapshot_metrics,
     snapshot_report,
+    thin_log,
     versions,
 )
 from .operators.metrics import approximate_metrics
@@ -53,17 +59,22 @@ __all__ = [
     "approximate_metrics",
     "as_of",
     "as_of_many",
+    "as_of_thin",
     "change_sample",
     "change_summary",
     "clean",
+    "column_changes",
     "column_differences",
     "compare",
     "compare_metrics",
     "conform",
     "dedupe",
+    "dense_log",
     "diff",
     "dump_path",
     "extra_keys",
+    "frequency_sketches",
+    "frequent_items",
     "integrate",
     "key_rules",
     "key_sketch",
@@ -87,5 +98,6 @@ __all__ = [
     "snapshot_metrics",
     "snapshot_report",
     "streaming",
+    "thin_log",
     "versions",
 ]

@@ -13,27 +13,34 @@ from .changes import (
 )
 from .clean import clean, dedupe, rejections
 from .day_sketches import day_sketches, united_metrics
+from .frequent import frequency_sketches, frequent_items
 from .history import as_of, as_of_many, calendar, reverse_log, versions
 from .key_sketch import key_sketch, reconcile_keys
 from .merging import merge_deltas
 from .metrics import compare_metrics, rows_per_prefix, snapshot_metrics, snapshot_report
 from .point_in_time import point_in_time
 from .reconcile import extra_keys, missing_keys, reconcile_metrics
+from .sparse import as_of_thin, column_changes, dense_log, thin_log
 
 __all__ = [
     "added_rows",
     "as_of",
     "as_of_many",
+    "as_of_thin",
     "calendar",
     "change_sample",
     "change_summary",
     "clean",
+    "column_changes",
     "column_differences",
     "compare",
     "compare_metrics",
     "day_sketches",
     "dedupe",
+    "dense_log",
     "extra_keys",
+    "frequency_sketches",
+    "frequent_items",
     "key_sketch",
     "log_summary",
     "merge_deltas",
@@ -49,6 +56,7 @@ __all__ = [
     "rows_per_prefix",
     "snapshot_metrics",
     "snapshot_report",
+    "thin_log",
     "united_metrics",
     "versions",
 ]

@@ -581,6 +581,48 @@ def diff_folders_rest(spark, sf):
     return listed[0].unionByName(listed[1]).unionByName(listed[2]).unionByName(listed[3])
 
 
+def _thin_daily_log(spark, sf) -> DataFrame:
+    """The daily log with nothing but old values that changed, as written and read again."""
+    folder = scratch_folder(spark)
+    tm.thin_log(daily_log(spark, sf), last_dump(spark, sf), USER).write.parquet(folder)
+    return spark.read.parquet(folder)
+
+
+def thin_as_of(spark, sf):
+    return tm.as_of_thin(last_dump(spark, sf), _thin_daily_log(spark, sf), MID, USER)
+
+
+def thin_log_restored(spark, sf):
+    return tm.dense_log(_thin_daily_log(spark, sf), last_dump(spark, sf), USER)
+
+
+def changes_per_column(spark, sf):
+    """How often each column of the yearly dumps changed, by year."""
+    dumps = yearly(table(spark, sf, "orders"))
+    last = F.broadcast(dumps.agg(F.max("day").alias("day")))
+    snapshot = dumps.join(last, "day", "left_semi").drop("day")
+    keys = ["o_custkey"]
+    thin = tm.thin_log(tm.reverse_log(dumps, keys), snapshot, keys)
+    return tm.column_changes(thin, keys, ["day"])
+
+
+def _frequent(spark, rows: DataFrame, items: list[str], per: int) -> DataFrame:
+    """By sketches of each day, as written and read again."""
+    folder = scratch_folder(spark)
+    tm.frequency_sketches(rows, items, per, ["day"]).write.parquet(folder)
+    return tm.frequent_items(rows, spark.read.parquet(folder), items, per)
+
+
+def frequent_changed_keys(spark, sf):
+    """Users with one in 140 of all changes, or more."""
+    return _frequent(spark, daily_log(spark, sf), USER, 140)
+
+
+def frequent_changes(spark, sf):
+    """Kinds of change, with the old type, that make up one in 20, or more."""
+    return _frequent(spark, daily_log(spark, sf), ["action", "event_type"], 20)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -642,6 +684,11 @@ QUERIES = {
         arriving_dumps,
         rebuild_differences,
         diff_folders_rest,
+        thin_as_of,
+        thin_log_restored,
+        changes_per_column,
+        frequent_changed_keys,
+        frequent_changes,
     )
 }
 
@@ -774,6 +821,13 @@ def _known_sql(which: str, key: str) -> str:
         FROM events e ASOF LEFT JOIN known k ON e.{key} = k.{key} AND e.ts >= k.ts"""
 
 
+def _frequent_sql(items: list[str], per: int) -> str:
+    listed = ", ".join(items)
+    return f"""WITH {DAILY_LOG}, kept AS ({LOG_ROWS})
+        SELECT {listed}, count(*) AS n, (SELECT count(*) FROM kept) AS total FROM kept
+        GROUP BY {listed} HAVING count(*) * {per} >= (SELECT count(*) FROM kept)"""
+
+
 ORACLE = {
     "clean_keys": """SELECT page_id, url FROM pages
         WHERE url IS NOT NULL AND NOT contains(url, '@') AND length(url) < 50""",
@@ -967,4 +1021,20 @@ ORACLE = {
         UNION ALL SELECT change, concat_ws('/', l_partkey, l_suppkey,
             CASE change WHEN 'added' THEN new_l_linestatus ELSE old_l_linestatus END)
         FROM changes WHERE change IN ('added', 'removed')""",
+    "thin_as_of": f"WITH {DAILY} SELECT * EXCLUDE (day) FROM daily WHERE day = DATE '{MID}'",
+    "thin_log_restored": f"WITH {DAILY_LOG} {LOG_ROWS}",
+    "changes_per_column": f"""WITH {YEARLY},
+        days AS (SELECT day, lag(day) OVER (ORDER BY day) AS before FROM (SELECT DISTINCT day FROM yearly)),
+        counted AS (
+            SELECT d.day, count(*) FILTER (t.o_orderstatus IS DISTINCT FROM p.o_orderstatus) AS o_orderstatus,
+                   count(*) FILTER (t.o_totalprice IS DISTINCT FROM p.o_totalprice) AS o_totalprice,
+                   count(*) FILTER (t.o_orderpriority IS DISTINCT FROM p.o_orderpriority) AS o_orderpriority
+            FROM days d JOIN yearly p ON p.day = d.before JOIN yearly t ON t.day = d.day AND t.o_custkey = p.o_custkey
+            GROUP BY d.day),
+        logged AS (SELECT day, unnest(['o_orderstatus', 'o_totalprice', 'o_orderpriority']) AS "column" FROM days),
+        told AS (UNPIVOT counted ON o_orderstatus, o_totalprice, o_orderpriority INTO NAME "column" VALUE changes)
+        SELECT day, "column", coalesce(changes, 0) AS changes
+        FROM logged LEFT JOIN told USING (day, "column")""",
+    "frequent_changed_keys": _frequent_sql(["user_id"], 140),
+    "frequent_changes": _frequent_sql(["action", "event_type"], 20),
 }

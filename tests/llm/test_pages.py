@@ -200,3 +200,20 @@ def test_shared_depths_equal_brute_force():
             page = draw.randint(1, 3)
             rows.append((s, page, page if draw.random() < 0.8 else page + 1))
         assert pages.shared_depths(rows) == plain(rows)
+
+
+def test_repeated_open_text_does_not_outweigh_the_article(spark):
+    draw = random.Random(6)
+    footer, quote, notice = own_words(draw, 80), own_words(draw, 30), own_words(draw, 10)
+    rows, expected = [], []
+    for i in range(30):
+        own = [own_words(draw, 20), *([quote] if i < 2 else [])]
+        article = "".join(f"<p>{b}</p>" for b in [notice, *own])
+        rows.append(("http://a.org/%d" % i, f"<div>{footer}</div><article>{article}</article>"))
+        expected.append("\n".join(own))
+    # A teaser: its own open text outweighs it and stays beside it.
+    rows.append(("http://a.org/t", f"<div>{footer}</div><article><p>{notice}</p><p>teaser</p></article><p>{own_words(draw, 40)}</p>"))
+    expected.append("teaser\n" + rows[-1][1].rsplit("<p>", 1)[1][:-4])
+    got = {r["page_id"]: r["text"] for r in pages.extract(frame(spark, rows)).collect()}
+    # The footer is cut by repetition, the notice held by every article goes whole, the quote of two articles stays.
+    assert [got[i] for i in range(31)] == expected
